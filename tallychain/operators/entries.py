@@ -24,9 +24,10 @@ def outputs(ledger: Ledger) -> DataFrame:
     """Newest outputs with their owner.
 
     The owner is computed before the versions are compared, so the address arrays
-    are not shuffled.
+    are not shuffled.  Stating that keys are present gives every use of the result the
+    same scan, and Spark then ranks and shuffles the outputs once for all of them.
     """
-    out = ledger.tran_out
+    out = ledger.tran_out.where("n_block is not null and tx_id is not null and output_index is not null")
     owned = out.withColumn("address", S.owner_address(
         F.col("address_count"), F.col("addresses"), F.col("is_op_return"), S.hex_of(out, "tx_id"), F.col("output_index")))
     return latest_by(owned, OUT_KEY, ledger.row_version, ["value", "address", "is_coinbase"])

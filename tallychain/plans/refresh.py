@@ -16,7 +16,7 @@ from tallychain.ledger import Ledger
 from tallychain.operators import planning
 from tallychain.operators.entries import block_times, inputs, tx_block
 from tallychain.operators.turnover import turnover, turnover_m
-from tallychain.session import checkpoint
+from tallychain.session import written
 from tallychain.sources.store import BUCKET, LedgerStore
 
 
@@ -33,7 +33,7 @@ def needed_sources(store: LedgerStore, ledger: Ledger, part: Ledger) -> Ledger:
     those partition folders and keeps only those transactions.
     """
     wanted = inputs(part).where("is_coinbase = 0").select(F.col("prev_tx_hash").alias("tx_id")).distinct()
-    located = checkpoint(tx_block(store.read("tx_block").join(wanted, "tx_id", "left_semi")))
+    located = written(tx_block(store.read("tx_block").join(wanted, "tx_id", "left_semi")), "located")
     # One number per partition folder at most: folder names, not data.
     buckets = [r[0] for r in located.select(store.bucket_of(F.col("n_block"))).distinct().collect()]
     chosen = ledger.tran_out.where(F.col(BUCKET).isin(buckets)) if buckets else ledger.tran_out.where(F.lit(False))
@@ -50,10 +50,10 @@ def refresh_turnover(store: LedgerStore) -> bool:
     if point is None:
         store.replace_turnover(turnover(ledger))
     else:
-        if planning.pending_block_stats(ledger.blocks, point + 1).first()["n_blocks"] == 0:
-            return False
         first_bucket = (point + 1) // store.bucket_size
         part = ledger.where(F.col(BUCKET) >= first_bucket)
+        if planning.pending_block_stats(part.blocks, point + 1).first()["n_blocks"] == 0:
+            return False
         store.replace_turnover(turnover(part, needed_sources(store, ledger, part)), first_bucket)
     store.log_point("turnover", top, "refresh")
     return True

@@ -13,7 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Sides up to this measured size are broadcast at run time; larger ones are shuffled.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Unlike the default type this one keeps min/max statistics, so scans can skip by time.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
@@ -45,14 +49,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpoint(df):
-    """Reliable checkpoint in the shared folder; survives the loss of any executor."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def new_work_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"tallychain-{name}-{uuid.uuid4().hex}")
+
+
+def written(df, name: str):
+    """The rows of ``df`` as a table in the shared folder.
+
+    This cuts the lineage, survives the loss of any executor, and gives later joins the
+    true size of the rows.
+    """
+    folder = new_work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -22,9 +22,9 @@ BUCKET = "n_block_bucket"
 # table: (schema, partition column, sort order inside a file)
 TABLES = {
     "blocks": (schemas.BLOCKS, BUCKET, ["n_block"]),
-    "tran_in": (schemas.TRAN_IN, BUCKET, ["n_block", "tx_id", "input_index"]),
-    "tran_out": (schemas.TRAN_OUT, BUCKET, ["n_block", "tx_id", "output_index"]),
-    "tx_block": (schemas.TX_BLOCK, BUCKET, ["tx_id"]),
+    "tran_in": (schemas.TRAN_IN, BUCKET, ["n_block"]),
+    "tran_out": (schemas.TRAN_OUT, BUCKET, ["n_block"]),
+    "tx_block": (schemas.TX_BLOCK, BUCKET, ["n_block"]),
     # Sorted by address so that row groups can be skipped when one address is asked for.
     "turnover": (schemas.TURNOVER, BUCKET, ["address", "n_block"]),
     "turnover_m": (schemas.TURNOVER_M, "time_month", ["address"]),
@@ -53,21 +53,21 @@ class LedgerStore:
     def folder(self, table: str) -> str:
         return f"{self.path}/{table}"
 
-    def _fs(self, path: str):
+    def filesystem(self, path: str):
         jvm = self.spark._jvm
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
     def exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
+        fs, p = self.filesystem(path)
         return fs.exists(p)
 
     def _make_folder(self, path: str):
-        fs, p = self._fs(path)
+        fs, p = self.filesystem(path)
         fs.mkdirs(p)
 
     def _drop_folder(self, path: str):
-        fs, p = self._fs(path)
+        fs, p = self.filesystem(path)
         fs.delete(p, True)
 
     def create(self) -> bool:
