@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallychain.functions import scalars as S
 from tallychain.ledger import Ledger
 from tallychain.operators.entries import block_times
-from tallychain.session import written
+from tallychain.session import drop_folder, written
 
 # ---- what is stored ---------------------------------------------------------------
 
@@ -200,7 +200,7 @@ def assign_heights(candidates: DataFrame, blocks: DataFrame) -> DataFrame:
             "n_block",
         )
     )
-    state = written(state, "heights")
+    state, folder = written(state, "heights")
     rounds = ceil(log2(max(state.count(), 2))) + 1
     for _ in range(rounds):
         waiting = state.where("ptr is not null")
@@ -214,7 +214,9 @@ def assign_heights(candidates: DataFrame, blocks: DataFrame) -> DataFrame:
             (F.col("dist") + F.when(F.col("next").isNotNull(), F.col("more")).otherwise(0)).alias("dist"),
             F.when(F.col("next").isNull(), F.col("base") + F.col("dist")).alias("n_block"),
         )
-        state = written(state.where("ptr is null").unionByName(moved), "heights")
+        older = folder
+        state, folder = written(state.where("ptr is null").unionByName(moved), "heights")
+        drop_folder(state.sparkSession, older)
     return state.select("block_hash", "n_block")
 
 

@@ -28,10 +28,10 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
     leaves no block without its transactions and no late block unprocessed.
     """
     at = at or now()
-    heights = nested.select("n_block")
-    if heights.isEmpty():
+    first_block = planning.block_bounds(nested).first()["min_block"]
+    if first_block is None:
         return False
-    store.rewind(heights)
+    store.rewind(first_block)
     outputs = flatten.flatten_outputs(nested, at)
     store.append("tran_in", flatten.flatten_inputs(nested, at))
     store.append("tran_out", outputs)

@@ -22,8 +22,8 @@ from tallychain.sources.store import BUCKET, LedgerStore
 
 def _log_point(store: LedgerStore, target: str):
     """The logged change point if it names a stored state, else None (process everything)."""
-    row = store.logged_point(target).first()
-    return row[0] if row is not None and row[0] >= 0 else None
+    point = store.logged_points().get(target, -1)
+    return point if point >= 0 else None
 
 
 def needed_sources(store: LedgerStore, ledger: Ledger, part: Ledger) -> Ledger:
@@ -33,7 +33,7 @@ def needed_sources(store: LedgerStore, ledger: Ledger, part: Ledger) -> Ledger:
     those partition folders and keeps only those transactions.
     """
     wanted = inputs(part).where("is_coinbase = 0").select(F.col("prev_tx_hash").alias("tx_id")).distinct()
-    located = written(tx_block(store.read("tx_block").join(wanted, "tx_id", "left_semi")), "located")
+    located, _ = written(tx_block(store.read("tx_block").join(wanted, "tx_id", "left_semi")), "located")
     # One number per partition folder at most: folder names, not data.
     buckets = [r[0] for r in located.select(store.bucket_of(F.col("n_block"))).distinct().collect()]
     chosen = ledger.tran_out.where(F.col(BUCKET).isin(buckets)) if buckets else ledger.tran_out.where(F.lit(False))
@@ -72,12 +72,11 @@ def refresh_turnover_m(store: LedgerStore) -> bool:
     Only months touched by blocks after the change point are built again.
     """
     ledger = store.ledger()
-    done = _log_point(store, "turnover")
+    done, point = _log_point(store, "turnover"), _log_point(store, "turnover_m")
     last = planning.last_completed_month(ledger).first()[0]
     if last is None or done is None:
         return False
     rows = store.read("turnover")
-    point = _log_point(store, "turnover_m")
     if point is None:
         store.replace_turnover_m(turnover_m(rows, last=last))
     else:

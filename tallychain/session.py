@@ -29,6 +29,8 @@ def local_session(cpus="*", shuffle_partitions=8, **extra) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Test data is small: keep all cores busy instead of merging its partitions.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -53,12 +55,24 @@ def new_work_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"tallychain-{name}-{uuid.uuid4().hex}")
 
 
+def filesystem(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path in its form."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def drop_folder(spark: SparkSession, path: str):
+    fs, p = filesystem(spark, path)
+    fs.delete(p, True)
+
+
 def written(df, name: str):
     """The rows of ``df`` as a table in the shared folder.
 
     This cuts the lineage, survives the loss of any executor, and gives later joins the
-    true size of the rows.
+    true size of the rows.  The folder is returned as well, for callers that know when
+    they are done with it.
     """
     folder = new_work_folder(df.sparkSession, name)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder

@@ -28,30 +28,28 @@ KINDS = {
 }
 
 
-def _hash(prefix: str, number: Column) -> Column:
-    return F.sha2(F.concat(F.lit(prefix), number.cast("string")), 256)
+def kind_flag(flag: str) -> Column:
+    """True where the script kind is the one that ``flag`` names."""
+    return F.col("kind").isin([k for k, (name, _, _) in KINDS.items() if name == flag])
 
 
-def _block_number(day: Column) -> Column:
-    return F.datediff(day, F.lit("1995-01-01").cast("date")).cast("long")
+def _kinds(position: int, label: str) -> str:
+    return ", ".join(str(k) for k, entry in KINDS.items() if entry[position] == label)
 
 
-def kind_flag(flag: str) -> Column:
-    """True where the script kind is the one that ``flag`` names."""
-    return F.col("kind").isin([k for k, (name, _, _) in KINDS.items() if name == flag])
+def _kind_class(position: int) -> str:
+    labels = sorted({entry[position] for entry in KINDS.values()} - {"unknown"})
+    branches = " ".join(f"WHEN kind IN ({_kinds(position, label)}) THEN '{label}'" for label in labels)
+    return f"CASE {branches} ELSE 'unknown' END"
 
 
-def _kind_class(position: int) -> Column:
-    label = F.lit("unknown")
-    for name in sorted({entry[position] for entry in KINDS.values()} - {"unknown"}):
-        label = F.when(F.col("kind").isin([k for k, e in KINDS.items() if e[position] == name]), F.lit(name)).otherwise(label)
-    return label
+def _hash(prefix: str, number: str) -> str:
+    return f"sha2(concat('{prefix}', CAST({number} AS string)), 256)"
 
 
 def _transactions(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        "o_orderkey", "o_custkey", "o_orderdate", _block_number(F.col("o_orderdate")).alias("n_block")
-    )
+    return orders.selectExpr(
+        "o_orderkey", "o_custkey", "o_orderdate", "CAST(datediff(o_orderdate, DATE'1995-01-01') AS bigint) AS n_block")
 
 
 def _chained(orders: DataFrame) -> DataFrame:
@@ -68,120 +66,73 @@ def _chained(orders: DataFrame) -> DataFrame:
         tx.groupBy("o_custkey", "o_orderdate").agg(F.max("o_orderkey").alias("last_key"))
         .select("o_custkey", "o_orderdate", F.lag("last_key").over(across_days).alias("prev_other_day"))
     )
-    return tx.join(days, ["o_custkey", "o_orderdate"]).select(
-        "n_block", "o_orderkey", "o_orderdate", F.coalesce("prev_same_day", "prev_other_day").alias("prev_key")
-    )
+    return tx.join(days, ["o_custkey", "o_orderdate"]).selectExpr(
+        "n_block", "o_orderkey", "o_orderdate", "coalesce(prev_same_day, prev_other_day) AS prev_key")
 
 
 def _blocks(orders: DataFrame) -> DataFrame:
-    per_block = _transactions(orders).groupBy("n_block").agg(F.count(F.lit(1)).alias("transaction_count"))
-    hours = F.col("n_block") * 24 + (F.col("n_block") % 3) * 18
-    current = per_block.select(
-        "n_block",
-        (F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
-         + F.make_dt_interval(F.lit(0), hours.cast("int"))).alias("block_timestamp"),
-        "transaction_count",
-    )
+    per_block = _transactions(orders).groupBy("n_block").agg(F.count(F.lit(1)).alias("n_tx"))
     # Every block ending in 5 also exists in an older version: other time, no parent, no transactions.
-    versions = F.when(F.col("n_block") % 10 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = current.withColumn("age", F.explode(versions))
-    stale = F.col("age") == 1
-    time = F.col("block_timestamp") - F.make_dt_interval(F.col("age"))
-    count = F.when(stale, F.lit(0)).otherwise(F.col("transaction_count")).cast("long")
-    return rows.select(
-        _hash("b", F.col("n_block")).alias("block_hash"),
-        "n_block",
-        time.alias("block_timestamp"),
-        F.lit(1).cast("long").alias("version"),
-        F.when(stale | (F.col("n_block") == 0), F.lit(ZERO_HASH))
-        .otherwise(_hash("b", F.col("n_block") - 1)).alias("prev_block_hash"),
-        _hash("m", F.col("n_block")).alias("merkle_root"),
-        F.when(stale, F.lit(0)).otherwise(F.col("n_block") * 7919).cast("long").alias("nonce"),
-        F.lit(1).cast("long").alias("bits"),
-        (count * 250).alias("size"),
-        (count * 1000).alias("weight"),
-        count.alias("transaction_count"),
-        time.alias("processed_at"),
-    )
+    versions = per_block.selectExpr(
+        "n_block", "n_tx",
+        "TIMESTAMP_NTZ'1995-01-01' + make_dt_interval(0, CAST(24 * n_block + (n_block % 3) * 18 AS int)) AS time",
+        "explode(CASE WHEN n_block % 10 = 5 THEN array(0, 1) ELSE array(0) END) AS age",
+    ).selectExpr("n_block", "age", "time - make_dt_interval(age) AS time", "CASE age WHEN 0 THEN n_tx ELSE 0L END AS n_tx")
+    return versions.selectExpr(
+        f"{_hash('b', 'n_block')} AS block_hash", "n_block", "time AS block_timestamp", "1L AS version",
+        f"CASE WHEN age = 1 OR n_block = 0 THEN '{ZERO_HASH}' ELSE {_hash('b', 'n_block - 1')} END AS prev_block_hash",
+        f"{_hash('m', 'n_block')} AS merkle_root",
+        "CASE age WHEN 0 THEN n_block * 7919 ELSE 0L END AS nonce", "1L AS bits",
+        "n_tx * 250 AS size", "n_tx * 1000 AS weight", "n_tx AS transaction_count", "time AS processed_at")
 
 
 def _items(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        "l_orderkey",
-        (F.col("l_linenumber") - 1).cast("long").alias("position"),
-        F.round(F.col("l_extendedprice") * 100).cast("long").alias("value"),
-        (F.col("l_suppkey") % 20).alias("kind"),
-        F.col("l_shipdate").alias("created_at"),
-        F.col("l_partkey").alias("tie_part"),
-        F.col("l_suppkey").alias("tie_supp"),
-    )
+    return lineitem.selectExpr(
+        "l_orderkey", "CAST(l_linenumber - 1 AS bigint) AS position",
+        "CAST(round(l_extendedprice * 100) AS bigint) AS value", "l_suppkey % 20 AS kind",
+        "l_shipdate AS created_at", "l_partkey AS tie_part", "l_suppkey AS tie_supp")
 
 
 def _tran_out(tx: DataFrame, items: DataFrame) -> DataFrame:
-    supplier = F.concat(F.lit("s"), F.col("tie_supp").cast("string"))
-    part = F.concat(F.lit("p"), F.col("tie_part").cast("string"))
-    kind = F.col("kind")
+    supplier, part = "concat('s', CAST(tie_supp AS string))", "concat('p', CAST(tie_part AS string))"
     script_class = _kind_class(1)
-    return items.join(tx, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "n_block",
-        _hash("t", F.col("o_orderkey")).alias("tx_id"),
-        F.col("position").alias("output_index"),
-        "value",
-        F.col("prev_key").isNull().cast("int").alias("is_coinbase"),
-        F.lower(F.hex(F.concat(F.lit("o"), kind.cast("string")))).alias("script_hex"),
-        script_class.alias("script_type"),
-        *[kind_flag(flag).cast("int").alias(name) for name, flag in [
-            ("is_p2pkh", "is_pubkeyhash"), ("is_p2sh", "is_p2sh"), ("is_p2wpkh", "is_p2wpkh"),
-            ("is_p2wsh", "is_p2wsh"), ("is_p2tr", "is_p2tr"), ("is_multisig", "is_multisig"),
-            ("is_unknown", "is_unknown"), ("is_op_return", "is_op_return")]],
-        F.when(kind.isin(0, 1), 0).when(kind == 2, 2).otherwise(1).alias("address_count"),
-        F.when(kind.isin(0, 1), F.array().cast("array<string>"))
-        .when(kind == 2, F.array(supplier, part)).otherwise(F.array(supplier)).alias("addresses"),
-        F.when(kind.isin(0, 1), F.array().cast("array<string>"))
-        .when(kind == 2, F.array(script_class, script_class)).otherwise(F.array(script_class)).alias("address_types"),
-        "created_at", "kind", "tie_part", "tie_supp",
-    )
+    # Stored flag column, flag of the script kind.
+    flags = [("is_p2pkh", "is_pubkeyhash"), ("is_p2sh", "is_p2sh"), ("is_p2wpkh", "is_p2wpkh"), ("is_p2wsh", "is_p2wsh"),
+             ("is_p2tr", "is_p2tr"), ("is_multisig", "is_multisig"), ("is_unknown", "is_unknown"), ("is_op_return", "is_op_return")]
+    return items.join(tx, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "n_block", f"{_hash('t', 'o_orderkey')} AS tx_id", "position AS output_index", "value",
+        "CAST(prev_key IS NULL AS int) AS is_coinbase",
+        "lower(hex(concat('o', CAST(kind AS string)))) AS script_hex",
+        f"{script_class} AS script_type",
+        *[f"CAST(kind IN ({_kinds(0, flag)}) AS int) AS {name}" for name, flag in flags],
+        "CASE WHEN kind IN (0, 1) THEN 0 WHEN kind = 2 THEN 2 ELSE 1 END AS address_count",
+        f"CASE WHEN kind IN (0, 1) THEN CAST(array() AS array<string>) WHEN kind = 2 THEN array({supplier}, {part})"
+        f" ELSE array({supplier}) END AS addresses",
+        f"CASE WHEN kind IN (0, 1) THEN CAST(array() AS array<string>) WHEN kind = 2 THEN array('multisig', 'multisig')"
+        f" ELSE array({script_class}) END AS address_types",
+        "created_at", "kind", "tie_part", "tie_supp")
 
 
 def _tran_in(tx: DataFrame, items: DataFrame) -> DataFrame:
-    spends = (
-        items.join(tx, F.col("l_orderkey") == F.col("prev_key"))
-        .select(
-            "n_block",
-            _hash("t", F.col("o_orderkey")).alias("tx_id"),
-            F.col("position").alias("input_index"),
-            F.when(F.col("o_orderkey") % 997 == 0, _hash("x", F.col("prev_key")))
-            .otherwise(_hash("t", F.col("prev_key"))).alias("prev_tx_hash"),
-            F.col("position").alias("prev_tx_index"),
-            F.lit(0).alias("is_coinbase"),
-            "created_at", "kind", "tie_part", "tie_supp",
-        )
-    )
-    zero = F.lit(0).cast("long")
-    first = tx.where(F.col("prev_key").isNull()).select(
-        "n_block",
-        _hash("t", F.col("o_orderkey")).alias("tx_id"),
-        zero.alias("input_index"),
-        F.lit(ZERO_HASH).alias("prev_tx_hash"),
-        F.lit(COINBASE_INDEX).cast("long").alias("prev_tx_index"),
-        F.lit(1).alias("is_coinbase"),
-        F.col("o_orderdate").alias("created_at"),
-        F.lit(1).cast("long").alias("kind"),
-        zero.alias("tie_part"), zero.alias("tie_supp"),
-    )
-    segwit = F.col("kind").between(12, 16)
-    witness = F.concat(F.lit("w"), F.col("tie_part").cast("string"))
-    return spends.unionByName(first).select(
+    spends = items.join(tx, F.col("l_orderkey") == F.col("prev_key")).selectExpr(
+        "n_block", f"{_hash('t', 'o_orderkey')} AS tx_id", "position AS input_index",
+        f"CASE WHEN o_orderkey % 997 = 0 THEN {_hash('x', 'prev_key')} ELSE {_hash('t', 'prev_key')} END AS prev_tx_hash",
+        "position AS prev_tx_index", "0 AS is_coinbase", "created_at", "kind", "tie_part", "tie_supp")
+    first = tx.where("prev_key IS NULL").selectExpr(
+        "n_block", f"{_hash('t', 'o_orderkey')} AS tx_id", "0L AS input_index", f"'{ZERO_HASH}' AS prev_tx_hash",
+        f"{COINBASE_INDEX}L AS prev_tx_index", "1 AS is_coinbase", "o_orderdate AS created_at",
+        "1L AS kind", "0L AS tie_part", "0L AS tie_supp")
+    return spends.unionByName(first).selectExpr(
         "n_block", "tx_id", "input_index", "prev_tx_hash", "prev_tx_index",
-        (F.lit(COINBASE_INDEX) - F.col("kind")).cast("long").alias("sequence_number"),
-        F.lower(F.hex(F.concat(F.lit("i"), F.col("kind").cast("string")))).alias("script_hex"),
-        _kind_class(2).alias("script_type"),
-        segwit.cast("int").alias("is_segwit"),
-        F.when(segwit, 1).otherwise(0).cast("long").alias("witness_count"),
-        F.when(segwit, F.array(F.lower(F.hex(witness)))).otherwise(F.array().cast("array<string>")).alias("witness_data"),
-        (F.col("kind") + 41).cast("long").alias("input_size"),
-        "is_coinbase", "created_at", "kind", "tie_part", "tie_supp",
-    )
+        f"{COINBASE_INDEX}L - kind AS sequence_number",
+        "lower(hex(concat('i', CAST(kind AS string)))) AS script_hex",
+        f"{_kind_class(2)} AS script_type",
+        "CAST(kind BETWEEN 12 AND 16 AS int) AS is_segwit",
+        "CAST(kind BETWEEN 12 AND 16 AS bigint) AS witness_count",
+        "CASE WHEN kind BETWEEN 12 AND 16 THEN array(lower(hex(concat('w', CAST(tie_part AS string)))))"
+        " ELSE CAST(array() AS array<string>) END AS witness_data",
+        "kind + 41 AS input_size",
+        "is_coinbase", "created_at", "kind", "tie_part", "tie_supp")
 
 
 def read_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
@@ -249,7 +200,11 @@ def nest(blocks: DataFrame, tran_in: DataFrame, tran_out: DataFrame) -> DataFram
         "block_hash", "n_block", "block_timestamp", "version", "prev_block_hash", "merkle_root",
         "nonce", "bits", "size", "weight", "transaction_count",
     )
-    return header.join(parts, "n_block", "left").select(
+    # An inner join can broadcast the headers or split a day with very many parts; an outer join could not.
+    filled = parts.join(header, "n_block")
+    present = tran_in.select("n_block").unionByName(tran_out.select("n_block")).distinct()
+    bare = header.join(present, "n_block", "left_anti")
+    return filled.unionByName(bare, allowMissingColumns=True).select(
         "block_hash", "n_block", "block_timestamp", "version", "prev_block_hash", "merkle_root",
         "nonce", "bits", "size", "weight", "part", "transaction_count", "transactions",
     )

@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from tallychain import schemas
 from tallychain.functions import scalars as S
 from tallychain.ledger import Ledger
-from tallychain.operators.planning import change_point, rewind_point
+from tallychain.operators.latest import latest_by
+from tallychain.operators.planning import change_point
+from tallychain.session import drop_folder, filesystem
 
 BUCKET = "n_block_bucket"
 
@@ -53,29 +55,13 @@ class LedgerStore:
     def folder(self, table: str) -> str:
         return f"{self.path}/{table}"
 
-    def filesystem(self, path: str):
-        jvm = self.spark._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
-    def exists(self, path: str) -> bool:
-        fs, p = self.filesystem(path)
-        return fs.exists(p)
-
-    def _make_folder(self, path: str):
-        fs, p = self.filesystem(path)
-        fs.mkdirs(p)
-
-    def _drop_folder(self, path: str):
-        fs, p = self.filesystem(path)
-        fs.delete(p, True)
-
     def create(self) -> bool:
         """Set up empty tables once; the version marker, written last, says that they exist."""
-        if self.exists(self.folder("db_version") + "/_SUCCESS"):
+        fs, marker = filesystem(self.spark, self.folder("db_version") + "/_SUCCESS")
+        if fs.exists(marker):
             return False
         for table in TABLES:
-            self._make_folder(self.folder(table))
+            fs.mkdirs(filesystem(self.spark, self.folder(table))[1])
         one = self.spark.range(1).select(F.lit(schemas.SCHEMA_VERSION).cast("long").alias("version"))
         one.write.mode("overwrite").parquet(self.folder("db_version"))
         return True
@@ -154,16 +140,15 @@ class LedgerStore:
         """Dynamic overwrite keeps partitions that got no new row; remove those with older rows only."""
         stale = replaced.groupBy(partition).agg(F.max("updated_at").alias("newest")).where(F.col("newest") < F.lit(stamp))
         for row in stale.select(F.col(partition).cast("string")).collect():  # partition folders, not data
-            self._drop_folder(f"{self.folder(table)}/{partition}={row[0]}")
+            drop_folder(self.spark, f"{self.folder(table)}/{partition}={row[0]}")
 
     # ---- change points -------------------------------------------------------------------
 
-    def logged_point(self, target: str) -> DataFrame:
-        """The newest entry of the change log as one row, or no row."""
-        return (
-            self.read("change_log").where(F.col("target") == target)
-            .agg(F.max_by("n_block", F.struct("version", "n_block")).alias("n_block")).where("n_block is not null")
-        )
+    def logged_points(self) -> dict:
+        """Newest logged change point per derived table; a table that was never refreshed has none."""
+        newest = self.read("change_log").groupBy("target").agg(
+            F.max_by("n_block", F.struct("version", "n_block")).alias("n_block"))
+        return {row["target"]: row["n_block"] for row in newest.collect()}  # one row per derived table
 
     def change_point(self, target: str) -> int:
         log = self.read("change_log").where(F.col("target") == target)
@@ -175,9 +160,20 @@ class LedgerStore:
             F.lit(now()).alias("version"), F.lit(reason).alias("reason"))
         conform(row, schemas.CHANGE_LOG).write.mode("append").parquet(self.folder("change_log"))
 
-    def rewind(self, arriving: DataFrame):
-        """Move change points back before the first of the arriving blocks, where they lie behind it."""
-        for target in ("turnover", "turnover_m"):
-            point = rewind_point(arriving, self.logged_point(target)).first()
-            if point is not None:
-                self.log_point(target, point[0], "rewind")
+    def rewind(self, first_block: int):
+        """Before blocks from ``first_block`` on are stored: move later change points back in front of it."""
+        for target, point in self.logged_points().items():
+            if first_block - 1 < point:
+                self.log_point(target, first_block - 1, "rewind")
+
+    # ---- maintenance ----------------------------------------------------------------------
+
+    def compact(self, table: str, keys, version, first_bucket: int, last_bucket: int):
+        """Rewrite buckets of a base table with the newest rows only, in few files.
+
+        Readers see the same newest rows before and after.  Each bucket is staged in full
+        before it replaces the old one.
+        """
+        chosen = self.read(table).where(F.col(BUCKET).between(first_bucket, last_bucket))
+        rows = self._laid_out(table, latest_by(chosen, keys, version))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.folder(table))

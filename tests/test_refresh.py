@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallychain import LedgerStore, refresh_all, refresh_turnover
-from tallychain.operators import planning
+from tallychain.operators import latest, planning
 from tallychain.operators.turnover import turnover, turnover_m
 from tallychain.plans import load
 from tallychain.plans.refresh import covered_block
@@ -150,7 +150,7 @@ def test_public_tables_and_views(store):
     top = spark.sql("SELECT address, sum(value) AS value, count(tx_id) FROM turnover GROUP BY address "
                     "HAVING value > 0 ORDER BY value DESC LIMIT 10").collect()
     assert f"{top[0].value:.8f}" == "0.00000090" and top[0].address == "miner"
-    assert spark.table("blocks_h").count() == 3 and spark.table("tran_out_h").count() == 5
+    assert spark.table("blocks_h").count() == 3 and spark.table("tran_out_h").count() == 7
 
 
 def test_refresh_reads_only_the_needed_partitions(store):
@@ -164,3 +164,21 @@ def test_refresh_reads_only_the_needed_partitions(store):
     plan = sources._jdf.queryExecution().executedPlan().toString()
     assert "n_block_bucket" in plan.split("PartitionFilters")[1] and "LeftSemi" in plan
     assert {r.n_block for r in sources.collect()} == {7, 8, 9, 10}
+
+
+def test_compaction_keeps_the_newest_rows(store):
+    chain = m.chain(9)
+    deliver(store, chain)
+    deliver(store, chain[:6])
+    before = m.rows(latest.latest_inputs(store.ledger()), "n_block", "tx_id", "input_index", "created_at")
+    raw = store.read("tran_in").count()
+    store.compact("tran_in", latest.IN_KEY, ["created_at"], 0, 1)
+    assert store.read("tran_in").count() < raw
+    assert m.rows(latest.latest_inputs(store.ledger()), "n_block", "tx_id", "input_index", "created_at") == before
+    assert_fresh(store)
+
+
+def test_writes_are_gathered_by_bucket_and_may_be_split(store):
+    rows = store._laid_out("tx_block", store.read("tx_block").drop("n_block_bucket"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan

@@ -4,7 +4,7 @@ import random
 
 from tallychain import LedgerStore, start_stream
 from tallychain.plans import load
-from tallychain.streaming.loader import load_batch, waiting_blocks
+from tallychain.streaming.loader import load_batch, load_files, waiting_blocks
 from tests import micro as m
 
 
@@ -41,3 +41,17 @@ def test_orphans_wait_and_batches_can_run_twice(spark, store):
     once = m.turnover_rows(store)
     load_batch(store, m.nested(spark, chain), 2)
     assert m.turnover_rows(store) == once
+
+
+def test_one_pass_over_files_resumes_at_the_newest_stored_one(spark, store, tmp_path):
+    chain = m.chain(9, height=False)
+    folder = tmp_path / "files"
+    for number, start in enumerate((0, 3)):
+        m.nested(spark, chain[start:start + 3]).coalesce(1).write.parquet(str(folder / f"part={number}"))
+    load_files(store, str(folder / "*"))
+    assert sorted(r.n_block for r in store.read("blocks").collect()) == list(range(6))
+    m.nested(spark, chain[6:]).coalesce(1).write.parquet(str(folder / "part=2"))
+    load_files(store, str(folder / "*"))
+    assert sorted(r.n_block for r in store.read("blocks").collect()) == list(range(9))
+    load_files(store, str(folder / "*"))
+    assert store.read("blocks").count() == 9
