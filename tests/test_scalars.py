@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def test_months_cross_the_year(spark):
 
 def test_coins_are_exact(spark):
     row = one(spark, big=S.to_coin(F.lit(2100000000000001)), small=S.to_coin(F.lit(-1)))
-    assert (str(row.big), str(row.small)) == ("21000000.00000001", "-1E-8")
+    assert (row.big, row.small) == (Decimal("21000000.00000001"), Decimal("-0.00000001"))
 
 
 def test_owner_address(spark):
