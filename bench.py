@@ -49,7 +49,8 @@ def main():
 
     led = read_ledger(spark, SF_DIR)
     source_folder = new_work_folder(spark, "bench-source")
-    nest(latest.latest_blocks(led), latest.latest_inputs(led), latest.latest_outputs(led)).write.parquet(source_folder)
+    nested = nest(latest.latest_blocks(led), latest.latest_inputs(led), latest.latest_outputs(led))
+    nested.withColumn("block_timestamp", F.col("block_timestamp").cast("timestamp")).write.parquet(source_folder)
     source = load.read_nested(spark, source_folder)
     store = LedgerStore(spark, new_work_folder(spark, "bench"))
     store.create()

@@ -12,7 +12,7 @@ from tallychain.ledger import Ledger
 from tallychain.operators import balances, checks, entries, flatten, latest, planning, turnover, views
 from tallychain.plans import load
 from tallychain.session import new_work_folder
-from tallychain.sources.sample_ledger import KINDS, kind_flag, nest, read_ledger
+from tallychain.sources.sample_ledger import kind_flag, nest, read_ledger
 
 QUERIES = {}
 
@@ -118,7 +118,8 @@ class _Run:
         self.store = LedgerStore(spark, new_work_folder(spark, name), bucket_size=100)
         self.store.create()
         source = new_work_folder(spark, f"{name}-source")
-        _nested(read_ledger(spark, sf_dir)).write.parquet(source)
+        rows = _nested(read_ledger(spark, sf_dir))
+        rows.withColumn("block_timestamp", F.col("block_timestamp").cast("timestamp")).write.parquet(source)
         self.source = load.read_nested(spark, source)
 
     def deliver(self, condition, update=False):
