@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallychain.llm import decontaminate, licenses, mixing, neighbours, packing, quality, simhash, substrings
+from tallychain.llm import decontaminate, html_text, language_model, licenses, mixing, neighbours, packing, quality, simhash, substrings
 
 
 def _table(spark, sf_dir, name):
@@ -18,6 +18,10 @@ def op1_quality(spark, sf_dir):
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_language_model(spark, sf_dir):
+    return language_model.score(_documents(spark, sf_dir))
+
+
 def op3_mixing(spark, sf_dir):
     return mixing.mix(_documents(spark, sf_dir)).select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
@@ -41,6 +45,11 @@ def op6_licenses(spark, sf_dir):
     return licenses.scan(_documents(spark, sf_dir))
 
 
+def op7_html(spark, sf_dir):
+    found = html_text.main_texts(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_substrings(spark, sf_dir):
     return substrings.dedup(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -59,10 +68,12 @@ def op10_simhash(spark, sf_dir):
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_language_model": op2_language_model,
     "op3_mixing": op3_mixing,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_licenses": op6_licenses,
+    "op7_html": op7_html,
     "op8_substrings": op8_substrings,
     "op9_neighbours": op9_neighbours,
     "op10_simhash": op10_simhash,
