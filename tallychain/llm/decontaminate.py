@@ -8,6 +8,8 @@ from tallychain.session import written
 #: What separates words here; the words are runs of ASCII letters, digits and all characters beyond ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, GRAM, SHORT = 10, 5, 3
+#: Low bits of a kept hash that hold its place; Spark's strings are too short for more words than that.
+PLACE = 30
 
 
 def bench_words(text):
@@ -26,20 +28,29 @@ def _grams(words, gram):
     return F.when(F.size(words) >= gram, each).otherwise(F.array().cast("array<bigint>"))
 
 
-def _winnowed(hashes, guarantee):
-    """1-based starts of the leftmost least hash of every run of ``guarantee`` hashes."""
+def _marks(grams):
+    """The least gram of every run of ``WINDOW - GRAM + 1`` grams, each with its place in the low ``PLACE`` bits.
+
+    The place breaks ties between equal hashes: the first of a run counts, on both sides alike.
+    """
+    runs = F.sequence(F.lit(1), F.size(grams) - WINDOW + GRAM)
+    least = F.transform(runs, lambda j: F.least(*[F.element_at(grams, j + k) for k in range(WINDOW - GRAM + 1)]))
+    return F.when(F.size(grams) > WINDOW - GRAM, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _placed_grams(words):
+    """Gram hashes with their places in the low bits."""
+    starts = F.sequence(F.lit(1), F.size(words) - GRAM + 1)
+    each = F.transform(starts, lambda i: _high(_hash_at(words, i, GRAM)).bitwiseOR(i.cast("long")))
+    return F.when(F.size(words) >= GRAM, each).otherwise(F.array().cast("array<bigint>"))
 
-    def least(j):
-        part = F.slice(hashes, j, guarantee)
-        return (j + F.array_position(part, F.array_min(part)) - 1).cast("int")
 
-    runs = F.transform(F.sequence(F.lit(1), F.size(hashes) - guarantee + 1), least)
-    return F.when(F.size(hashes) >= guarantee, F.array_distinct(runs)).otherwise(F.array().cast("array<int>"))
+def _high(mark):
+    return mark.bitwiseAND(F.lit(-(1 << PLACE)))
 
 
-def _marks(words, hashes):
-    """(p, h): kept hashes and their starts."""
-    return F.transform(_winnowed(hashes, WINDOW - GRAM + 1), lambda p: F.struct(p.alias("p"), F.element_at(hashes, p).alias("h")))
+def _place(mark):
+    return mark.bitwiseAND((1 << PLACE) - 1).cast("int")
 
 
 def _item_marks(items):
@@ -48,12 +59,12 @@ def _item_marks(items):
     ``q`` is the place of the hash's first word in ``around``, ``n`` the length of the windows.
     """
     reach = WINDOW - GRAM
-    marks = items.where(F.size("words") >= WINDOW).withColumn("hashes", _grams(F.col("words"), GRAM))
-    marks = marks.select("item_id", "words", F.explode(_marks(F.col("words"), F.col("hashes"))).alias("m"))
-    first = F.greatest(F.lit(1), F.col("m.p") - reach)
+    marks = items.where(F.size("words") >= WINDOW).withColumn("grams", _placed_grams(F.col("words")))
+    marks = marks.select("item_id", "words", F.explode(_marks(F.col("grams"))).alias("m")).withColumn("p", _place(F.col("m")))
+    first = F.greatest(F.lit(1), F.col("p") - reach)
     return marks.select(
-        F.col("m.h").alias("h"), "item_id", (F.col("m.p") - first + 1).alias("q"), F.lit(WINDOW).alias("n"),
-        F.slice("words", first, F.col("m.p") + WINDOW - first).alias("around"),
+        _high(F.col("m")).alias("h"), "item_id", (F.col("p") - first + 1).alias("q"), F.lit(WINDOW).alias("n"),
+        F.slice("words", first, F.col("p") + WINDOW - first).alias("around"),
     )
 
 
@@ -85,13 +96,13 @@ def occurrences(docs, benchmark):
     keys = KEYS
     slim = keyed(docs.select("doc_id", "text"))
     worded = slim.select("doc_id", *keys, bench_words(F.col("text")).alias("words"))
-    hashed = worded.withColumn("hashes", _grams(F.col("words"), GRAM))
+    hashed = worded.withColumn("grams", _placed_grams(F.col("words")))
     short = {f"short{g}": _grams(F.col("words"), g) for g in lengths}
     marked, _ = written(
-        hashed.select("doc_id", *keys, F.size("words").alias("n_words"), _marks(F.col("words"), F.col("hashes")).alias("marks"),
+        hashed.select("doc_id", *keys, F.size("words").alias("n_words"), _marks(F.col("grams")).alias("marks"),
                       *[c.alias(name) for name, c in short.items()]), "winnow-docs"
     )
-    found = marked.select(*keys, F.explode("marks").alias("m")).select(*keys, F.col("m.p").alias("p"), F.col("m.h").alias("h"))
+    found = marked.select(*keys, F.explode("marks").alias("m")).select(*keys, _place(F.col("m")).alias("p"), _high(F.col("m")).alias("h"))
     found = found.join(sized_broadcast(written(_item_marks(items), "winnow-marks")[0], most=100_000), "h")
     for g in lengths:
         places = marked.select(*keys, F.posexplode(f"short{g}").alias("p", "h")).withColumn("p", F.col("p") + 1)

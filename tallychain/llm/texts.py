@@ -9,7 +9,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def lowered(text):
     """A-Z in lower case; every other character stays as it is."""
-    return F.translate(text, UPPER, LOWER)
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def word_count(text):
