@@ -121,7 +121,9 @@ def occurrences(docs, benchmark):
     checked = F.transform("hits", lambda h: F.struct(h["item_id"].cast("string").alias("item"), h["n"].alias("n"), starts(h).alias("starts")))
     covered = F.flatten(F.transform("real", lambda h: F.flatten(F.transform(h["starts"], lambda s: F.sequence(s, s + h["n"] - 1)))))
     extended = (
-        slim.join(gathered, keys).dropDuplicates(keys).select(*keys, bench_words(F.col("text")).alias("words"), "hits")
+        slim.join(gathered, keys).dropDuplicates(keys)
+        # explode() of one element keeps the words from being computed anew for each hit.
+        .select(*keys, F.explode(F.array(bench_words(F.col("text")))).alias("words"), "hits")
         .select(*keys, F.filter(checked, lambda h: F.size(h["starts"]) > 0).alias("real"))
         .select(*keys, F.size(F.array_distinct(covered)).alias("n_hit"),
                 F.array_sort(F.array_distinct(F.filter(F.transform("real", lambda h: h["item"]), lambda i: i.isNotNull()))).alias("items"))
