@@ -5,7 +5,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from tallychain.session import written
+from tallychain.llm.texts import settled, sized_broadcast
 
 #: Words of a window; period and cover: for any two places there is a shift below 7 that brings both into the cover.
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
@@ -114,32 +114,38 @@ def _cut(marked):
         for pdf in batches:
             for rows in _batched(pdf, 256):
                 out = []
-                for order_id, text, places in zip(rows["order_id"], rows["text"], rows["places"]):
+                for order_id, text, copy, places in zip(*(rows[c] for c in ("order_id", "text", "copy", "places"))):
                     words = (text or "").encode("utf-8", "surrogatepass").split()
-                    gone = 0
-                    if places is not None and len(places):
-                        lost = covered(len(words), places)
-                        gone, total = int(lost.sum()), len(words)
-                        words = [w for w, x in zip(words, lost) if not x]
-                    else:
-                        total = len(words)
-                    out.append((order_id, total, gone, b" ".join(words).decode("utf-8", "surrogatepass")))
+                    total = len(words)
+                    if copy:
+                        words = words if total < WINDOW else []
+                    elif places is not None and len(places):
+                        words = [w for w, lost in zip(words, covered(total, places)) if not lost]
+                    out.append((order_id, total, total - len(words), b" ".join(words).decode("utf-8", "surrogatepass")))
                 yield pd.DataFrame(out, columns=["order_id", "n_words", "n_removed", "kept"]).assign(no_id=rows["no_id"].to_numpy())
 
-    left = marked.select("order_id", "no_id", "text", "places").mapInPandas(
+    left = marked.select("order_id", "no_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "places").mapInPandas(
         cut, "order_id long, n_words long, n_removed long, kept string, no_id boolean"
     )
     return left.select(F.when(~F.col("no_id"), F.col("order_id")).alias("doc_id"), "n_words", "n_removed", "kept")
 
 
+def _copies(source):
+    """Keys of rows whose whole text a row with a smaller id has, by 128 bits of it."""
+    marked = source.select(*_KEY, F.md5("text").alias("digest"))
+    first = marked.groupBy("digest").agg(F.min("order_id").alias("first"), F.max("order_id").alias("last")).where("first < last")
+    return marked.join(first.select("digest", "first"), "digest").where("first < order_id").select(*_KEY).distinct()
+
+
 def dedup(docs):
     """(doc_id, n_words, n_removed, kept) of every row; ``kept`` are the words left, joined by one space.
 
     A word goes if a window of ``WINDOW`` words over it also begins in a row with a smaller doc_id.
-    Anchors that two rows or more share are extended to the windows over them; windows with equal
-    128-bit hashes are equal.  Counts and smallest ids are hash aggregates, so that what many rows
-    share shrinks before the shuffle; the joins back are left to Spark's splitting of skewed
-    partitions.  Both joins with the texts deal them out alike and share one shuffle.
+    Copies of a whole text are settled first, as all their windows begin in the first of them.  Of
+    the rest, anchors that two rows or more share are extended to the windows over them; windows
+    with equal 128-bit hashes are equal.  Counts and smallest ids are hash aggregates, so that what
+    many rows share shrinks before the shuffle; the joins back are left to Spark's splitting of
+    skewed partitions.  Every step ends in a written table.
 
     Null texts have no words.  A null doc_id counts as larger than all others.  Rows that repeat a
     doc_id don't remove each other's words.  Tables without rows give none.
@@ -148,9 +154,13 @@ def dedup(docs):
         F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("order_id"),
         F.xxhash64("doc_id", "text").alias("text_hash"), "text",
     )
-    shared, _ = written(shared_anchors(source), "anchors")
-    found = anchors(source).join(shared, "anchor").groupBy(*_KEY).agg(F.collect_set("place").alias("places"))
-    seen = windows(source.join(found, _KEY))
-    first = seen.groupBy("w1", "w2").agg(F.min("order_id").alias("first"))
-    repeats = seen.join(first, ["w1", "w2"]).where("first < order_id").groupBy(*_KEY).agg(F.collect_set("place").alias("places"))
-    return _cut(source.join(repeats, _KEY, "left"))
+    copies = sized_broadcast(settled(_copies(source), "substring-copies")[0], most=2_000_000)
+    fresh = source.join(copies, _KEY, "left_anti")
+    shared, folder = settled(shared_anchors(fresh), "substring-anchors")
+    found = anchors(fresh).join(shared, "anchor").groupBy(*_KEY).agg(F.collect_set("place").alias("places"))
+    found, folder = settled(found, "substring-places", folder)
+    seen, folder = settled(windows(fresh.join(found, _KEY)), "substring-windows", folder)
+    first = seen.groupBy("w1", "w2").agg(F.min("order_id").alias("first"), F.max("order_id").alias("last")).where("first < last")
+    repeats = seen.join(first.select("w1", "w2", "first"), ["w1", "w2"]).where("first < order_id")
+    repeats, _ = settled(repeats.groupBy(*_KEY).agg(F.collect_set("place").alias("places")), "substring-repeats", folder)
+    return _cut(source.join(copies.withColumn("copy", F.lit(True)), _KEY, "left").join(repeats, _KEY, "left"))

@@ -1,7 +1,11 @@
 """Word rules shared by the operators."""
 
+import gc
+
 from pyspark.sql import functions as F
 
+from tallychain.session import drop_folder, written
+
 #: White space of the word rule: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,3 +37,19 @@ KEYS = ["__id", "__hash"]
 def keyed(docs):
     """Rows by doc_id and text; equal rows share a key and get equal results."""
     return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")), "__hash": F.xxhash64("doc_id", "text")})
+
+
+def settled(df, name, *folders):
+    """``df`` as a written table; what only it needed is given up: ``folders``, and the shuffle files of steps that have ended.
+
+    Spark's cleaner removes shuffle files once the driver has collected the step's objects, so a
+    chain of such steps needs the disk of its largest one rather than of all.
+    """
+    spark = df.sparkSession
+    table, folder = written(df, name)
+    del df
+    for old in folders:
+        drop_folder(spark, old)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return table, folder
