@@ -152,7 +152,7 @@ SELECTS = {
     "flatten_blocks": """SELECT block_hash, prev_block_hash, merkle_root, n_block, block_timestamp, version, nonce, bits, size,
         weight, transaction_count FROM lb""",
     "flatten_inputs": """SELECT n_block, tx_id, input_index, prev_tx_hash, prev_tx_index, sequence_number, script_hex, script_type,
-        max(is_segwit) OVER (PARTITION BY n_block, tx_id, input_index // 16) AS is_segwit,
+        max(is_segwit) OVER (PARTITION BY n_block, tx_id) AS is_segwit,
         witness_count, witness_data, input_size, is_coinbase FROM li""",
     "flatten_outputs": """SELECT n_block, tx_id, output_index, value, is_coinbase, script_hex, script_type, is_p2pkh, is_p2sh,
         is_p2wpkh, is_p2wsh, is_p2tr, is_multisig, is_unknown, is_op_return, address_count,
@@ -192,8 +192,8 @@ SELECTS = {
     "tx_net": "SELECT n_block, time, tx_id, sats FROM net",
     "top_wallets": """SELECT address, CAST(sum(sats) AS BIGINT) AS sats, count(tx_id) AS n_tx FROM tv GROUP BY address
         HAVING sum(sats) > @MIN_SATS@ ORDER BY sum(sats) DESC, address LIMIT 10""",
-    "address_balance": "SELECT CAST(sum(sats) AS BIGINT) AS sats FROM tv WHERE address = '@ADDRESS@'",
-    "address_balance_hybrid": """SELECT CAST(sum(sats) AS BIGINT) AS sats FROM (
+    "address_balance": "SELECT CAST(coalesce(sum(sats), 0) AS BIGINT) AS sats FROM tv WHERE address = '@ADDRESS@'",
+    "address_balance_hybrid": """SELECT CAST(coalesce(sum(sats), 0) AS BIGINT) AS sats FROM (
         SELECT sats FROM tm WHERE time_month < '@CUT_MONTH@' AND address = '@ADDRESS@'
         UNION ALL SELECT sats FROM tv WHERE time >= TIMESTAMP '@CUT_MONTH@' AND address = '@ADDRESS@')""",
     "to_coin": """SELECT address, CAST(CAST(sum(sats) * CAST('0.00000001' AS DECIMAL(9, 8)) AS DECIMAL(18, 8)) AS VARCHAR) AS value

@@ -89,12 +89,20 @@ def to_coin(sats: Column) -> Column:
 # ---- times and months -----------------------------------------------------------------------
 
 def as_type_of(df: DataFrame, name: str, value: Column) -> Column:
-    """Cast a literal to the type of a column, so that comparing them needs no cast of the column."""
+    """A date in the type of a time column, so that comparing them needs no cast of the column; midnight is that of UTC."""
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.timestamp_seconds(F.unix_date(value.cast("date")) * 86400)
     return value.cast(df.schema[name].dataType)
 
 
+def utc_date(ts: Column) -> Column:
+    """Calendar date of a time: that of UTC for instants, the written one for times without zone and for dates."""
+    days = F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(86_400_000_000)).cast("int")
+    return F.when(F.typeof(ts) == "timestamp", F.date_from_unix_date(days)).otherwise(ts.cast("date"))
+
+
 def month_start(ts: Column) -> Column:
-    return F.trunc(ts.cast("date"), "MM")
+    return F.trunc(utc_date(ts), "MM")
 
 
 def next_month(ts: Column) -> Column:

@@ -3,6 +3,21 @@
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+BUCKET = "n_block_bucket"
+
+
+def block_range(start: int = None, end: int = None, bucket_size: int = None) -> Column:
+    """start <= n_block <= end, either may be open; with a bucket size the same on the partition column."""
+    found = F.lit(True)
+    for name, size in (("n_block", 1), *([(BUCKET, bucket_size)] if bucket_size else [])):
+        if start is not None:
+            found = found & (F.col(name) >= start // size)
+        if end is not None:
+            found = found & (F.col(name) <= end // size)
+    return found
 
 
 @dataclass(frozen=True)
@@ -14,6 +29,16 @@ class Ledger:
     tran_out: DataFrame
     block_version: tuple = ("processed_at",)
     row_version: tuple = ("created_at",)
+    # Columns that settle rows of equal version, the same for every use of a table and narrow enough to be read always.
+    block_ties: tuple = ("block_hash", "block_timestamp", "prev_block_hash", "transaction_count")
+    in_ties: tuple = ("prev_tx_hash", "prev_tx_index", "is_coinbase", "sequence_number")
+    out_ties: tuple = ("value", "is_coinbase", "is_op_return", "address_count", "script_type")
+    # Blocks per partition folder where the tables are stored ones.
+    bucket_size: int = None
+
+    def between(self, start: int = None, end: int = None) -> "Ledger":
+        """The part of all three tables with start <= n_block <= end; stored tables open only the folders that can hold it."""
+        return self.where(block_range(start, end, self.bucket_size))
 
     def where(self, condition: Column) -> "Ledger":
         """The part of all three tables that satisfies a condition on the block number."""

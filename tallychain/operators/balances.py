@@ -17,16 +17,20 @@ def top_wallets(turnover_rows: DataFrame, above: int = 0, n: int = 10) -> DataFr
     )
 
 
+def _total() -> Column:
+    return F.coalesce(F.sum("sats"), F.lit(0)).cast("long").alias("sats")
+
+
 def address_balance(turnover_rows: DataFrame, address: str) -> DataFrame:
-    """Balance of one address from the detail table."""
-    return turnover_rows.where(F.col("address") == address).agg(F.sum("sats").alias("sats"))
+    """Balance of one address from the detail table; 0 for one that never occurs."""
+    return turnover_rows.where(F.col("address") == address).agg(_total())
 
 
 def address_balance_hybrid(turnover_rows: DataFrame, monthly: DataFrame, address: str, cut: Column) -> DataFrame:
     """The same balance from complete months before ``cut`` (a month start) and detail from ``cut`` on."""
     before = monthly.where((F.col("address") == address) & (F.col("time_month") < cut)).select("sats")
     after = turnover_rows.where((F.col("address") == address) & (F.col("time") >= as_type_of(turnover_rows, "time", cut))).select("sats")
-    return before.unionByName(after).agg(F.sum("sats").alias("sats"))
+    return before.unionByName(after).agg(_total())
 
 
 def balances(turnover_rows: DataFrame) -> DataFrame:

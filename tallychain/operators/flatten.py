@@ -45,7 +45,7 @@ def flatten_inputs(nested: DataFrame, at=None) -> DataFrame:
         S.script_type_in(lambda flag: F.col(f"e.{flag}")).alias("script_type"),
         S.flag01(F.col("is_segwit")).alias("is_segwit"),
         F.coalesce(F.size("e.witnesses"), F.lit(0)).cast("long").alias("witness_count"),
-        F.transform("e.witnesses", S.to_hex).alias("witness_data"),
+        F.coalesce(F.transform("e.witnesses", S.to_hex), F.array().cast("array<string>")).alias("witness_data"),
         F.col("e.size").alias("input_size"),
         S.flag01(F.col("is_coinbase")).alias("is_coinbase"),
         _stamp(at).alias("created_at"),

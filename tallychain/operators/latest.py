@@ -11,31 +11,33 @@ IN_KEY = ["tx_id", "input_index", "n_block"]
 OUT_KEY = ["tx_id", "output_index", "n_block"]
 
 
-def latest_by(df: DataFrame, keys, version, columns=None) -> DataFrame:
+def latest_by(df: DataFrame, keys, version, columns=None, ties=None) -> DataFrame:
     """One whole row per key: the one with the greatest version.
 
     Spark limits the ranking to the first row before the shuffle as well, so a key with
-    very many versions sends one row per map task.  Remaining columns break version ties,
-    which makes the winner the same on every run and never mixes two rows.
+    very many versions sends one row per map task.  ``ties`` settle equal versions, so that
+    every use of a table shows the same row whichever columns it asks for; without them the
+    remaining columns do.
     """
     columns = [c for c in (columns or df.columns) if c not in keys]
-    order = list(version) + [c for c in columns if c not in version]
+    settled = [c for c in (columns if ties is None else ties) if c in df.columns]
+    order = [*version, *[c for c in settled if c not in version]]
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    kept = [c for c in df.columns if c in keys or c in columns or c in version]
+    kept = [c for c in df.columns if c in keys or c in columns or c in order]
     result = [c for c in df.columns if c in keys or c in columns]
     return df.select(*kept).withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").select(*result)
 
 
 def latest_blocks(ledger: Ledger, columns=None) -> DataFrame:
-    return latest_by(ledger.blocks, BLOCK_KEY, ledger.block_version, columns)
+    return latest_by(ledger.blocks, BLOCK_KEY, ledger.block_version, columns, ledger.block_ties)
 
 
 def latest_inputs(ledger: Ledger, columns=None) -> DataFrame:
-    return latest_by(ledger.tran_in, IN_KEY, ledger.row_version, columns)
+    return latest_by(ledger.tran_in, IN_KEY, ledger.row_version, columns, ledger.in_ties)
 
 
 def latest_outputs(ledger: Ledger, columns=None) -> DataFrame:
-    return latest_by(ledger.tran_out, OUT_KEY, ledger.row_version, columns)
+    return latest_by(ledger.tran_out, OUT_KEY, ledger.row_version, columns, ledger.out_ties)
 
 
 def latest_turnover(turnover: DataFrame) -> DataFrame:

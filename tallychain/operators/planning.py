@@ -46,13 +46,13 @@ def distinct_blocks(blocks: DataFrame, start: int = 0, end: int = None) -> DataF
 
 def block_time_at(ledger: Ledger, n_block: int) -> DataFrame:
     """Time of the newest version of one block; one row, NULL if the block is not stored."""
-    one = ledger.where(F.col("n_block") == n_block)
+    one = ledger.between(n_block, n_block)
     return block_times(one).agg(F.max("time").alias("time"))
 
 
 def max_block_before(blocks: DataFrame, time) -> DataFrame:
     """Greatest block number among block rows with an earlier time stamp."""
-    limit = S.as_type_of(blocks, "block_timestamp", F.lit(time))
+    limit = F.lit(time).cast(blocks.schema["block_timestamp"].dataType)
     return blocks.where(F.col("block_timestamp") < limit).agg(F.max("n_block").alias("n_block"))
 
 
@@ -62,10 +62,10 @@ def max_block_before(blocks: DataFrame, time) -> DataFrame:
 def change_point(log: DataFrame, blocks: DataFrame) -> DataFrame:
     """Last block up to which a table is up to date.
 
-    The newest entry of ``log`` (n_block, version) if there is one, else the block before
+    The newest entry of ``log`` (n_block, version), of equal ones the smallest block, if there is one, else the block before
     the first stored one, else -1.
     """
-    newest = log.agg(F.max_by("n_block", F.struct("version", "n_block")).alias("logged")).select(
+    newest = log.agg(F.max_by("n_block", F.struct("version", -F.col("n_block"))).alias("logged")).select(
         "logged", F.lit(None).cast("long").alias("first"))
     first = blocks.agg(F.min("n_block").alias("first")).select(F.lit(None).cast("long").alias("logged"), "first")
     return newest.unionByName(first).agg(
@@ -181,12 +181,13 @@ def parent_height(candidates: DataFrame, blocks: DataFrame) -> DataFrame:
     return first.unionByName(rest.select("block_hash", "n_block"))
 
 
-def assign_heights(candidates: DataFrame, blocks: DataFrame) -> DataFrame:
+def assign_heights(candidates: DataFrame, blocks: DataFrame, folders: list = None) -> DataFrame:
     """(block_hash, n_block) for every candidate; NULL where no chain of parents reaches a known height.
 
     Each block points at its parent with distance 1.  In every round a block that still
     points at an open block takes over that block's pointer and adds the distances, so a
     chain of n blocks is settled in about log2(n) rounds.  Settled blocks leave the join.
+    ``folders`` gets the work folder that the result reads, for callers that drop it.
     """
     heads = candidates.select("block_hash", "prev_block_hash").dropDuplicates(["block_hash"])
     own = parent_height(heads, blocks).groupBy("block_hash").agg(F.max("n_block").alias("n_block"))
@@ -217,6 +218,8 @@ def assign_heights(candidates: DataFrame, blocks: DataFrame) -> DataFrame:
         older = folder
         state, folder = written(state.where("ptr is null").unionByName(moved), "heights")
         drop_folder(state.sparkSession, older)
+    if folders is not None:
+        folders.append(folder)
     return state.select("block_hash", "n_block")
 
 

@@ -4,9 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallychain import schemas
+from tallychain.functions import scalars as S
 from tallychain.operators import flatten, planning
-from tallychain.operators.entries import tx_block
 from tallychain.plans.refresh import refresh_all
+from tallychain.session import drop_folder, written
 from tallychain.sources.store import LedgerStore, now
 
 BROADCAST_ROWS = 1_000_000  # plain numbers or hashes: some tens of megabytes at most
@@ -14,32 +15,53 @@ BROADCAST_ROWS = 1_000_000  # plain numbers or hashes: some tens of megabytes at
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a side for broadcasting if a count shows that it is small; otherwise leave the choice to Spark."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def read_nested(spark, path: str) -> DataFrame:
     return spark.read.schema(schemas.NESTED_BLOCK).parquet(path)
 
 
+def part_keys(nested: DataFrame) -> DataFrame:
+    """``nested`` with the key of each record: block_key and part_key.
+
+    A record without a part number is known by what it holds, so that pieces of a block that
+    lack numbers are different parts and repeated deliveries are the same one.
+    """
+    held = F.xxhash64("transactions", "transaction_count", "block_timestamp")
+    return nested.withColumns({"block_key": S.hash32(F.col("block_hash")), "part_key": F.coalesce("part", held)})
+
+
+def not_stored(source: DataFrame, parts: DataFrame) -> DataFrame:
+    """Records of the source that are not stored yet, parts of stored blocks included."""
+    known = parts.select(F.col("block_hash").alias("block_key"), F.col("part").alias("part_key")).distinct()
+    return part_keys(source).join(known, ["block_key", "part_key"], "left_anti").drop("block_key", "part_key")
+
+
 def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at=None) -> bool:
     """Append blocks with known heights; by default bring turnover up to date afterwards.
 
-    Change points move back first and block rows come last, so that an interrupted load
-    leaves no block without its transactions and no late block unprocessed.
+    Change points move back first, block rows and the list of stored parts come last, so that an
+    interrupted load leaves no block without its transactions and no late part unprocessed.
+    The records are written once and every table reads its own columns of them.
     """
     at = at or now()
+    nested, folder = written(nested, "insert")
     first_block = planning.block_bounds(nested).first()["min_block"]
-    if first_block is None:
-        return False
-    store.rewind(first_block)
-    outputs = flatten.flatten_outputs(nested, at)
-    store.append("tran_in", flatten.flatten_inputs(nested, at))
-    store.append("tran_out", outputs)
-    store.append("tx_block", tx_block(outputs))
-    store.append("blocks", flatten.flatten_blocks(nested, at).distinct())
-    if update:
+    if first_block is not None:
+        store.rewind(first_block)
+        store.append("tran_in", flatten.flatten_inputs(nested, at))
+        store.append("tran_out", flatten.flatten_outputs(nested, at))
+        # Only transactions with outputs can be spent.
+        listed = nested.select("n_block", F.explode("transactions").alias("t")).where(F.exists("t.outputs", lambda o: o.isNotNull()))
+        store.append("tx_block", listed.select(S.hash32(F.col("t.tx_id")).alias("tx_id"), "n_block").distinct())
+        store.append("blocks", flatten.flatten_blocks(nested, at).distinct())
+        keys = part_keys(nested).select(F.col("block_key").alias("block_hash"), F.col("part_key").alias("part"), "n_block")
+        store.append("parts", keys.distinct())
+    drop_folder(store.spark, folder)
+    if update and first_block is not None:
         refresh_all(store)
-    return True
+    return first_block is not None
 
 
 def load_range(store: LedgerStore, source: DataFrame, start: int = 0, end: int = None, update: bool = True, at=None) -> bool:
@@ -48,17 +70,13 @@ def load_range(store: LedgerStore, source: DataFrame, start: int = 0, end: int =
 
 
 def load_new(store: LedgerStore, source: DataFrame, update: bool = True, at=None) -> bool:
-    """Load everything behind the last stored block."""
+    """Load everything from the last stored block on that is not stored; parts of that block may still come."""
     last = planning.last_stored_block(store.read("blocks")).first()[0]
-    return load_range(store, source, last + 1, None, update, at)
-
-
-def not_stored(source: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Source records whose height is not stored yet, behind the last block or inside gaps."""
-    return source.join(small_side(blocks.select("n_block").distinct()), "n_block", "left_anti")
+    behind = not_stored(planning.blocks_in_range(source, max(last, 0)), store.read("parts").where(F.col("n_block") >= last))
+    return insert_blocks(store, behind, update, at)
 
 
 def bulk_load(store: LedgerStore, source: DataFrame, end_height: int = None, at=None) -> bool:
-    """Load all blocks up to ``end_height`` that are not stored; turnover is refreshed separately."""
+    """Load all blocks up to ``end_height``, and parts of them, that are not stored; turnover is refreshed separately."""
     chosen = source if end_height is None else source.where(F.col("n_block") <= end_height)
-    return insert_blocks(store, not_stored(chosen, store.read("blocks")), update=False, at=at)
+    return insert_blocks(store, not_stored(chosen, store.read("parts")), update=False, at=at)

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallychain.functions import scalars as S
-from tallychain.ledger import Ledger
+from tallychain.ledger import BUCKET, Ledger
 from tallychain.operators import planning
-from tallychain.operators.entries import block_times, inputs, tx_block
+from tallychain.operators.entries import block_times, inputs
 from tallychain.operators.turnover import turnover, turnover_m
-from tallychain.session import written
-from tallychain.sources.store import BUCKET, LedgerStore
+from tallychain.session import drop_folder, written
+from tallychain.sources.store import TX_PREFIX, LedgerStore, tx_prefix
+
+NAMED_FOLDERS = 1000  # bucket folders that a scan names one by one
 
 
 def _log_point(store: LedgerStore, target: str):
@@ -26,22 +28,31 @@ def _log_point(store: LedgerStore, target: str):
     return point if point >= 0 else None
 
 
-def needed_sources(store: LedgerStore, ledger: Ledger, part: Ledger) -> Ledger:
-    """Outputs that the blocks in ``part`` spend, found through the transaction index.
+def needed_sources(store: LedgerStore, ledger: Ledger, part: Ledger) -> tuple:
+    """Ledger with the outputs that the blocks in ``part`` spend, found through the transaction index, and the work folder it reads.
 
-    The narrow index says which buckets hold them, so the scan of the outputs opens only
-    those partition folders and keeps only those transactions.
+    The narrow index, laid out by transaction id, says which buckets hold them, so the scans of
+    index and outputs open only those folders.  All blocks of a transaction count, as each output
+    is taken from the latest one that has it.
     """
-    wanted = inputs(part).where("is_coinbase = 0").select(F.col("prev_tx_hash").alias("tx_id")).distinct()
-    located, _ = written(tx_block(store.read("tx_block").join(wanted, "tx_id", "left_semi")), "located")
-    # One number per partition folder at most: folder names, not data.
-    buckets = [r[0] for r in located.select(store.bucket_of(F.col("n_block"))).distinct().collect()]
-    chosen = ledger.tran_out.where(F.col(BUCKET).isin(buckets)) if buckets else ledger.tran_out.where(F.lit(False))
-    return replace(ledger, tran_out=chosen.join(located, ["n_block", "tx_id"], "left_semi"))
+    wanted, wanted_folder = written(
+        inputs(part).where("is_coinbase = 0").select(F.col("prev_tx_hash").alias("tx_id")).distinct(), "wanted")
+    # First bytes of ids: 256 folder names at most.
+    prefixes = [r[0] for r in wanted.select(tx_prefix(F.col("tx_id"))).distinct().collect() if r[0] is not None]
+    index = store.read("tx_block").where(F.col(TX_PREFIX).isin(prefixes) if prefixes else F.lit(False))
+    found = index.join(wanted, "tx_id", "left_semi").select("tx_id", "n_block", store.bucket_of(F.col("n_block")).alias(BUCKET)).distinct()
+    located, folder = written(found, "located")
+    drop_folder(store.spark, wanted_folder)
+    chosen = ledger.tran_out
+    names = [r[0] for r in located.select(BUCKET).distinct().limit(NAMED_FOLDERS + 1).collect()]
+    if len(names) <= NAMED_FOLDERS:  # else the join alone prunes
+        chosen = chosen.where(F.col(BUCKET).isin(names) if names else F.lit(False))
+    return replace(ledger, tran_out=chosen.join(located, [BUCKET, "n_block", "tx_id"], "left_semi")), folder
 
 
 def refresh_turnover(store: LedgerStore) -> bool:
     """Bring turnover up to date; False if there was nothing to do."""
+    since = store.log_place("turnover")
     ledger = store.ledger()
     top = planning.block_bounds(ledger.blocks).first()["max_block"]
     if top is None:
@@ -54,8 +65,10 @@ def refresh_turnover(store: LedgerStore) -> bool:
         part = ledger.where(F.col(BUCKET) >= first_bucket)
         if planning.pending_block_stats(part.blocks, point + 1).first()["n_blocks"] == 0:
             return False
-        store.replace_turnover(turnover(part, needed_sources(store, ledger, part)), first_bucket)
-    store.log_point("turnover", top, "refresh")
+        sources, folder = needed_sources(store, ledger, part)
+        store.replace_turnover(turnover(part, sources), first_bucket)
+        drop_folder(store.spark, folder)
+    store.log_refresh("turnover", top, since)
     return True
 
 
@@ -71,21 +84,24 @@ def refresh_turnover_m(store: LedgerStore) -> bool:
 
     Only months touched by blocks after the change point are built again.
     """
+    since = store.log_place("turnover_m")
     ledger = store.ledger()
     done, point = _log_point(store, "turnover"), _log_point(store, "turnover_m")
     last = planning.last_completed_month(ledger).first()[0]
     if last is None or done is None:
         return False
+    reopened = store.drop_months_after(last)
     rows = store.read("turnover")
     if point is None:
         store.replace_turnover_m(turnover_m(rows, last=last))
     else:
         months = touched_months(ledger.blocks, point, last)
-        if not months:
+        if not months and not reopened:
             return False
-        part = rows.where(S.month_start(F.col("time")).isin(months))
-        store.replace_turnover_m(turnover_m(part, first=months[0], last=months[-1]), months)
-    store.log_point("turnover_m", min(covered_block(ledger, last), done), "refresh")
+        if months:
+            part = rows.where(S.month_start(F.col("time")).isin(months))
+            store.replace_turnover_m(turnover_m(part, first=months[0], last=months[-1]), months)
+    store.log_refresh("turnover_m", min(covered_block(ledger, last), done), since)
     return True
 
 

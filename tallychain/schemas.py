@@ -53,15 +53,20 @@ TURNOVER_M = _struct(
 )
 TURNOVER_M_COLUMNS = ["time_month", "address", "value", "updated_at"]
 
-# Append-only log of change points, one row per refresh or rewind.
-CHANGE_LOG = _struct(target=_S, n_block=_L, version=_TS, reason=_S)
+# Append-only log of change points, one row per refresh or rewind; ``seq`` orders them, as clocks may differ.
+CHANGE_LOG = _struct(target=_S, n_block=_L, version=_TS, reason=_S, seq=_L)
+
+# Which parts of which blocks are stored; written after their rows.
+PARTS = _struct(block_hash=_B, part=_L, n_block=_L)
 
 DB_VERSION = _struct(version=_L)
 
 # ---- nested source records -------------------------------------------------
 # One record normally holds one whole block.  A block too large for one record may be
 # cut into parts: each part repeats the header, carries the block's transaction_count,
-# and each transaction fragment says at which index its inputs/outputs start.
+# and each transaction fragment says at which index its inputs/outputs start.  Parts may
+# arrive at any time and in any order; records without a part number are told apart by
+# what they hold.
 
 SCRIPT_FLAGS_IN = ["is_pubkey", "is_pubkeyhash", "is_p2sh", "is_multisig", "is_p2wpkh", "is_p2wsh"]
 SCRIPT_FLAGS_OUT = SCRIPT_FLAGS_IN + ["is_p2tr", "is_op_return", "is_unknown"]

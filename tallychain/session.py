@@ -42,10 +42,13 @@ def local_session(cpus="*", shuffle_partitions=8, **extra) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only where the session names none (tests) is a machine-local one set up.
+    Only a local master (tests) gets a machine-local one where the session names none: on a
+    cluster each executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tallychain-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

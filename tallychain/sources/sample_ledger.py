@@ -181,15 +181,16 @@ def nest(blocks: DataFrame, tran_in: DataFrame, tran_out: DataFrame) -> DataFram
                     lambda z: F.struct(z["addresses"].alias("address"), z["address_types"].alias("type"))).alias("addresses"),
         *[kind_flag(flag).alias(flag) for flag in SCRIPT_FLAGS_OUT],
     )).withColumnRenamed("elements", "outputs")
-    segwit = F.exists(F.col("inputs"), lambda i: F.coalesce(F.size(i["witnesses"]) > 0, F.lit(False)))
+    # One flag per transaction, whichever pieces it is cut into.
+    segwit = tran_in.groupBy("n_block", "tx_id").agg(F.max(F.size("witness_data") > 0).alias("segwit"))
     parts = (
-        inputs.join(outputs, ["n_block", "tx_id", "piece"], "full_outer")
+        inputs.join(outputs, ["n_block", "tx_id", "piece"], "full_outer").join(segwit, ["n_block", "tx_id"], "left")
         .select(
             "n_block", F.xxhash64("tx_id", "piece").alias("part"),
             F.array(F.struct(
                 "tx_id",
                 (F.coalesce(inputs["is_coinbase"], outputs["is_coinbase"]) == 1).alias("is_coinbase"),
-                F.coalesce(segwit, F.lit(False)).alias("is_segwit"),
+                F.coalesce("segwit", F.lit(False)).alias("is_segwit"),
                 (F.col("piece") * PART_SIZE).alias("first_input"),
                 (F.col("piece") * PART_SIZE).alias("first_output"),
                 "inputs", "outputs",

@@ -14,19 +14,20 @@ from pyspark.sql import types as T
 
 from tallychain import schemas
 from tallychain.functions import scalars as S
-from tallychain.ledger import Ledger
+from tallychain.ledger import BUCKET, Ledger
 from tallychain.operators.latest import latest_by
 from tallychain.operators.planning import change_point
-from tallychain.session import drop_folder, filesystem
+from tallychain.session import drop_folder, filesystem, written
 
-BUCKET = "n_block_bucket"
+TX_PREFIX = "tx_prefix"  # first byte of a transaction id: 256 folders
 
 # table: (schema, partition column, sort order inside a file)
 TABLES = {
     "blocks": (schemas.BLOCKS, BUCKET, ["n_block"]),
     "tran_in": (schemas.TRAN_IN, BUCKET, ["n_block"]),
     "tran_out": (schemas.TRAN_OUT, BUCKET, ["n_block"]),
-    "tx_block": (schemas.TX_BLOCK, BUCKET, ["n_block"]),
+    "tx_block": (schemas.TX_BLOCK, TX_PREFIX, ["tx_id"]),
+    "parts": (schemas.PARTS, BUCKET, ["block_hash"]),
     # Sorted by address so that row groups can be skipped when one address is asked for.
     "turnover": (schemas.TURNOVER, BUCKET, ["address", "n_block"]),
     "turnover_m": (schemas.TURNOVER_M, "time_month", ["address"]),
@@ -35,10 +36,17 @@ TABLES = {
 }
 
 
+TARGETS = ("turnover", "turnover_m")
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def tx_prefix(tx_id):
+    return F.conv(F.hex(F.substring(tx_id, 1, 1)), 16, 10).cast("long")
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of a schema, in its order and types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -70,14 +78,14 @@ class LedgerStore:
 
     def read(self, table: str) -> DataFrame:
         schema, partition, _ = TABLES[table]
-        if partition == BUCKET:
-            schema = T.StructType(schema.fields + [T.StructField(BUCKET, T.LongType(), True)])
+        if partition in (BUCKET, TX_PREFIX):
+            schema = T.StructType(schema.fields + [T.StructField(partition, T.LongType(), True)])
         return self.spark.read.schema(schema).parquet(self.folder(table))
 
     def ledger(self) -> Ledger:
         # Blocks are listed first and written last: whoever sees a block sees its transactions.
         blocks = self.read("blocks")
-        return Ledger(blocks, self.read("tran_in"), self.read("tran_out"))
+        return Ledger(blocks, self.read("tran_in"), self.read("tran_out"), bucket_size=self.bucket_size)
 
     def turnover(self) -> DataFrame:
         """The public columns; every row is current because refreshes replace whole buckets."""
@@ -98,6 +106,9 @@ class LedgerStore:
             getattr(views, f"{name}_h")(df).createOrReplaceTempView(f"{name}_h")
         self.turnover().createOrReplaceTempView("turnover")
         self.turnover_m().createOrReplaceTempView("turnover_m")
+        self.read("tx_block").select("tx_id", "n_block").distinct().createOrReplaceTempView("tx_block")
+        for target in TARGETS:
+            self.read("change_log").where(F.col("target") == target).createOrReplaceTempView(f"{target}_change_log")
 
     # ---- writing ----------------------------------------------------------------------
 
@@ -105,13 +116,17 @@ class LedgerStore:
         return F.floor(n_block / F.lit(self.bucket_size)).cast("long")
 
     def _laid_out(self, table: str, df: DataFrame) -> DataFrame:
-        """Rows gathered per bucket; adaptive execution splits a bucket that is too large for one task."""
-        schema, _, order = TABLES[table]
-        rows = conform(df, schema).withColumn(BUCKET, self.bucket_of(F.col("n_block")))
-        return rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *order)
+        """Rows gathered per folder; adaptive execution splits a folder that is too large for one task."""
+        schema, partition, order = TABLES[table]
+        value = tx_prefix(F.col("tx_id")) if partition == TX_PREFIX else self.bucket_of(F.col("n_block"))
+        rows = conform(df, schema).withColumn(partition, value)
+        return rows.hint("rebalance", partition).sortWithinPartitions(partition, *order)
 
     def append(self, table: str, df: DataFrame):
-        self._laid_out(table, df).write.mode("append").partitionBy(BUCKET).parquet(self.folder(table))
+        out = self._laid_out(table, df).write.mode("append").partitionBy(TABLES[table][1])
+        if table == "tx_block":
+            out = out.option("parquet.bloom.filter.enabled#tx_id", "true")
+        out.parquet(self.folder(table))
 
     def replace_turnover(self, rows: DataFrame, first_bucket: int = None):
         """Replace the buckets from ``first_bucket`` on, or the whole table."""
@@ -128,14 +143,23 @@ class LedgerStore:
         """Replace the given months, or the whole table."""
         stamp = now()
         rows = rows.withColumn("value", S.to_coin(F.col("sats"))).withColumn("updated_at", F.lit(stamp))
-        # Ranges of (month, address): keys are unique here, so ranges split evenly and each file covers few addresses.
-        rows = conform(rows, schemas.TURNOVER_M).repartitionByRange("time_month", "address").sortWithinPartitions("time_month", "address")
+        # Not by range: its sampling would run the aggregation twice.
+        rows = conform(rows, schemas.TURNOVER_M).hint("rebalance", "time_month").sortWithinPartitions("time_month", "address")
         out = rows.write.mode("overwrite").partitionBy("time_month").option("parquet.bloom.filter.enabled#address", "true")
         out.option("partitionOverwriteMode", "static" if months is None else "dynamic").parquet(self.folder("turnover_m"))
         if months is not None:
             replaced = self.read("turnover_m").where(F.col("time_month").isin(months))
             self._drop_stale("turnover_m", replaced, "time_month", stamp)
 
+    def drop_months_after(self, last) -> bool:
+        """Remove months behind ``last``: they are open (again).  Looks at folder names only."""
+        fs, root = filesystem(self.spark, self.folder("turnover_m"))
+        found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("time_month=")]
+        stale = [p for p in found if p.getName().split("=")[1] > last.isoformat()]
+        for path in stale:
+            fs.delete(path, True)
+        return bool(stale)
+
     def _drop_stale(self, table: str, replaced: DataFrame, partition: str, stamp: datetime):
         """Dynamic overwrite keeps partitions that got no new row; remove those with older rows only."""
         stale = replaced.groupBy(partition).agg(F.max("updated_at").alias("newest")).where(F.col("newest") < F.lit(stamp))
@@ -144,27 +168,57 @@ class LedgerStore:
 
     # ---- change points -------------------------------------------------------------------
 
-    def logged_points(self) -> dict:
-        """Newest logged change point per derived table; a table that was never refreshed has none."""
+    def _log(self) -> list:
+        """Per derived table: the point of its newest log row (of rows written at once the smallest), whether it was ever
+        refreshed, and that row's place."""
         newest = self.read("change_log").groupBy("target").agg(
-            F.max_by("n_block", F.struct("version", "n_block")).alias("n_block"))
-        return {row["target"]: row["n_block"] for row in newest.collect()}  # one row per derived table
+            F.max_by("n_block", F.struct("seq", -F.col("n_block"))).alias("n_block"),
+            F.count_if(F.col("reason") == "refresh").alias("refreshes"), F.max("seq").alias("seq"))
+        return newest.collect()  # one row per derived table
+
+    def logged_points(self) -> dict:
+        """Newest change point per derived table; a table that was never refreshed has none."""
+        return {row["target"]: row["n_block"] for row in self._log() if row["refreshes"]}
+
+    def log_place(self, target: str) -> int:
+        """Place of the newest log row of a derived table, -1 for none."""
+        return next((row["seq"] for row in self._log() if row["target"] == target), -1)
 
     def change_point(self, target: str) -> int:
-        log = self.read("change_log").where(F.col("target") == target)
+        log = self.read("change_log").where(F.col("target") == target).select("n_block", F.col("seq").alias("version"))
         return change_point(log, self.read("blocks")).first()[0]
 
-    def log_point(self, target: str, n_block: int, reason: str):
+    def log_point(self, target: str, n_block: int, reason: str, place: int = None):
+        place = self.log_place(target) if place is None else place
         row = self.spark.range(1).select(
             F.lit(target).alias("target"), F.lit(n_block).cast("long").alias("n_block"),
-            F.lit(now()).alias("version"), F.lit(reason).alias("reason"))
+            F.lit(now()).alias("version"), F.lit(reason).alias("reason"), F.lit(place + 1).cast("long").alias("seq"))
         conform(row, schemas.CHANGE_LOG).write.mode("append").parquet(self.folder("change_log"))
 
+    def log_refresh(self, target: str, n_block: int, since: int):
+        """Log what a refresh has reached that read the log at ``since``; points moved back meanwhile stay back."""
+        later = self.read("change_log").where((F.col("target") == target) & (F.col("seq") > since) & (F.col("reason") == "rewind"))
+        earliest = later.agg(F.min("n_block")).first()[0]
+        self.log_point(target, n_block if earliest is None else min(n_block, earliest), "refresh")
+
     def rewind(self, first_block: int):
-        """Before blocks from ``first_block`` on are stored: move later change points back in front of it."""
-        for target, point in self.logged_points().items():
-            if first_block - 1 < point:
-                self.log_point(target, first_block - 1, "rewind")
+        """Before blocks from ``first_block`` on are stored: move later change points back in front of it.
+
+        A table without a refresh gets the row as well: one may be under way.
+        """
+        points, places = self.logged_points(), {row["target"]: row["seq"] for row in self._log()}
+        for target in TARGETS:
+            if target not in points or first_block - 1 < points[target]:
+                self.log_point(target, first_block - 1, "rewind", places.get(target, -1))
+
+    def fold_log(self):
+        """Replace the log by what counts of it, in one file: per derived table its newest row and one refresh."""
+        rows = self.read("change_log")
+        newest = rows.groupBy("target").agg(F.max_by(F.struct(*rows.columns), F.struct("seq", -F.col("n_block"))).alias("row")).select("row.*")
+        refreshed = rows.where("reason = 'refresh'").groupBy("target").agg(F.max_by(F.struct(*rows.columns), "seq").alias("row")).select("row.*")
+        kept, folder = written(newest.unionByName(refreshed).distinct(), "change-log")
+        kept.coalesce(1).write.mode("overwrite").parquet(self.folder("change_log"))
+        drop_folder(self.spark, folder)
 
     # ---- maintenance ----------------------------------------------------------------------
 

@@ -5,9 +5,11 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from catalog.oracles import oracle_sql
+from catalog.queries import QUERIES
 
-QUERIES, ORACLES = queries(), oracle_sql()
+ORACLES = oracle_sql()
 
 # These write whole stores; test_refresh and test_stream cover the same jobs on small chains.
 STORE_RUNS = {"load_new", "bulk_load", "turnover_incremental", "turnover_m_incremental", "turnover_after_rewind",
@@ -24,7 +26,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) <= set(queries())
 
 
 @pytest.mark.parametrize("name", CHECKED)

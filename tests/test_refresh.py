@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallychain import LedgerStore, refresh_all, refresh_turnover
 from tallychain.operators import latest, planning
 from tallychain.operators.turnover import turnover, turnover_m
-from tallychain.plans import load
+from tallychain.plans import load, refresh
 from tallychain.plans.refresh import covered_block
 from tests import micro as m
 
@@ -160,7 +160,7 @@ def test_refresh_reads_only_the_needed_partitions(store):
     assert "PartitionFilters: [isnotnull(n_block_bucket" in plan
     from tallychain.plans.refresh import needed_sources
 
-    sources = needed_sources(store, store.ledger(), part).tran_out
+    sources = needed_sources(store, store.ledger(), part)[0].tran_out
     plan = sources._jdf.queryExecution().executedPlan().toString()
     assert "n_block_bucket" in plan.split("PartitionFilters")[1] and "LeftSemi" in plan
     assert {r.n_block for r in sources.collect()} == {7, 8, 9, 10}
@@ -179,6 +179,111 @@ def test_compaction_keeps_the_newest_rows(store):
 
 
 def test_writes_are_gathered_by_bucket_and_may_be_split(store):
-    rows = store._laid_out("tx_block", store.read("tx_block").drop("n_block_bucket"))
+    rows = store._laid_out("tx_block", store.read("tx_block").drop("tx_prefix"))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_late_block_during_a_refresh_is_processed(store, monkeypatch):
+    """A block that is stored while a refresh works moves the change point back, and the refresh leaves it there."""
+    chain = m.chain(10)
+    deliver(store, chain[:3] + chain[4:])
+    deliver(store, [chain[9]])
+    replace_turnover = LedgerStore.replace_turnover
+
+    def slow(self, *args):
+        monkeypatch.setattr(LedgerStore, "replace_turnover", replace_turnover)
+        replace_turnover(self, *args)
+        load.insert_blocks(self, m.nested(self.spark, [chain[3]]), update=False)
+
+    monkeypatch.setattr(LedgerStore, "replace_turnover", slow)
+    store.rewind(5)
+    refresh.refresh_turnover(store)
+    assert store.logged_points()["turnover"] == 2
+    refresh.refresh_all(store)
+    assert 3 in {r[0] for r in m.turnover_rows(store)}
+    assert store.logged_points()["turnover"] == 9
+    assert_fresh(store)
+
+
+def test_late_block_during_the_first_refresh_is_processed(store, monkeypatch):
+    chain = m.chain(6)
+    load.insert_blocks(store, m.nested(store.spark, chain[:2] + chain[3:]), update=False)
+    replace_turnover = LedgerStore.replace_turnover
+
+    def slow(self, *args):
+        monkeypatch.setattr(LedgerStore, "replace_turnover", replace_turnover)
+        replace_turnover(self, *args)
+        load.insert_blocks(self, m.nested(self.spark, [chain[2]]), update=False)
+
+    monkeypatch.setattr(LedgerStore, "replace_turnover", slow)
+    refresh.refresh_turnover(store)
+    refresh.refresh_all(store)
+    assert_fresh(store)
+
+
+def test_month_that_is_open_again_is_dropped(store):
+    days = {n: n * 20 for n in range(6)}
+    chain = m.chain(6, days)
+    deliver(store, chain)
+    assert max(r[0] for r in m.month_rows(store)).isoformat() == "2020-03-01"
+    deliver(store, [m.chain(6, {**days, 5: 85})[5]])
+    assert max(r[0] for r in m.month_rows(store)).isoformat() == "2020-02-01"
+
+
+def test_transaction_in_two_blocks_is_the_same_in_both_ways(store):
+    """The later block has fewer outputs of the transaction; the missing one is still spent."""
+    chain = m.chain(2)
+    twice = [m.output(5, "x"), m.output(20, "y")]
+    chain.append(m.block(2, [m.tx("tw", [m.coinbase()], twice)]))
+    chain.append(m.block(3, [m.tx("tw", [m.coinbase()], twice[:1])]))
+    deliver(store, chain)
+    deliver(store, [m.block(4, [m.tx("sp", [m.spend("tw", 1)], [m.output(20, "z")])])])
+    assert (4, "y", -20) in {(r[0], r[3], r[4]) for r in m.turnover_rows(store)}
+    assert_fresh(store)
+
+
+def test_folded_log_says_the_same(store):
+    chain = m.chain(8)
+    deliver(store, chain[:4])
+    deliver(store, chain[4:])
+    points, place = store.logged_points(), store.log_place("turnover")
+    store.fold_log()
+    assert (store.logged_points(), store.log_place("turnover")) == (points, place)
+    assert store.read("change_log").count() <= 4
+
+
+def test_the_same_version_wins_whichever_columns_are_read(spark):
+    from tallychain.ledger import Ledger
+
+    rows = [(1, "t", 0, "aa", 5, 0, 7, 1, 0), (1, "t", 0, "bb", 4, 0, 9, 1, 0)]
+    names = "n_block long, tx_id string, input_index long, prev_tx_hash string, prev_tx_index long, is_coinbase int, sequence_number long, size long, created_at long"
+    led = Ledger(None, spark.createDataFrame(rows, names), None)
+    picked = [latest.latest_inputs(led, columns).first()["prev_tx_index"] for columns in (["prev_tx_index"], ["sequence_number", "prev_tx_index"], None)]
+    assert picked == [4, 4, 4]
+
+
+def test_months_are_those_of_utc_in_any_session(store):
+    spark = store.spark
+    deliver(store, m.chain(4, {n: n * 31 for n in range(4)}))
+    months = {r[0] for r in m.month_rows(store)}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        refresh.refresh_turnover(store)
+        store.rewind(0)
+        refresh.refresh_all(store)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert {r[0] for r in m.month_rows(store)} == months
+
+
+def test_check_of_a_range_prunes_every_side(store):
+    deliver(store, m.chain(12))
+    gone = store.read("turnover").where("n_block NOT IN (6, 11)")
+    from tallychain.operators import checks
+
+    found = checks.turnover_complete(store.ledger(), gone, 4, 7)
+    assert {r.n_block for r in found.collect()} == {6}
+    text = store.ledger().between(4, 7).tran_in._jdf.queryExecution().executedPlan().toString()
+    assert "n_block_bucket" in text.split("PartitionFilters")[1].split("PushedFilters")[0]

@@ -53,5 +53,101 @@ def test_one_pass_over_files_resumes_at_the_newest_stored_one(spark, store, tmp_
     m.nested(spark, chain[6:]).coalesce(1).write.parquet(str(folder / "part=2"))
     load_files(store, str(folder / "*"))
     assert sorted(r.n_block for r in store.read("blocks").collect()) == list(range(9))
-    load_files(store, str(folder / "*"))
+    load_files(store, str(folder / "*"), resume=True)
     assert store.read("blocks").count() == 9
+
+
+def parts_of(block):
+    """The same block as one record for each transaction."""
+    return [{**block, "part": n, "transactions": [t], "transaction_count": len(block["transactions"])} for n, t in enumerate(block["transactions"])]
+
+
+def test_parts_may_come_in_any_batch(spark, tmp_path):
+    chain = m.chain(6, height=False)
+    store = LedgerStore(spark, str(tmp_path / "s"), bucket_size=4)
+    store.create()
+    load_batch(store, m.nested(spark, [parts_of(b)[0] for b in chain]), 0)
+    load_batch(store, m.nested(spark, [p for b in chain for p in parts_of(b)]), 1)
+    assert m.turnover_rows(store) == batch_result(spark, tmp_path / "b", m.chain(6))[0]
+    assert waiting_blocks(store).isEmpty()
+    stored = store.read("tran_out").count()
+    load_batch(store, m.nested(spark, [p for b in chain for p in parts_of(b)]), 2)
+    assert store.read("tran_out").count() == stored
+
+
+def test_bulk_load_takes_later_parts(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "s"), bucket_size=4)
+    store.create()
+    chain = m.chain(5)
+    load.bulk_load(store, m.nested(spark, [parts_of(b)[0] for b in chain]))
+    load.bulk_load(store, m.nested(spark, [p for b in chain for p in parts_of(b)]))
+    from tallychain.plans.refresh import refresh_all
+
+    refresh_all(store)
+    assert m.turnover_rows(store) == batch_result(spark, tmp_path / "b", chain)[0]
+
+
+def test_parts_without_numbers_are_told_apart(spark, tmp_path):
+    chain = m.chain(4, height=False)
+    unnumbered = [{**p, "part": None} for b in chain for p in parts_of(b)]
+    store = LedgerStore(spark, str(tmp_path / "s"), bucket_size=4)
+    store.create()
+    load_batch(store, m.nested(spark, unnumbered))
+    assert m.turnover_rows(store) == batch_result(spark, tmp_path / "b", m.chain(4))[0]
+
+
+def test_waiting_blocks_survive_numbers_that_begin_again(spark, store, tmp_path):
+    """Another stream, with a checkpoint folder of its own, counts its batches from 0 again."""
+    chain = m.chain(6, height=False)
+    for turn, blocks in enumerate((chain[3:], chain[:3])):
+        feed = str(tmp_path / f"feed{turn}")
+        m.nested(spark, blocks).write.parquet(feed)
+        start_stream(store, feed, str(tmp_path / f"marks{turn}"), available_now=True).awaitTermination()
+    assert sorted(r.n_block for r in store.read("blocks").collect()) == list(range(6))
+    assert waiting_blocks(store).isEmpty()
+
+
+def test_a_file_with_a_small_name_that_comes_late_is_loaded(spark, store, tmp_path):
+    chain = m.chain(6, height=False)
+    folder = tmp_path / "files"
+    for name, blocks in (("b", chain[:2]), ("c", chain[4:])):
+        m.nested(spark, blocks).coalesce(1).write.parquet(str(folder / f"part={name}"))
+    load_files(store, str(folder / "*"))
+    m.nested(spark, chain[2:4]).coalesce(1).write.parquet(str(folder / "part=a"))
+    load_files(store, str(folder / "*"))
+    assert sorted(r.n_block for r in store.read("blocks").collect()) == list(range(6))
+
+
+def test_no_work_folder_is_left(spark, store, tmp_path):
+    import glob
+
+    from tallychain.session import shared_folder
+
+    root = shared_folder(spark).removeprefix("file:")
+    before = set(glob.glob(f"{root}/tallychain-*"))
+    load_batch(store, m.nested(spark, m.chain(5, height=False)))
+    load_batch(store, m.nested(spark, m.chain(8, height=False)))
+    assert set(glob.glob(f"{root}/tallychain-*")) == before
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    import pytest
+
+    from tallychain import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
