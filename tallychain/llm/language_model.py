@@ -6,10 +6,12 @@ import pyspark
 import zstandard
 from pyspark.sql import functions as F
 
-from tallychain.session import written
+from tallychain.llm.texts import settled
 
 #: Tokens of a block: the unit in which texts are kept as word numbers.
 BLOCK_TOKENS = 2_000_000
+#: Tokens that are scored at once.
+CHUNK_TOKENS = 300_000
 #: Words that open a context: a token's restaurant is that of the nearest one before it in its text.
 CONTEXTS = 32
 #: Rounds over the corpus, sweeps of each, and how many of the last sweeps are averaged.
@@ -151,8 +153,22 @@ def seat(customers, weight, discount, seeds, salt):
     return tables
 
 
+#: A word's share in one context, as it is packed for the scoring of texts.
+_DISH = np.dtype([("context", "i1"), ("share", "<f4")])
+
+
+def _packed_dishes(contexts, shares, offsets):
+    packed = np.empty(len(contexts), dtype=_DISH)
+    packed["context"], packed["share"] = contexts, shares
+    sizes = pa.array((offsets * _DISH.itemsize).astype(np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, sizes.buffers()[1], pa.py_buffer(packed.tobytes())])
+
+
 def _sweeps(table, world, round_number):
-    """One round over words with all their contexts: (word, c, contexts, n, tables, root_tables), tables averaged over the last sweeps.
+    """One round over words with all their contexts: (word, c, sent, contexts, tables, root_tables, dishes), averaged over the last sweeps.
+
+    ``sent`` are a word's tables in all contexts; ``dishes`` packs by context what its customers
+    count for in a draw, that is their number less the discount of each table.
 
     Given how many tables each restaurant has in all, words do not depend on each other, so each is
     sampled on its own: in turn the tables of its dish in every context given its probability in the
@@ -164,7 +180,7 @@ def _sweeps(table, world, round_number):
         for batch in batches:
             contexts, n = batch.column("contexts"), batch.column("n")
             offsets = contexts.offsets.to_numpy()
-            offsets, base = offsets - offsets[0], None
+            offsets = offsets - offsets[0]
             k, customers = contexts.flatten().to_numpy(), n.flatten().to_numpy()
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             seeds = batch.column("seed").to_numpy().view(np.uint64)
@@ -186,13 +202,14 @@ def _sweeps(table, world, round_number):
                 if sweep >= SWEEPS - KEPT:
                     mean, root_mean = mean + tables / KEPT, root_mean + root / KEPT
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("c"), contexts, n, pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(mean.astype(np.float32))),
-                 pa.array(root_mean)],
-                names=["word", "c", "contexts", "n", "tables", "root_tables"],
+                [batch.column("word"), batch.column("c"), pa.array(np.bincount(owner, weights=mean, minlength=batch.num_rows)), contexts,
+                 pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(mean.astype(np.float32))), pa.array(root_mean),
+                 _packed_dishes(k, customers - total["discount"] * mean, offsets)],
+                names=["word", "c", "sent", "contexts", "tables", "root_tables", "dishes"],
             )
 
     return table.select("word", "c", "contexts", "n", "seed").mapInArrow(
-        run, "word string, c long, contexts array<int>, n array<bigint>, tables array<float>, root_tables double"
+        run, "word string, c long, sent double, contexts array<int>, tables array<float>, root_tables double, dishes binary"
     )
 
 
@@ -226,12 +243,12 @@ def score(docs):
     rows that repeat count as often.  Without training tokens every probability is 1.  An empty
     table gives no rows.
     """
-    blocks, _ = written(_blocks(docs), "lm-blocks")
+    blocks, _ = settled(_blocks(docs), "lm-blocks")
     frequent = blocks.select(F.explode("frequent").alias("f")).groupBy("f.word").agg(F.sum("f.n").alias("n")).where("word <> ''")
     openers = {row["word"]: i + 1 for i, row in enumerate(frequent.orderBy(F.desc("n"), "word").limit(CONTEXTS).collect())}
     pairs = _counts(blocks, openers).groupBy("word", "context").agg(F.sum("n").alias("n"))
     gathered = pairs.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("context", "n"))).alias("x"), F.sum("n").alias("c"))
-    table, _ = written(
+    table, counts_folder = settled(
         gathered.select("word", "c", F.col("x.context").alias("contexts"), F.col("x.n").alias("n"), F.xxhash64("word").alias("seed")), "lm-counts"
     )
     row = table.agg(
@@ -249,9 +266,11 @@ def score(docs):
         "root_discount": _discount(row["one"], row["two"]), "base": 1 / (row["words"] + 1),
         "customers": customers, "tables": types, "root_customers": sum(types), "root_tables": float(row["words"]),
     }
-    seated = None
+    old = []
     for n in range(ROUNDS):
-        seated, _ = written(_sweeps(table, world, n), "lm-seating")
+        last = n == ROUNDS - 1
+        seated, folder = settled(_sweeps(table, world, n), "lm-seating", *old, *([counts_folder] if last else []))
+        old = [folder]
         world |= _restaurants(seated)
     return _scored(blocks, seated, openers, world, int(row["total"]), int(row["words"]))
 
@@ -259,13 +278,10 @@ def score(docs):
 def _scored(blocks, seated, openers, world, total, vocabulary):
     root = world["strength"] + world["root_customers"]
     fresh = world["strength"] + world["root_discount"] * world["root_tables"]
-    sent = F.aggregate("tables", F.lit(0.0), lambda a, t: a + t)
-    model = seated.select(
-        "word", "c", ((sent - F.col("root_tables") * world["root_discount"] + fresh * world["base"]) / root).alias("parent"), "contexts",
-        F.zip_with("n", "tables", lambda n, t: (n - t * world["discount"]).cast("float")).alias("direct"),
-    )
+    drawn = F.col("sent") - F.col("root_tables") * world["root_discount"] + fresh * world["base"]
+    model = seated.select("word", "c", (drawn / root).alias("parent"), "dishes")
     listed = blocks.select("block", F.posexplode("words").alias("i", "word"))
-    looked = listed.join(model, "word", "left").select(F.col("block").alias("of"), "i", "c", "parent", "contexts", "direct")
+    looked = listed.join(model, "word", "left").select(F.col("block").alias("of"), "i", "c", "parent", "dishes")
     strength = world["strength"] + np.array(world["customers"])
     back = (world["strength"] + world["discount"] * np.array(world["tables"])) / strength
     unknown = fresh * world["base"] / root
@@ -274,47 +290,49 @@ def _scored(blocks, seated, openers, world, total, vocabulary):
     marks = opening.groupBy("block").agg(F.collect_list(F.struct("i", "word")).alias("opening"))
 
     def run(texts, words):
+        schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                            ("base_score", pa.float64()), ("score", pa.float64())])
         if not texts.num_rows:
-            return None
-        texts = texts.combine_chunks()
-        words = words.combine_chunks().sort_by("i")
+            return schema.empty_table()
+        texts, words = texts.combine_chunks(), words.sort_by("i").combine_chunks()
         numbers, lengths = _numbers(texts["tokens"][0].as_py()), texts["lengths"][0].values.to_numpy()
         opens = np.zeros(words.num_rows, dtype=np.int64)
         for x in texts["opening"][0].as_py() or []:
             opens[x["i"]] = openers[x["word"]]
-        contexts = _contexts(numbers, lengths, opens)
         c = words["c"].fill_null(0).to_numpy()
         parent = words["parent"].fill_null(unknown).to_numpy()
-        lists = words["contexts"].combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        sizes = np.nan_to_num(pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64)
-        direct = words["direct"].combine_chunks()
-        direct = direct.chunk(0) if isinstance(direct, pa.ChunkedArray) else direct
-        keys = np.repeat(np.arange(len(sizes)), sizes) * width + lists.flatten().to_numpy()
-        values = direct.flatten().to_numpy().astype(np.float64)
-        asked = numbers.astype(np.int64) * width + contexts
-        at = np.minimum(np.searchsorted(keys, asked), max(0, len(keys) - 1))
-        own = np.where(keys[at] == asked, values[at], 0.0) / strength[contexts] if len(keys) else np.zeros(len(asked))
-        log = np.log10(own + back[contexts] * parent[numbers])
-        base = np.log10((c[numbers] + 1) / (total + vocabulary + 1))
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        return pa.table({
-            "doc_id": texts["doc_ids"][0].values, "held_out": pa.array(~texts["train"][0].values.to_numpy(zero_copy_only=False)),
-            "n_tokens": pa.array(lengths.astype(np.int64)), "n_known": pa.array(np.add.reduceat((c[numbers] > 0).astype(np.int64), starts)),
-            "base_score": pa.array(np.add.reduceat(base, starts)), "score": pa.array(np.add.reduceat(log, starts)),
-        })
-
-    def safe(texts, words):
-        import pyarrow.compute  # noqa: F401
-
-        out = run(texts, words)
-        return out if out is not None else pa.schema(
-            [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
-        ).empty_table()
+        base = np.log10((c + 1) / (total + vocabulary + 1))
+        dishes = [x or b"" for x in words["dishes"].to_pylist()]
+        sizes = np.fromiter(map(len, dishes), dtype=np.int64, count=len(dishes)) // _DISH.itemsize
+        packed = np.frombuffer(b"".join(dishes), dtype=_DISH)
+        keys, shares = np.repeat(np.arange(len(sizes)) * width, sizes) + packed["context"], packed["share"]
+        del dishes, words
+        ends = np.cumsum(lengths)
+        known, plain, score = [], [], []
+        at = 0
+        while at < len(lengths):  # some documents at a time, so that arrays stay small beside the block
+            first = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, first + CHUNK_TOKENS)))
+            mine, sizes = numbers[first:ends[to - 1]], lengths[at:to]
+            contexts = _contexts(mine, sizes, opens)
+            asked = mine.astype(np.int64) * width + contexts
+            own = np.zeros(len(mine))
+            if len(keys):
+                found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                own = np.where(keys[found] == asked, shares[found], 0.0) / strength[contexts]
+            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            known.append(np.add.reduceat((c[mine] > 0).astype(np.int64), starts))
+            plain.append(np.add.reduceat(base[mine], starts))
+            score.append(np.add.reduceat(np.log10(own + back[contexts] * parent[mine]), starts))
+            at = to
+        return pa.table([
+            texts["doc_ids"][0].values, pa.array(~texts["train"][0].values.to_numpy(zero_copy_only=False)), pa.array(lengths.astype(np.int64)),
+            pa.array(np.concatenate(known)), pa.array(np.concatenate(plain)), pa.array(np.concatenate(score)),
+        ], schema=schema)
 
     left = blocks.select("block", "doc_ids", "train", "lengths", "tokens").join(marks, "block", "left")
     scored = left.groupBy("block").cogroup(looked.groupBy("of")).applyInArrow(
-        safe, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score",
