@@ -80,10 +80,10 @@ def anchors(source):
 
 
 def windows(candidates):
-    """(key, place, w1, w2) of every window over a shared anchor; w1 and w2 are 128 bits of a hash of its words."""
+    """(key, place, w1, w2) of every window over a shared anchor; w1 and w2 are 96 bits of a hash of its words."""
 
     def emit(batches):
-        digest, low = xxhash.xxh3_128_intdigest, (1 << 64) - 1
+        digest = xxhash.xxh3_128_intdigest
         for pdf in batches:
             for rows in _batched(pdf, 64):
                 out = []
@@ -92,11 +92,12 @@ def windows(candidates):
                     at = np.unique(np.asarray(places, dtype=np.int64)[:, None] - np.arange(PERIOD)[None, :])
                     at = at[(at >= 0) & (at + WINDOW <= len(ends))]
                     values = [digest(joined[a:b]) for a, b in zip(begins[at].tolist(), ends[at + WINDOW - 1].tolist())]
-                    halves = [np.array(h, dtype=np.uint64).view("i8") for h in ([v >> 64 for v in values], [v & low for v in values])]
+                    halves = [np.array([v >> 64 for v in values], dtype=np.uint64).view("i8"),
+                              np.array([v & 0xFFFFFFFF for v in values], dtype=np.uint32).view("i4")]
                     out.append((np.full(len(at), order_id, "i8"), np.full(len(at), text_hash, "i8"), at.astype("i4"), *halves))
                 yield _frame((*_KEY, "place", "w1", "w2"), out)
 
-    schema = "order_id long, text_hash long, place int, w1 long, w2 long"
+    schema = "order_id long, text_hash long, place int, w1 long, w2 int"
     return candidates.select(*_KEY, "text", "places").mapInPandas(emit, schema)
 
 
@@ -143,7 +144,7 @@ def dedup(docs):
     A word goes if a window of ``WINDOW`` words over it also begins in a row with a smaller doc_id.
     Copies of a whole text are settled first, as all their windows begin in the first of them.  Of
     the rest, anchors that two rows or more share are extended to the windows over them; windows
-    with equal 128-bit hashes are equal.  Counts and smallest ids are hash aggregates, so that what
+    with equal 96-bit hashes are equal.  Counts and smallest ids are hash aggregates, so that what
     many rows share shrinks before the shuffle; the joins back are left to Spark's splitting of
     skewed partitions.  Every step ends in a written table.
 
