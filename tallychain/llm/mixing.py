@@ -38,18 +38,14 @@ def source_targets(sizes, weights=WEIGHTS, epochs=EPOCHS):
     again by weight among the others until none is above.  Each round brings two sums to the driver.
     """
     sizes, _ = written(sizes.repartitionByRange("source").withColumn("part", F.spark_partition_id()), "mix-sizes")
-    before = sizes.groupBy("part").agg(F.count("*").alias("n"))
-    before = before.select(
-        "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")
-    )
     known = sizes.where("source IS NOT NULL")
-    order = (
-        F.row_number().over(Window.partitionBy("part").orderBy("source")) + F.col("before")
-        - F.when(F.col("has_none"), 1).otherwise(0)
-    )
-    none = sizes.agg(F.coalesce(F.max(F.col("source").isNull()), F.lit(False)).alias("none"), F.count("*").alias("n")).first()
-    ranked = known.join(before, "part").withColumn("has_none", F.lit(bool(none["none"]))).select("source", "source_size", "docs", order.alias("place"))
-    last = sizes.where("source IS NULL").select("source", "source_size", "docs", F.lit(none["n"]).cast("long").alias("place"))
+    before = known.groupBy("part").agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    before = before.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("source")) + F.col("before")
+    ranked = known.join(before, "part").select("source", "source_size", "docs", place.alias("place"))
+    count = sizes.count()
+    last = sizes.where("source IS NULL").select("source", "source_size", "docs", F.lit(count).cast("long").alias("place"))
     turn = ((F.col("place") - 1) % len(weights)).cast("int")
     table, _ = written(
         ranked.union(last).withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1)), "mix-sources"
