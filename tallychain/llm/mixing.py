@@ -44,7 +44,7 @@ def source_targets(sizes, weights=WEIGHTS, epochs=EPOCHS):
     before = before.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     place = F.row_number().over(Window.partitionBy("part").orderBy("source")) + F.col("before")
     ranked = known.join(before, "part").select("source", "source_size", "docs", place.alias("place"))
-    count = sizes.count()
+    count = max(1, sizes.count())
     last = sizes.where("source IS NULL").select("source", "source_size", "docs", F.lit(count).cast("long").alias("place"))
     turn = ((F.col("place") - 1) % len(weights)).cast("int")
     table, _ = written(
