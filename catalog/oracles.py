@@ -132,6 +132,10 @@ _CONTENTS = """SELECT b.n_block, b.block_hash, (SELECT count(*) FROM li WHERE li
     (SELECT count(*) FROM lo WHERE lo.n_block = b.n_block) AS n_out FROM lb b"""
 _FIRST_GAP = "SELECT min(n) FROM (SELECT unnest(range(@START@, (SELECT max(n_block) + 2 FROM lb))) AS n) WHERE n NOT IN (SELECT n_block FROM lb)"
 
+def _coins(sats: str) -> str:
+    return f"CAST(CAST({sats} * CAST('0.00000001' AS DECIMAL(9, 8)) AS DECIMAL(28, 8)) AS VARCHAR)"
+
+
 SELECTS = {
     "latest_blocks": _LATEST_BLOCKS,
     "latest_tran_in": """SELECT n_block, tx_id, input_index, prev_tx_hash, prev_tx_index, is_coinbase, created_at, kind,
@@ -167,6 +171,13 @@ SELECTS = {
     "turnover_m_after_rewind": _MONTHLY_DONE,
     "turnover_rebuild": _TURNOVER,
     "stream_load": _TURNOVER + f" WHERE n_block < ({_FIRST_GAP.replace('@START@', '0')})",
+    "stream_load_restart": _TURNOVER,
+    "stream_load_parts": _TURNOVER,
+    "turnover_m_month_reopened": _MONTHLY_DONE,
+    "stored_top_wallets": f"""SELECT address, {_coins('sum(sats)')} AS value, count(tx_id) AS n_tx FROM tv GROUP BY address
+        HAVING sum(sats) > @MIN_SATS@ ORDER BY sum(sats) DESC, address LIMIT 10""",
+    "stored_balance": f"SELECT {_coins('sum(sats)')} AS value FROM tv WHERE address = '@ADDRESS@'",
+    "stored_balance_hybrid": f"SELECT {_coins('sum(sats)')} AS value FROM tv WHERE address = '@ADDRESS@'",
     "blocks_in_range": "SELECT n_block, block_hash, block_timestamp FROM blocks WHERE n_block BETWEEN @RANGE_FROM@ AND @RANGE_TO@",
     "block_time_at": "SELECT max(block_timestamp) AS time FROM lb WHERE n_block = @POINT_BLOCK@",
     "max_block_before": "SELECT max(n_block) AS n_block FROM blocks WHERE block_timestamp < TIMESTAMP '@BEFORE_TIME@'",
@@ -248,6 +259,11 @@ SELECTS = {
     "check_tx_out_in": "SELECT tx_hash FROM c6o",
     "check_prev_tx": "SELECT prev_tx_hash, tx_id, input_index FROM c7",
     "check_turnover_complete": "SELECT n_block, n_outputs FROM c8",
+    "check_turnover_complete_range": "SELECT n_block, n_outputs FROM c8 WHERE n_block BETWEEN @CHECK_FROM@ AND @CHECK_TO@",
+    "integrity_messages": """SELECT line FROM (
+        SELECT concat('check ', "check", ': ', count(*), ' violations') AS line FROM second_group GROUP BY "check"
+        UNION ALL SELECT concat('check ', "check", ': ', key, ': ', detail) FROM (
+            SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY key, detail) AS n FROM second_group) WHERE n <= @REPORTED@)""",
     "integrity_report": """SELECT * FROM first_group UNION ALL
         SELECT * FROM second_group WHERE NOT EXISTS (SELECT 1 FROM first_group)""",
     "integrity_report_second_group": """SELECT * FROM second_group

@@ -11,6 +11,7 @@ from tallychain.functions import scalars as S
 from tallychain.ledger import Ledger
 from tallychain.operators import balances, checks, entries, flatten, latest, planning, turnover, views
 from tallychain.plans import load
+from tallychain.plans.integrity import messages
 from tallychain.session import new_work_folder
 from tallychain.sources.sample_ledger import kind_flag, nest, read_ledger
 
@@ -214,6 +215,82 @@ def stream_load(spark, sf_dir):
     return run.turnover()
 
 
+def _seeded(spark, sf_dir, name):
+    """A store that holds the blocks behind gaps, so that every other block finds its parent."""
+    run = _Run(spark, sf_dir, name)
+    ends = planning.missing_range_ends(run.source.select("n_block", "block_hash", "prev_block_hash").distinct())
+    seeds = ends.select((F.col("end_block") + 1).alias("n_block"))
+    load.insert_blocks(run.store, run.source.join(seeds, "n_block", "left_semi"), update=False)
+    return run
+
+
+def _stream(run, feed, **options):
+    start_stream(run.store, feed, new_work_folder(run.store.spark, "stream-marks"), available_now=True, **options).awaitTermination()
+
+
+@query
+def stream_load_restart(spark, sf_dir):
+    """Two streams, each with a checkpoint folder of its own; what the first leaves waiting the second loads."""
+    run = _seeded(spark, sf_dir, "stream-restart")
+    rows = run.source.withColumn("height", F.col("n_block")).withColumn("n_block", F.lit(None).cast("long"))
+    for wave in (F.col("height") > P.CUT_BLOCK, F.col("height") <= P.CUT_BLOCK):
+        feed = new_work_folder(spark, "stream-feed")
+        rows.where(wave).drop("height").write.parquet(feed)
+        _stream(run, feed)
+    return run.turnover()
+
+
+@query
+def stream_load_parts(spark, sf_dir):
+    """The parts of every block are spread over files that arrive in different micro-batches."""
+    run = _seeded(spark, sf_dir, "stream-parts")
+    feed = new_work_folder(spark, "stream-feed")
+    rows = run.source.withColumn("n_block", F.lit(None).cast("long"))
+    rows.withColumn("file", F.pmod(F.col("part"), F.lit(4))).repartition(4, "file").write.partitionBy("file").parquet(feed)
+    _stream(run, f"{feed}/*", max_files=2)
+    return run.turnover()
+
+
+@query
+def turnover_m_month_reopened(spark, sf_dir):
+    """The newest block first has a time in a later month, so one month more is complete than in the end."""
+    run = _Run(spark, sf_dir, "month-reopened")
+    top = run.source.agg(F.max("n_block")).first()[0]
+    newest = run.source.where(F.col("n_block") == top)
+    later = newest.withColumn("block_timestamp", F.col("block_timestamp") + F.expr("INTERVAL 70 DAYS"))
+    run.deliver(F.col("n_block") < top)
+    load.insert_blocks(run.store, later, update=True)
+    load.insert_blocks(run.store, newest, update=True)
+    return run.turnover_m()
+
+
+def _with_views(spark, sf_dir, name):
+    _Run(spark, sf_dir, name).deliver(F.lit(True), update=True).store.register_views()
+
+
+@query
+def stored_top_wallets(spark, sf_dir):
+    """The published statement over the stored public columns."""
+    _with_views(spark, sf_dir, "stored-top")
+    return spark.sql(f"""SELECT address, CAST(value AS STRING) AS value, n_tx FROM (
+        SELECT address, sum(value) AS value, count(tx_id) AS n_tx FROM turnover GROUP BY address
+        HAVING value > {P.MIN_SATS} * 0.00000001 ORDER BY value DESC, address LIMIT 10)""")
+
+
+@query
+def stored_balance(spark, sf_dir):
+    _with_views(spark, sf_dir, "stored-balance")
+    return spark.sql(f"SELECT CAST(sum(value) AS STRING) AS value FROM turnover WHERE address = '{P.ADDRESS}'")
+
+
+@query
+def stored_balance_hybrid(spark, sf_dir):
+    _with_views(spark, sf_dir, "stored-hybrid")
+    return spark.sql(f"""SELECT CAST(sum(value) AS STRING) AS value FROM (
+        SELECT value FROM turnover_m WHERE time_month < DATE'{P.CUT_MONTH}' AND address = '{P.ADDRESS}'
+        UNION ALL SELECT value FROM turnover WHERE time >= TIMESTAMP'{P.CUT_MONTH} 00:00:00Z' AND address = '{P.ADDRESS}')""")
+
+
 # ---- projections, filters, joins ---------------------------------------------------------------
 
 @on_ledger
@@ -541,6 +618,20 @@ def check_turnover_complete(led: Ledger):
     return checks.turnover_complete(led, kept)
 
 
+@on_ledger
+def check_turnover_complete_range(led: Ledger):
+    kept = turnover.turnover(led).where(~F.col("n_block").between(P.LOST_FROM, P.LOST_TO))
+    return checks.turnover_complete(led, kept, P.CHECK_FROM, P.CHECK_TO)
+
+
+@on_ledger
+def integrity_messages(led: Ledger):
+    """The report of three checks as text, at most ``REPORTED`` lines of each."""
+    found = check_integrity(led, turnover.turnover(led), checks=[5, 6, 7])
+    lines = messages(found, limit=P.REPORTED)
+    return led.blocks.sparkSession.createDataFrame([(line,) for line in lines], "line string")
+
+
 @on_ledger
 def integrity_report(led: Ledger):
     return check_integrity(led, turnover.turnover(led))

@@ -7,6 +7,8 @@ WAITING_CUT = 1000
 POINT_BLOCK = 995         # has an older version as well
 DAMAGED = (0, 7)          # blocks removed from the damaged copies
 LOST_FROM, LOST_TO = 700, 900   # blocks whose turnover is removed
+CHECK_FROM, CHECK_TO = 650, 800   # range of the check that covers some of them
+REPORTED = 5              # lines per check in the text report
 BEFORE_TIME = "1998-03-01"
 FIRST_MONTH = "1996-03-01"
 CUT_MONTH = "1999-01-01"
