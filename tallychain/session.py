@@ -77,5 +77,5 @@ def written(df, name: str):
     they are done with it.
     """
     folder = new_work_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder), folder
