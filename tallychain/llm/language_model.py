@@ -279,9 +279,10 @@ def _scored(blocks, seated, openers, world, total, vocabulary):
     root = world["strength"] + world["root_customers"]
     fresh = world["strength"] + world["root_discount"] * world["root_tables"]
     drawn = F.col("sent") - F.col("root_tables") * world["root_discount"] + fresh * world["base"]
-    model = seated.select("word", "c", (drawn / root).alias("parent"), "dishes")
+    model = seated.select("word", "c", (drawn / root).cast("float").alias("parent"), "dishes")
     listed = blocks.select("block", F.posexplode("words").alias("i", "word"))
-    looked = listed.join(model, "word", "left").select(F.col("block").alias("of"), "i", "c", "parent", "dishes")
+    looked = listed.join(model, "word").select(  # words that no training text has stay away
+        F.col("block").alias("of"), "i", "c", "parent", "dishes")
     strength = world["strength"] + np.array(world["customers"])
     back = (world["strength"] + world["discount"] * np.array(world["tables"])) / strength
     unknown = fresh * world["base"] / root
@@ -295,17 +296,18 @@ def _scored(blocks, seated, openers, world, total, vocabulary):
         if not texts.num_rows:
             return schema.empty_table()
         texts, words = texts.combine_chunks(), words.sort_by("i").combine_chunks()
+        i = words["i"].to_numpy()
         numbers, lengths = _numbers(texts["tokens"][0].as_py()), texts["lengths"][0].values.to_numpy()
-        opens = np.zeros(words.num_rows, dtype=np.int64)
+        size = int(numbers.max()) + 1
+        opens, c, parent = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64), np.full(size, unknown)
         for x in texts["opening"][0].as_py() or []:
             opens[x["i"]] = openers[x["word"]]
-        c = words["c"].fill_null(0).to_numpy()
-        parent = words["parent"].fill_null(unknown).to_numpy()
+        c[i], parent[i] = words["c"].to_numpy(), words["parent"].to_numpy()
         base = np.log10((c + 1) / (total + vocabulary + 1))
-        dishes = [x or b"" for x in words["dishes"].to_pylist()]
+        dishes = words["dishes"].to_pylist()
         sizes = np.fromiter(map(len, dishes), dtype=np.int64, count=len(dishes)) // _DISH.itemsize
         packed = np.frombuffer(b"".join(dishes), dtype=_DISH)
-        keys, shares = np.repeat(np.arange(len(sizes)) * width, sizes) + packed["context"], packed["share"]
+        keys, shares = np.repeat(i.astype(np.int64) * width, sizes) + packed["context"], packed["share"]
         del dishes, words
         ends = np.cumsum(lengths)
         known, plain, score = [], [], []
