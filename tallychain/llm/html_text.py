@@ -1,17 +1,24 @@
-"""Main text of web pages: templates deduced from pages of one host, text taken from the slots they leave."""
+"""Main text of web pages: one template a host, deduced from all its pages, and text taken from the slots it leaves."""
 
+import json
 import re
 from collections import Counter, defaultdict
+from hashlib import blake2b
 from html import unescape
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tallychain.llm.texts import sized_broadcast
-from tallychain.session import written
+from tallychain.llm.texts import settled, sized_broadcast
 
-#: Pages of one host that are compared with each other; larger hosts are dealt to more groups.
+#: Pages whose tokens are handed on at once.  It does not change results.
 GROUP = 64
+#: Least share of a host's articles that have a token of its template.
+SUPPORT = 0.3
+#: A text is template if at least so many articles, and this share of those with its element, have it.
+SHARED, SHARE = 4, 0.7
+#: What text under an element with a doubtful name counts for when slots are weighed.
+DOUBT = 0.25
 
 # Elements of HTML by their rules.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -21,9 +28,10 @@ BLOCK = frozenset(
     "head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 CLOSES_P = BLOCK - frozenset("body dd dt head html legend li option select tbody td tfoot th thead tr".split())
-CONTAINERS = frozenset("html body main article section div table tbody tr td center".split())
-# Elements and words of class, id and role that name what is not the article.
-OUTSIDE = frozenset("head script style nav footer aside form noscript template button select textarea iframe svg object canvas title menu dialog".split())
+CONTAINERS = frozenset("html body main article section div table tbody tr td center form".split())
+# Elements without text of the page; and elements and words of class, id and role that often name what is not the article.
+OUTSIDE = frozenset("head script style noscript template button select textarea iframe svg object canvas title".split())
+DOUBTFUL = frozenset("nav footer aside form menu dialog".split())
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation navigator menu menubar "
     "topbar breadcrumb breadcrumbs sidebar aside rail footer foot masthead contentinfo complementary comment comments commentlist "
@@ -41,37 +49,50 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "outside", "parent", "link")
+    __slots__ = ("tag", "path", "outside", "doubtful", "parent", "link", "mass", "light")
 
-    def __init__(self, tag, path, outside, parent, link):
-        self.tag, self.path, self.outside, self.parent, self.link = tag, path, outside, parent, link
+    def __init__(self, tag, path, outside, doubtful, parent, link):
+        self.tag, self.path, self.outside, self.doubtful, self.parent, self.link = tag, path, outside, doubtful, parent, link
+        self.mass, self.light = 0, False
 
 
-def _outside(tag, attributes, parent):
-    """Whether an element is no part of an article by its own marks."""
-    if tag in OUTSIDE:
-        return True
-    inside_article = False
-    node = parent
-    while node is not None:
-        if node.tag in ("article", "main"):
-            inside_article = True
+def _above(node):
+    """A node and its ancestors, without the root."""
+    while node is not None and node.parent is not None:
+        yield node
         node = node.parent
-    if tag == "header" and not inside_article:
+
+
+def _outside(tag, attributes):
+    """Whether an element is never shown as text of the page."""
+    if tag in OUTSIDE:
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return "hidden" in attributes and tag not in ("html", "body")
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
+    if "hidden" in attributes:
+        return tag not in ("html", "body")
+    if tag in ("html", "body", "article", "main"):
+        return False
+    return attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _doubtful(tag, attributes, parent):
+    """Whether an element's tag or names are those of what often is no part of an article."""
+    if tag in DOUBTFUL:
         return True
-    marks = " ".join(attributes.get(k) or "" for k in ("class", "id", "role")).lower()
-    words = set(_SPLIT.split(marks))
-    return bool(words & NAMES) or bool(words & HEADER_NAMES) and not inside_article
+    if tag in ("html", "body", "article", "main"):
+        return False
+    words = set(_SPLIT.split(" ".join(attributes.get(k) or "" for k in ("class", "id", "role")).lower()))
+    header = tag == "header" or bool(words & HEADER_NAMES)
+    return bool(words & NAMES) or header and not any(n.tag in ("article", "main") for n in _above(parent))
 
 
 def parse(html):
-    """(nodes, blocks) of a page: elements in order of their start, and blocks (text, innermost block node, characters in links) in page order."""
+    """(nodes, blocks) of a page: elements in order of their start, and blocks (text, innermost block node, characters in links) in page order.
+
+    An element with a doubtful name is ``light`` if it holds less than half of the page's text
+    outside links; a name alone never stands against the element that holds most of the text.
+    """
     nodes, blocks, buffer = [], [], []
-    stack = [Node("", "", False, None, False)]
+    stack = [Node("", "", False, False, None, False)]
     holder, linked = stack[0], 0
 
     def flush():
@@ -149,8 +170,8 @@ def parse(html):
         attributes = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(m[3])} if m[3].strip(" /\n\t\r") else {}
         parent = stack[-1]
         mark = tag + "".join("." + w for w in sorted((attributes.get("class") or "").split())) + ("#" + attributes["id"] if attributes.get("id") else "")
-        node = Node(tag, f"{parent.path}>{mark}", parent.outside or _outside(tag, attributes, parent), parent, parent.link or tag == "a")
-        if tag in BLOCK:
+        node = Node(tag, f"{parent.path}>{mark}", parent.outside or _outside(tag, attributes) or _doubtful(tag, attributes, parent), _doubtful(tag, attributes, parent), parent, parent.link or tag == "a")
+        if not node.outside:
             nodes.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
@@ -160,7 +181,14 @@ def parse(html):
         if not m[3].rstrip().endswith("/") or tag not in ("svg", "path"):
             stack.append(node)
     flush()
-    return nodes, [b for b in blocks if not b[1].outside]
+    blocks = [b for b in blocks if not b[1].outside]
+    for text, holder, linked in blocks:
+        for node in _above(holder):
+            node.mass += len(text) - linked
+    total = sum(len(text) - linked for text, _, linked in blocks)
+    for node in nodes:
+        node.light = node.doubtful and 2 * node.mass < total
+    return nodes, blocks
 
 
 def _block(stack):
@@ -170,80 +198,113 @@ def _block(stack):
     return stack[0]
 
 
-def deduce(pages):
-    """Path of the element that holds the article on pages of one template, or None; and the texts that belong to the template.
+#: The token that every page has.
+ROOT = 0
+
+
+def token(*parts):
+    """64 bits that stand for a path, or for a text at a path."""
+    return int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) or 1
+
 
-    ``pages`` are parsed pages, copies left out.  Elements (by path) with the same occurrences on
-    all pages form a class; a class is valid if its members keep one order on every page.  The
-    class of what occurs once on each page is the template's frame, and other valid classes nest
-    in its slots: what repeats there is content.  A text with one place that most pages share
-    belongs to the template.  From the frame's outermost element the way goes down to the element
-    that holds most of the text which is neither link nor template, as long as there is one.
+def article_of(blocks):
+    """What near copies of a page have in common: the longest blocks, as many as hold half of its text."""
+    left, held = sum(len(text) for text, _, _ in blocks) / 2, []
+    for text in sorted((text for text, _, _ in blocks), key=lambda t: (-len(t), t)):
+        if left <= 0:
+            break
+        held.append(text)
+        left -= len(text)
+    return token(*sorted(held))
+
+
+def tokens_of(page):
+    """{token: [occurrences, mass]} of a page: its elements by path, its texts by path and text, and the root.
+
+    Mass is the text outside links under an element; text under doubtful names counts less.
+    """
+    nodes, blocks = page
+    named = {}
+    for path, n in Counter(node.path for node in nodes).items():
+        named[path] = [token(path), n, 0.0]
+    texts, total = {}, 0.0
+    for text, holder, linked in blocks:
+        above = list(_above(holder))
+        mass = (len(text) - linked) * (DOUBT if any(n.light for n in above) else 1)
+        total += mass
+        for node in above:
+            named[node.path][2] += mass
+        at = texts.setdefault((holder.path, text), [0, 0.0])
+        at[0] += 1
+        at[1] += mass
+    found = {t: [n, mass] for t, n, mass in named.values()}
+    found |= {token(path, text): at for (path, text), at in texts.items()}
+    found[ROOT] = [1, total]
+    return found
+
+
+def extract(page, template):
+    """The page's article, its blocks joined by line feeds.
+
+    ``template`` maps the tokens that enough of the host's articles have to (articles, articles
+    that have it once, mass over all articles, class); None lets the page be its own template.
+    Tokens with equal occurrences over all articles are one class.  What occurs once in an article
+    is the frame, and each element of it a slot.  From the outermost element the way goes down to
+    the slot that holds most of the host's text which is neither link nor template; where none
+    does, an article or main element decides, if no other slot beside it holds more.  Paths are nested, so a class is nested by the paths of its
+    members; their order among siblings does not matter to what an element holds.
     """
-    vectors = defaultdict(lambda: [0] * len(pages))
-    shared = Counter()
-    for n, (nodes, blocks) in enumerate(pages):
-        for node in nodes:
-            vectors[node.path][n] += 1
-        shared.update({(node.path, text) for text, node, _ in blocks})
-    fixed = {k for k, n in shared.items() if len(pages) >= 4 and n >= 0.7 * len(pages)}
-    classes = defaultdict(list)
-    for path, vector in vectors.items():
-        classes[tuple(vector)].append(path)
-    frame = set(classes.get((1,) * len(pages), ()))
-    orders = [[node.path for node in nodes if node.path in frame] for nodes, _ in pages]
-    frame = {p for p in frame if all(o.index(p) == orders[0].index(p) for o in orders)} if any(o != orders[0] for o in orders) else frame
-    mass = Counter()
-    for _, blocks in pages:
-        for text, node, linked in blocks:
-            if (node.path, text) not in fixed:
-                up = node
-                while up is not None and up.parent is not None:
-                    if up.path in frame:
-                        mass[up.path] += len(text) - linked
-                    up = up.parent
-    inside = {p for p in frame if p.rpartition(">")[2].split(".")[0].split("#")[0] in CONTAINERS}
-    chosen, total = None, sum(len(t) - k for _, blocks in pages for t, n, k in blocks if (n.path, t) not in fixed)
+    nodes, blocks = page
+    for tag in ("article", "main"):
+        found = [text for text, holder, _ in blocks if any(n.tag == tag for n in _above(holder))]
+        if found:
+            return "\n".join(found)
+    if template is None:
+        template = {t: (1, n == 1, mass, None) for t, (n, mass) in tokens_of(page).items()}
+    paths = {node.path: node for node in nodes}
+    known = {path: template[t] for path in paths if (t := token(path)) in template}
+    fixed, mass = set(), Counter({path: k[2] for path, k in known.items()})
+    total = template[ROOT][2] if ROOT in template else 0
+    for path, text, holder in {(h.path, t): (h.path, t, h) for t, h, _ in blocks}.values():
+        at = template.get(token(path, text))
+        if at and at[0] >= SHARED and at[0] >= SHARE * known.get(path, at)[0]:
+            fixed.add((path, text))
+            total -= at[2]
+            for node in _above(holder):
+                mass[node.path] -= at[2]
+    on_page = Counter(node.path for node in nodes)
+    frame = [p for p, k in known.items() if on_page[p] == 1 and k[1] >= 0.9 * k[0] and paths[p].tag in CONTAINERS]
+    chosen = None
     while total > 0:
-        if chosen and chosen.rpartition(">")[2].split(".")[0].split("#")[0] in ("article", "main"):
+        if chosen and paths[chosen].tag in ("article", "main"):
             break
-        below = [p for p in inside if p != chosen and (chosen is None or p.startswith(chosen + ">")) and mass[p] >= 0.6 * total]
+        below = [p for p in frame if p != chosen and (chosen is None or p.startswith(chosen + ">")) and mass[p] >= 0.6 * total]
         if not below:
+            marked = [p for p in frame if paths[p].tag in ("article", "main") and (chosen is None or p.startswith(chosen + ">"))]
+            best = max(marked, key=lambda p: (mass[p], p), default=None)
+            apart = [mass[p] for p in frame if best and not p.startswith(best + ">") and not best.startswith(p + ">") and p != best]
+            if best and mass[best] > 0 and mass[best] >= max(apart, default=0):
+                chosen = best
             break
-        chosen = min(below, key=lambda p: (p.count(">"), -mass[p], p))
+        chosen = min(below, key=lambda p: (p.count(">"), paths[p].tag not in ("article", "main"), -mass[p], p))
         total = mass[chosen]
-    return chosen, fixed
 
-
-def extract(page, chosen, fixed):
-    """The page's article, its blocks joined by line feeds."""
-    nodes, blocks = page
-
-    def under(node, test):
-        while node is not None and node.parent is not None:
-            if test(node):
+    def inside(holder):
+        """Whether a block lies in the chosen slot, and in no other slot of it."""
+        for node in _above(holder):
+            if node.path == chosen:
                 return True
-            node = node.parent
-        return False
+            if node.light:
+                return False
+        return chosen is None
 
-    for tag in ("article", "main"):
-        if any(n.tag == tag and not n.outside for n in nodes):
-            found = [text for text, node, _ in blocks if under(node, lambda n: n.tag == tag)]
-            if found:
-                return "\n".join(found)
     if chosen is not None:
-        found = [text for text, node, _ in blocks if (node.path, text) not in fixed and under(node, lambda n: n.path == chosen)]
+        found = [text for text, holder, _ in blocks if (holder.path, text) not in fixed and inside(holder)]
         if found:
             return "\n".join(found)
-    left = [text for text, node, linked in blocks if (node.path, text) not in fixed and 2 * linked <= len(text)]
-    return "\n".join(left or [text for text, _, _ in blocks])
-
-
-def _texts(pages):
-    """The main texts of pages of one group, in their order."""
-    parsed = {h: parse(h) for h in dict.fromkeys(pages)}
-    chosen, fixed = deduce(list(parsed.values()))
-    return [extract(parsed[h], chosen, fixed) for h in pages]
+    left = [(text, holder) for text, holder, linked in blocks if (holder.path, text) not in fixed and 2 * linked <= len(text)]
+    sure = [text for text, holder in left if not any(n.light for n in _above(holder))]
+    return "\n".join(sure or [text for text, _ in left] or [text for text, _, _ in blocks])
 
 
 def host_of(url):
@@ -251,25 +312,60 @@ def host_of(url):
     return F.regexp_replace(F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))), r"^www\.", "")
 
 
+def _templates(hosted):
+    """(host, template) of hosts with two articles or more, ``template`` a JSON list of its tokens.
+
+    Tokens are counted over all articles of a host.  They are added up by host, token and article
+    first, so near copies count once and a large host is dealt over all tasks; what enough
+    articles share is no more than a few pages hold, for a host of any size.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            for at in range(0, len(pdf), GROUP):
+                rows = []
+                for host, html in zip(pdf["host"].iloc[at:at + GROUP], pdf["html"].iloc[at:at + GROUP]):
+                    page = parse(html)
+                    article = article_of(page[1])
+                    rows += [(host, t, article, n, mass) for t, (n, mass) in tokens_of(page).items()]
+                yield pd.DataFrame(rows, columns=["host", "token", "article", "n", "mass"])
+
+    seen = hosted.select("host", "html").mapInPandas(run, "host long, token long, article long, n int, mass float")
+    by_article = seen.groupBy("host", "token", "article").agg(F.max("n").alias("n"), F.max("mass").alias("mass"))
+    # Equal occurrences: the sum of a hash of article and number, by halves that cannot overflow.
+    key = F.xxhash64("article", "n")
+    counted = by_article.groupBy("host", "token").agg(
+        F.count("*").alias("articles"), F.count_if(F.col("n") == 1).alias("once"), F.sum(F.col("mass").cast("double")).alias("mass"),
+        F.sum(F.shiftrightunsigned(key, 32)).alias("high"), F.sum(key.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+    ).where("articles > 1").withColumn("class", F.xxhash64("high", "low"))
+    counted, _ = settled(counted.select("host", "token", "articles", "once", "mass", "class"), "html-tokens")
+    of_host = counted.where(F.col("token") == ROOT).select("host", F.col("articles").alias("all"))
+    kept = counted.join(of_host, "host").where(F.col("articles") >= F.col("all") * SUPPORT)
+    return settled(kept.groupBy("host").agg(F.to_json(F.collect_list(F.struct("token", "articles", "once", "mass", "class"))).alias("template")), "html-templates")[0]
+
+
 def main_texts(pages):
     """(page_id, url, text) of every row of (page_id, url, html).
 
-    Pages of one host are compared in groups of about ``GROUP``, dealt by a hash of url and html,
-    so that no group grows with its host.  Pages without a host are one more host.  Copies count
-    once when a template is deduced; a page alone is its own template.  Null, empty and textless
-    pages have an empty text.  Repeated rows have a row each, an empty table none.
+    A host has one template, deduced from all its pages; then every page is read with it.  Pages
+    without a host are one more host.  Copies and near copies count once when a template is
+    deduced; an article alone is its own template.  Null, empty and textless pages have an empty
+    text.  Repeated rows have a row each, an empty table none.
     """
-    hosted = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
-    counts, _ = written(
-        pages.select(host_of(F.col("url")).alias("host")).groupBy("host").agg(F.ceil(F.count("*") / GROUP).alias("groups")).where("groups > 1"), "hosts"
-    )
-    dealt = hosted.join(sized_broadcast(counts), "host", "left").withColumn(
-        "deal", F.coalesce(F.pmod(F.xxhash64("url", "page_id", F.length("html")), F.col("groups")), F.lit(0))
+    hosted = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.xxhash64(host_of(F.col("url"))).alias("host"))
+    templates = _templates(hosted)
+
+    def run(batches):
+        for pdf in batches:
+            texts, read = [], {}
+            for html, host, rows in zip(pdf["html"], pdf["host"], pdf["template"]):
+                if host not in read:
+                    read[host] = None if rows is None else {r["token"]: (r["articles"], r["once"], r["mass"], r["class"]) for r in json.loads(rows)}
+                texts.append(extract(parse(html), read[host]))
+            yield pdf[["page_id", "no_id", "url"]].assign(text=texts)
+
+    rows = hosted.select(F.coalesce("page_id", F.lit(0)).alias("page_id"), F.col("page_id").isNull().alias("no_id"), "url", "html", "host")
+    found = rows.join(sized_broadcast(templates, 20_000), "host", "left").mapInPandas(
+        run, f"page_id {rows.schema['page_id'].dataType.simpleString()}, no_id boolean, url string, text string"
     )
-
-    def run(pdf):
-        return pdf[["page_id", "no_id", "url"]].assign(text=_texts(pdf["html"].tolist()))
-
-    rows = dealt.select(F.coalesce("page_id", F.lit(0)).alias("page_id"), F.col("page_id").isNull().alias("no_id"), "url", "html", "host", "deal")
-    found = rows.groupBy("host", "deal").applyInPandas(run, f"page_id {rows.schema['page_id'].dataType.simpleString()}, no_id boolean, url string, text string")
     return found.select(F.when(~F.col("no_id"), F.col("page_id")).alias("page_id"), "url", "text")

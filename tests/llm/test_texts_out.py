@@ -116,6 +116,31 @@ def test_large_hosts_are_dealt_to_groups(spark, monkeypatch):
     assert {r.page_id: r.text for r in got} == {n: WANT.format(n=n) for n in range(30)}
 
 
+def main_text_of(spark, htmls, host="h.example"):
+    rows = [(n, f"https://{host}/{n}", html) for n, html in enumerate(htmls)]
+    got = html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def prose(n, words=30):
+    rnd = np.random.default_rng(n)
+    return " ".join(f"w{x}" for x in rnd.integers(0, 9999, words))
+
+
+def test_near_copies_do_not_make_their_text_a_template(spark):
+    page = "<body><div class='menu1'>Our pages and our shop</div><div class='text'><p>{0}</p><p>{1}</p><i>{2}</i></div></body>"
+    articles = [0] * 40 + [1, 2, 3, 4, 5]
+    got = main_text_of(spark, [page.format(prose(a), prose(a + 50), n) for n, a in enumerate(articles)])
+    assert got == [f"{prose(a)}\n{prose(a + 50)}\n{n}" for n, a in enumerate(articles)]
+
+
+def test_the_template_is_that_of_the_whole_host(spark):
+    """A notice that 3 of 4 pages have is template, however a host of 200 pages is dealt."""
+    page = "<body><div class='text'><p>{0}</p>{1}</div></body>"
+    pages = [page.format(prose(n), "<h6>All of our notices</h6>" if n % 4 else "") for n in range(200)]
+    assert main_text_of(spark, pages) == [prose(n) for n in range(200)]
+
+
 def test_pages_of_the_table(spark, sf_dir):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     got = {r.page_id: r for r in QUERIES["op7_html"](spark, sf_dir).collect()}
