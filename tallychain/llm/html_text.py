@@ -255,10 +255,6 @@ def extract(page, template):
     members; their order among siblings does not matter to what an element holds.
     """
     nodes, blocks = page
-    for tag in ("article", "main"):
-        found = [text for text, holder, _ in blocks if any(n.tag == tag for n in _above(holder))]
-        if found:
-            return "\n".join(found)
     if template is None:
         template = {t: (1, n == 1, mass, None) for t, (n, mass) in tokens_of(page).items()}
     paths = {node.path: node for node in nodes}

@@ -127,6 +127,16 @@ def prose(n, words=30):
     return " ".join(f"w{x}" for x in rnd.integers(0, 9999, words))
 
 
+def test_template_text_inside_an_article_is_no_text(spark):
+    page = "<body><article><p>{0}</p><div>Share this page with all of your friends</div></article></body>"
+    assert main_text_of(spark, [page.format(prose(n)) for n in range(8)]) == [prose(n) for n in range(8)]
+
+
+def test_an_article_element_beside_the_text_does_not_win(spark):
+    page = '<body><article><p>teaser {0}</p></article><div class="text"><p>{1}</p><p>{2}</p></div></body>'
+    assert main_text_of(spark, [page.format(n, prose(n), prose(n + 50)) for n in range(8)]) == [f"{prose(n)}\n{prose(n + 50)}" for n in range(8)]
+
+
 def test_near_copies_do_not_make_their_text_a_template(spark):
     page = "<body><div class='menu1'>Our pages and our shop</div><div class='text'><p>{0}</p><p>{1}</p><i>{2}</i></div></body>"
     articles = [0] * 40 + [1, 2, 3, 4, 5]
