@@ -170,7 +170,7 @@ def parse(html):
         attributes = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(m[3])} if m[3].strip(" /\n\t\r") else {}
         parent = stack[-1]
         mark = tag + "".join("." + w for w in sorted((attributes.get("class") or "").split())) + ("#" + attributes["id"] if attributes.get("id") else "")
-        node = Node(tag, f"{parent.path}>{mark}", parent.outside or _outside(tag, attributes) or _doubtful(tag, attributes, parent), _doubtful(tag, attributes, parent), parent, parent.link or tag == "a")
+        node = Node(tag, f"{parent.path}>{mark}", parent.outside or _outside(tag, attributes), _doubtful(tag, attributes, parent), parent, parent.link or tag == "a")
         if not node.outside:
             nodes.append(node)
         if tag in RAW:

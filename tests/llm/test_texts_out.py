@@ -137,6 +137,13 @@ def test_an_article_element_beside_the_text_does_not_win(spark):
     assert main_text_of(spark, [page.format(n, prose(n), prose(n + 50)) for n in range(8)]) == [f"{prose(n)}\n{prose(n + 50)}" for n in range(8)]
 
 
+@pytest.mark.parametrize("wrapper", ['class="layout has-sidebar"', 'class="page no-sidebar"', 'class="content-with-comments"', 'id="search-results"', 'class="share-enabled"'])
+@pytest.mark.parametrize("pages", [1, 6])
+def test_a_doubtful_name_around_the_article_loses_nothing(spark, wrapper, pages):
+    page = f"<body><div {wrapper}><article><h1>Head {{0}}</h1><p>{{1}}</p></article></div><div class='ad'>Buy {{0}}</div></body>"
+    assert main_text_of(spark, [page.format(n, prose(n)) for n in range(pages)]) == [f"Head {n}\n{prose(n)}" for n in range(pages)]
+
+
 def test_near_copies_do_not_make_their_text_a_template(spark):
     page = "<body><div class='menu1'>Our pages and our shop</div><div class='text'><p>{0}</p><p>{1}</p><i>{2}</i></div></body>"
     articles = [0] * 40 + [1, 2, 3, 4, 5]
