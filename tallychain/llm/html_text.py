@@ -251,7 +251,9 @@ def extract(page, template):
     Tokens with equal occurrences over all articles are one class.  What occurs once in an article
     is the frame, and each element of it a slot.  From the outermost element the way goes down to
     the slot that holds most of the host's text which is neither link nor template; where none
-    does, an article or main element decides, if no other slot beside it holds more.  Paths are nested, so a class is nested by the paths of its
+    does, an article or main element decides, if no other slot beside it holds more.  An element
+    in the slot that holds nothing but records, which are repeated elements of a class with two or
+    more parts, is a slot of its own.  Paths are nested, so a class is nested by the paths of its
     members; their order among siblings does not matter to what an element holds.
     """
     nodes, blocks = page
@@ -284,13 +286,14 @@ def extract(page, template):
             break
         chosen = min(below, key=lambda p: (p.count(">"), paths[p].tag not in ("article", "main"), -mass[p], p))
         total = mass[chosen]
+    sets = _record_sets(paths, known, mass, chosen)
 
     def inside(holder):
         """Whether a block lies in the chosen slot, and in no other slot of it."""
         for node in _above(holder):
             if node.path == chosen:
                 return True
-            if node.light:
+            if node.light or node.path in sets:
                 return False
         return chosen is None
 
@@ -303,6 +306,23 @@ def extract(page, template):
     return "\n".join(sure or [text for text, _ in left] or [text for text, _, _ in blocks])
 
 
+def _record_sets(paths, known, mass, chosen):
+    """Paths below the chosen slot whose elements hold nothing but records, and less than half of the slot's text."""
+    classes = defaultdict(list)
+    for path, (n, once, _, of) in known.items():
+        if of is not None and once < 0.9 * n:
+            classes[of].append(path)
+    found = set()
+    for members in classes.values():
+        for record in members:
+            parts = [p for p in members if p.startswith(record + ">")]
+            leaves = [p for p in parts if not any(q.startswith(p + ">") for q in parts)]
+            holder = paths[record].parent.path
+            if len(leaves) >= 2 and chosen and holder.startswith(chosen + ">") and mass[record] >= 0.95 * mass[holder] and 2 * mass[holder] < mass[chosen]:
+                found.add(holder)
+    return found
+
+
 def host_of(url):
     """Host of a URL in lower case without user, port and a leading "www."; empty if there is none."""
     return F.regexp_replace(F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))), r"^www\.", "")

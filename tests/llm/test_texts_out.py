@@ -144,6 +144,13 @@ def test_a_doubtful_name_around_the_article_loses_nothing(spark, wrapper, pages)
     assert main_text_of(spark, [page.format(n, prose(n)) for n in range(pages)]) == [f"Head {n}\n{prose(n)}" for n in range(pages)]
 
 
+def test_lists_of_records_are_slots_of_their_own(spark):
+    record = "<div class='e'><b>by {0}</b><div class='t'>said {0} here</div></div>"
+    page = "<body><div class='text'><p>{0}</p><div class='x'>{1}</div><p>{2}</p></div></body>"
+    pages = [page.format(prose(n), "".join(record.format(n * 10 + k) for k in range(1 + n % 4)), prose(n + 50)) for n in range(9)]
+    assert main_text_of(spark, pages) == [f"{prose(n)}\n{prose(n + 50)}" for n in range(9)]
+
+
 def test_near_copies_do_not_make_their_text_a_template(spark):
     page = "<body><div class='menu1'>Our pages and our shop</div><div class='text'><p>{0}</p><p>{1}</p><i>{2}</i></div></body>"
     articles = [0] * 40 + [1, 2, 3, 4, 5]
