@@ -139,11 +139,29 @@ class Scanner:
                     continue
                 pairs = patience(template, words[start:start + reach])
                 if len(pairs) >= need:
+                    start, pairs = self._whole(template, words, start, pairs, enough, reach)
                     first, past = start + pairs[0][1], start + pairs[-1][1] + 1
                     found.append((name, len(pairs) / len(template), first, past))
         return sorted(found, key=lambda x: (x[2], x[0]))
 
 
+    def _whole(self, template, words, start, pairs, starts, reach):
+        """The start and alignment of a found notice with most words aligned, on ties in the shortest stretch.
+
+        A window that begins before the notice may end before it does, so every start up to the
+        end of the stretch found is tried.  One that aligns most words beyond that end is another notice.
+        """
+        end = start + pairs[-1][1] + 1
+        best = (len(pairs), pairs[0][1] - pairs[-1][1], start, pairs)
+        for other in starts[np.searchsorted(starts, start, "right"):np.searchsorted(starts, end)].tolist():
+            if best[0] == len(template) == 1 - best[1]:
+                break
+            tried = patience(template, words[other:other + reach])
+            if 2 * sum(other + j < end for _, j in tried) >= len(tried) > 0:
+                best = max(best, (len(tried), tried[0][1] - tried[-1][1], other, tried), key=lambda x: x[:2])
+        return best[2:]
+
+
 def scan(docs, templates=TEMPLATES, coverage=COVERAGE):
     """(doc_id, licenses, best_license, best_coverage, notices) of every row.
 

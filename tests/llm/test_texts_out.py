@@ -59,6 +59,19 @@ def test_license_notices_are_found_with_gaps_and_changes(make_docs):
     assert licenses.scan(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("name", ["MIT", "ISC", "BSD", "GPL-3.0-or-later"])
+def test_a_long_notice_after_prose_is_aligned_whole(name):
+    notice = dict(licenses.TEMPLATES)[name]
+    scanner, n = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE), len(licenses.license_words(notice))
+    for before in range(0, n):
+        prose = [("the", "of", f"x{i}", "any", "to", f"y{i}")[i % 6] for i in range(before)]
+        found = scanner.scan(f"{' '.join(prose)} {notice} and so on")
+        assert (name, 1.0, before + n) in [(f[0], f[1], f[3]) for f in found], before
+    pieces = licenses.license_words(notice)
+    twice = scanner.scan(b" ".join(pieces[:-(n // 10)] + pieces).decode())
+    assert [f[0] for f in twice].count(name) == 2
+
+
 def test_license_query_equals_a_search_for_the_notices(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = {r.doc_id: set(r.licenses) for r in QUERIES["op6_licenses"](spark, sf_dir).collect()}
