@@ -1,19 +1,18 @@
-"""Hierarchical Pitman-Yor language model: context restaurants over one shared parent, seated by Gibbs sampling."""
+"""Hierarchical Pitman-Yor language model: a restaurant for every preceding word over one shared parent, seated by Gibbs sampling."""
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyspark
 import zstandard
 from pyspark.sql import functions as F
 
-from tallychain.llm.texts import settled
+from tallychain.llm.texts import settled, sized_broadcast
 
 #: Tokens of a block: the unit in which texts are kept as word numbers.
 BLOCK_TOKENS = 2_000_000
 #: Tokens that are scored at once.
 CHUNK_TOKENS = 300_000
-#: Words that open a context: a token's restaurant is that of the nearest one before it in its text.
-CONTEXTS = 32
 #: Rounds over the corpus, sweeps of each, and how many of the last sweeps are averaged.
 ROUNDS, SWEEPS, KEPT = 3, 6, 4
 STRENGTH = 1.0
@@ -21,8 +20,7 @@ STRENGTH = 1.0
 SINGLY = 32
 
 _END = b""
-_BLOCKS = ("block long, doc_ids array<bigint>, train array<boolean>, lengths array<int>, tokens binary, words array<string>, "
-           "n_train array<int>, frequent array<struct<word:string,n:bigint>>")
+_BLOCKS = ("block long, doc_ids array<bigint>, train array<boolean>, lengths array<int>, tokens binary, words array<string>")
 
 
 def held_out(doc_id, folds=7, fold=2):
@@ -41,17 +39,12 @@ def _blocks(docs):
         def close():
             numbers = np.concatenate(state["tokens"])
             lengths = np.array([len(t) for t in state["tokens"]], dtype=np.int32)
-            taught = np.repeat(np.array(state["train"], dtype=bool), lengths)
-            counts = np.bincount(numbers[taught], minlength=len(state["known"]))
             words = pa.array(list(state["known"]), type=pa.binary()).cast(pa.string())
-            top = np.argsort(-counts, kind="stable")[:8 * CONTEXTS]
-            frequent = [{"word": words[int(i)].as_py(), "n": int(counts[i])} for i in top if counts[i]]
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + made]), pa.array([state["ids"]], type=pa.list_(pa.int64())), pa.array([state["train"]]),
                  pa.array([lengths]), pa.array([zstandard.compress(numbers.astype("<i4").tobytes(), 1)], type=pa.binary()),
-                 pa.ListArray.from_arrays(pa.array([0, len(words)], type=pa.int32()), words), pa.array([counts.astype(np.int32)]),
-                 pa.array([frequent], type=pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))],
-                names=["block", "doc_ids", "train", "lengths", "tokens", "words", "n_train", "frequent"],
+                 pa.ListArray.from_arrays(pa.array([0, len(words)], type=pa.int32()), words)],
+                names=["block", "doc_ids", "train", "lengths", "tokens", "words"],
             )
 
         for batch in batches:
@@ -83,43 +76,53 @@ class _Numbers(dict):
         return n
 
 
-def _contexts(numbers, lengths, opens):
-    """Context of each token: ``opens`` of the nearest earlier token of its text that has one; 0 before there is any."""
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    at = np.where(opens[numbers] > 0, np.arange(len(numbers)), -1)
-    before = np.concatenate(([-1], np.maximum.accumulate(at)[:-1]))
-    before[before < np.repeat(starts, lengths)] = -1
-    return np.where(before >= 0, opens[numbers[before]], 0)
-
-
 def _numbers(row_tokens):
     return np.frombuffer(zstandard.decompress(row_tokens), dtype="<i4")
 
 
-def _opens(words, openers):
-    """For each word of a list the number of its context, 0 for most."""
-    return np.fromiter((openers.get(w, 0) for w in words), dtype=np.int64, count=len(words))
+def _keys(words):
+    """64 bits that stand for each word of a list."""
+    return pd.util.hash_array(np.array(words, dtype=object), categorize=False).view(np.int64)
+
+
+def _before(numbers):
+    """The word before each token, the end before the first one of a text: every text ends with it, the last one too."""
+    return np.roll(numbers, 1).astype(np.int64)
+
+
+def _pairs(blocks, training):
+    """(block, a, b, u, w, n) of the words a and b that follow each other in a block, and their keys; those of training texts only, or of all."""
 
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys = _keys(batch.column("words")[i].values.to_pylist())
+                numbers = _numbers(batch.column("tokens")[i].as_py())
+                found = _before(numbers) << 32 | numbers
+                if training:
+                    found = found[np.repeat(batch.column("train")[i].values.to_numpy(zero_copy_only=False), batch.column("lengths")[i].values.to_numpy())]
+                pairs, n = np.unique(found, return_counts=True)
+                for at in range(0, len(pairs), 100_000):
+                    part = pairs[at:at + 100_000]
+                    columns = {"u": keys[part >> 32], "w": keys[part & 0xFFFFFFFF]}
+                    columns |= {"n": n[at:at + 100_000]} if training else {"block": np.full(len(part), batch.column("block")[i].as_py()), "key": part}
+                    yield pa.RecordBatch.from_pydict({k: pa.array(v.astype(np.int64)) for k, v in columns.items()})
 
-def _counts(blocks, openers):
-    """(word, context, n) of the training tokens of each block."""
+    return blocks.select("block", "train", "lengths", "tokens", "words").mapInArrow(run, "u long, w long, n long" if training else "u long, w long, block long, key long")
+
+
+def _listed(blocks):
+    """(block, key, w) of the words of each block; the key is -1 - their number."""
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                words = batch.column("words")[i].values
-                numbers, lengths = _numbers(batch.column("tokens")[i].as_py()), batch.column("lengths")[i].values.to_numpy()
-                taught = np.repeat(batch.column("train")[i].values.to_numpy(zero_copy_only=False), lengths)
-                contexts = _contexts(numbers, lengths, _opens(words.to_pylist(), openers))[taught]
-                pairs, n = np.unique(numbers[taught].astype(np.int64) * (CONTEXTS + 1) + contexts, return_counts=True)
-                for a in range(0, len(pairs), 100_000):
-                    part = pairs[a:a + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [words.take(pa.array(part // (CONTEXTS + 1))), pa.array((part % (CONTEXTS + 1)).astype(np.int32)), pa.array(n[a:a + 100_000].astype(np.int64))],
-                        names=["word", "context", "n"],
-                    )
+                keys = _keys(batch.column("words")[i].values.to_pylist())
+                for at in range(0, len(keys), 100_000):
+                    part = keys[at:at + 100_000]
+                    yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(part), batch.column("block")[i].as_py())), "key": pa.array(-1 - np.arange(at, at + len(part))), "w": pa.array(part)})
 
-    return blocks.select("train", "lengths", "tokens", "words").mapInArrow(run, "word string, context int, n long")
+    return blocks.select("block", "words").mapInArrow(run, "block long, key long, w long")
 
 
 def _uniform(seeds, salt):
@@ -153,28 +156,16 @@ def seat(customers, weight, discount, seeds, salt):
     return tables
 
 
-#: A word's share in one context, as it is packed for the scoring of texts.
-_DISH = np.dtype([("context", "i1"), ("share", "<f4")])
-
-
-def _packed_dishes(contexts, shares, offsets):
-    packed = np.empty(len(contexts), dtype=_DISH)
-    packed["context"], packed["share"] = contexts, shares
-    sizes = pa.array((offsets * _DISH.itemsize).astype(np.int32))
-    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, sizes.buffers()[1], pa.py_buffer(packed.tobytes())])
-
-
 def _sweeps(table, world, round_number):
-    """One round over words with all their contexts: (word, c, sent, contexts, tables, root_tables, dishes), averaged over the last sweeps.
+    """One round over words with the contexts that they follow more than once: (w, c, sent, contexts, n, tables, root_tables), averaged over the last sweeps.
 
-    ``sent`` are a word's tables in all contexts; ``dishes`` packs by context what its customers
-    count for in a draw, that is their number less the discount of each table.
+    ``sent`` are a word's tables in all contexts; a pair that occurs once has one table.
 
     Given how many tables each restaurant has in all, words do not depend on each other, so each is
     sampled on its own: in turn the tables of its dish in every context given its probability in the
     parent, then its tables in the parent given the customers that those tables send there.
     """
-    total = {k: np.asarray(v, dtype=np.float64) if isinstance(v, list) else v for k, v in world.items()}
+    total = world
 
     def run(batches):
         for batch in batches:
@@ -183,46 +174,38 @@ def _sweeps(table, world, round_number):
             offsets = offsets - offsets[0]
             k, customers = contexts.flatten().to_numpy(), n.flatten().to_numpy()
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            ones = batch.column("ones").to_numpy().astype(np.float64)
             seeds = batch.column("seed").to_numpy().view(np.uint64)
             with np.errstate(over="ignore"):
-                pair_seeds = seeds[owner] * np.uint64(0x2545F4914F6CDD1D) + k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                pair_seeds = seeds[owner] * np.uint64(0x2545F4914F6CDD1D) + k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             tables = np.ones(len(k))
             root = np.ones(batch.num_rows)
             mean, root_mean = np.zeros(len(k)), np.zeros(batch.num_rows)
             fresh = total["strength"] + total["root_discount"] * total["root_tables"]
             known = np.full(batch.num_rows, fresh * total["base"])
-            opened = total["strength"] + total["discount"] * total["tables"][k]
+            opened = total["strength"] + total["discount"] * batch.column("opened").flatten().to_numpy()
+
+            def sent_by(tables):
+                return ones + np.bincount(owner, weights=tables, minlength=batch.num_rows)
+
             for sweep in range(SWEEPS):
                 salt = (round_number * SWEEPS + sweep) * 2
-                sent = np.bincount(owner, weights=tables, minlength=batch.num_rows)
-                parent = (sent - total["root_discount"] * root + known) / (total["strength"] + total["root_customers"])
+                parent = (sent_by(tables) - total["root_discount"] * root + known) / (total["strength"] + total["root_customers"])
                 tables = seat(customers, opened * parent[owner], total["discount"], pair_seeds, salt)
-                sent = np.bincount(owner, weights=tables, minlength=batch.num_rows)
-                root = seat(sent.astype(np.int64), known, total["root_discount"], seeds, salt + 1)
+                root = seat(sent_by(tables).astype(np.int64), known, total["root_discount"], seeds, salt + 1)
                 if sweep >= SWEEPS - KEPT:
                     mean, root_mean = mean + tables / KEPT, root_mean + root / KEPT
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("c"), pa.array(np.bincount(owner, weights=mean, minlength=batch.num_rows)), contexts,
-                 pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(mean.astype(np.float32))), pa.array(root_mean),
-                 _packed_dishes(k, customers - total["discount"] * mean, offsets)],
-                names=["word", "c", "sent", "contexts", "tables", "root_tables", "dishes"],
+                [batch.column("w"), batch.column("c"), pa.array(sent_by(mean)), contexts, n,
+                 pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(mean.astype(np.float32))), pa.array(root_mean)],
+                names=["w", "c", "sent", "contexts", "n", "tables", "root_tables"],
             )
 
-    return table.select("word", "c", "contexts", "n", "seed").mapInArrow(
-        run, "word string, c long, sent double, contexts array<int>, tables array<float>, root_tables double, dishes binary"
+    return table.select("w", "c", "ones", "contexts", "n", "opened", F.xxhash64("w").alias("seed")).mapInArrow(
+        run, "w long, c long, sent double, contexts array<long>, n array<long>, tables array<float>, root_tables double"
     )
 
 
-def _restaurants(seated):
-    """Tables of every context, and tables and customers of the parent: a fixed number of sums."""
-    rows = seated.select("root_tables", F.explode(F.arrays_zip("contexts", "tables")).alias("x"))
-    by_context = rows.groupBy("x.contexts").agg(F.sum("x.tables").alias("t")).collect()
-    tables = [0.0] * (CONTEXTS + 1)
-    for context, t in by_context:
-        tables[context] = float(t)
-    return {"tables": tables, "root_customers": sum(tables), "root_tables": float(seated.agg(F.sum("root_tables")).first()[0] or 0)}
-
-
 def _discount(once, twice):
     return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
@@ -233,82 +216,83 @@ def score(docs):
     Tokens are the words of the text, A-Z in lower case, and one end.  Rows of the held-out fold
     don't teach.  The symbols are the training words and one for all other words.  ``base_score``
     adds one to the count of each symbol.  ``score`` is the text's log10 probability in the model:
-    a token is drawn in the restaurant of its context, which is opened by the nearest earlier word
-    among the ``CONTEXTS`` most frequent ones; all contexts share one parent restaurant, whose own
-    draws are all symbols alike.  So a text of unknown words is as unlikely as each of them is.  Discounts follow from how
-    many counts are one and two; tables are sampled by Gibbs sweeps and predictive probabilities
-    averaged over the last of them.
+    a token is drawn in the restaurant of the word before it, of which every word that occurs
+    before another in a training text has one; all contexts share one parent restaurant, whose own
+    draws are all symbols alike.  So a text of unknown words is as unlikely as each of them is.
+    Discounts follow from how many counts are one and two; tables are sampled by Gibbs sweeps and
+    table counts averaged over the last of them.
 
     Null and empty texts are one end.  Rows without doc_id teach and are scored with a null id;
     rows that repeat count as often.  Without training tokens every probability is 1.  An empty
     table gives no rows.
     """
     blocks, _ = settled(_blocks(docs), "lm-blocks")
-    frequent = blocks.select(F.explode("frequent").alias("f")).groupBy("f.word").agg(F.sum("f.n").alias("n")).where("word <> ''")
-    openers = {row["word"]: i + 1 for i, row in enumerate(frequent.orderBy(F.desc("n"), "word").limit(CONTEXTS).collect())}
-    pairs = _counts(blocks, openers).groupBy("word", "context").agg(F.sum("n").alias("n"))
-    gathered = pairs.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("context", "n"))).alias("x"), F.sum("n").alias("c"))
-    table, counts_folder = settled(
-        gathered.select("word", "c", F.col("x.context").alias("contexts"), F.col("x.n").alias("n"), F.xxhash64("word").alias("seed")), "lm-counts"
-    )
-    row = table.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("words"),
-        F.count_if(F.size("contexts") == 1).alias("one"), F.count_if(F.size("contexts") == 2).alias("two"),
+    pairs, _ = settled(_pairs(blocks, True).groupBy("u", "w").agg(F.sum("n").alias("n")), "lm-pairs")
+    ones = F.count_if(F.col("n") == 1).alias("ones")
+    words, _ = settled(pairs.groupBy("w").agg(F.sum("n").alias("c"), F.count("*").alias("pairs"), ones), "lm-words")
+    contexts, _ = settled(pairs.groupBy("u").agg(F.sum("n").alias("customers"), F.count("*").cast("double").alias("opened"), ones), "lm-contexts")
+    row = words.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("words"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"),
+        F.count_if(F.col("pairs") == 1).alias("one"), F.count_if(F.col("pairs") == 2).alias("two"), F.coalesce(F.sum("ones"), F.lit(0)).alias("ones"),
     ).first()
-    counts = table.select(F.explode(F.arrays_zip("contexts", "n")).alias("x")).groupBy("x.contexts").agg(
-        F.sum("x.n").alias("c"), F.count("*").alias("pairs"), F.count_if(F.col("x.n") == 1).alias("one"), F.count_if(F.col("x.n") == 2).alias("two")
-    ).collect()
-    customers, types = [0.0] * (CONTEXTS + 1), [0.0] * (CONTEXTS + 1)
-    for r in counts:
-        customers[r["contexts"]], types[r["contexts"]] = float(r["c"]), float(r["pairs"])
     world = {
-        "strength": STRENGTH, "discount": _discount(sum(r["one"] for r in counts), sum(r["two"] for r in counts)),
-        "root_discount": _discount(row["one"], row["two"]), "base": 1 / (row["words"] + 1),
-        "customers": customers, "tables": types, "root_customers": sum(types), "root_tables": float(row["words"]),
+        "strength": STRENGTH, "discount": _discount(row["ones"], pairs.where("n = 2").count()), "root_discount": _discount(row["one"], row["two"]),
+        "base": 1 / (row["words"] + 1), "root_customers": float(row["pairs"]), "root_tables": float(row["words"]),
     }
     old = []
     for n in range(ROUNDS):
-        last = n == ROUNDS - 1
-        seated, folder = settled(_sweeps(table, world, n), "lm-seating", *old, *([counts_folder] if last else []))
-        old = [folder]
-        world |= _restaurants(seated)
-    return _scored(blocks, seated, openers, world, int(row["total"]), int(row["words"]))
-
-
-def _scored(blocks, seated, openers, world, total, vocabulary):
+        # A pair that occurs once has one table in every draw, so only the others are seated anew.
+        x = F.array_sort(F.collect_list(F.struct("u", "n", "opened"))).alias("x")
+        many = pairs.where("n > 1").join(sized_broadcast(contexts.select("u", "opened")), "u").groupBy("w").agg(x)
+        table = words.join(many, "w", "left").select("w", "c", "ones", *(
+            F.coalesce(F.col(f"x.{k}"), F.array().cast(f"array<{kind}>")).alias(name) for k, kind, name in (("u", "long", "contexts"), ("n", "long", "n"), ("opened", "double", "opened"))
+        ))
+        seated, folder = settled(_sweeps(table, world, n), "lm-seating")
+        taken = seated.select(F.explode(F.arrays_zip("contexts", "tables")).alias("x")).groupBy(F.col("x.contexts").alias("u")).agg(F.sum(F.col("x.tables").cast("double")).alias("taken"))
+        contexts, next_folder = settled(
+            contexts.join(taken, "u", "left").select("u", "customers", "ones", (F.col("ones") + F.coalesce("taken", F.lit(0.0))).alias("opened")), "lm-contexts", *old
+        )
+        sums = seated.agg(F.sum("sent").alias("sent"), F.sum("root_tables").alias("root")).first()
+        world |= {"root_customers": float(sums["sent"] or 0), "root_tables": float(sums["root"] or 0)}
+        old = [folder, next_folder]
+    return _scored(blocks, pairs, contexts, seated, world, int(row["total"]), int(row["words"]))
+
+
+def _scored(blocks, pairs, contexts, seated, world, total, vocabulary):
     root = world["strength"] + world["root_customers"]
     fresh = world["strength"] + world["root_discount"] * world["root_tables"]
     drawn = F.col("sent") - F.col("root_tables") * world["root_discount"] + fresh * world["base"]
-    model = seated.select("word", "c", (drawn / root).cast("float").alias("parent"), "dishes")
-    listed = blocks.select("block", F.posexplode("words").alias("i", "word"))
-    looked = listed.join(model, "word").select(  # words that no training text has stay away
-        F.col("block").alias("of"), "i", "c", "parent", "dishes")
-    strength = world["strength"] + np.array(world["customers"])
-    back = (world["strength"] + world["discount"] * np.array(world["tables"])) / strength
     unknown = fresh * world["base"] / root
-    width = CONTEXTS + 1
-    opening = blocks.select("block", F.posexplode("words").alias("i", "word")).where(F.col("word").isin(list(openers)) if openers else F.lit(False))
-    marks = opening.groupBy("block").agg(F.collect_list(F.struct("i", "word")).alias("opening"))
-
-    def run(texts, words):
+    dish = seated.select("w", F.explode(F.arrays_zip("contexts", "n", "tables")).alias("x")).select(
+        F.col("x.contexts").alias("u"), "w", (F.col("x.n") - F.col("x.tables") * world["discount"]).cast("float").alias("share"))
+    once = pairs.where("n = 1").select("u", "w", F.lit(1 - world["discount"]).cast("float").alias("share"))
+    none = {"c": "long", "parent": "float", "customers": "long", "opened": "double"}
+    asked = _pairs(blocks, False).join(dish.unionAll(once), ["u", "w"]).select(
+        F.col("block").alias("of"), "key", "share", *(F.lit(None).cast(kind).alias(k) for k, kind in none.items()))
+    model = sized_broadcast(seated.select("w", "c", (drawn / root).cast("float").alias("parent")))
+    opens = sized_broadcast(contexts.select(F.col("u").alias("w"), "customers", "opened"))
+    listed = _listed(blocks).join(model, "w").join(opens, "w", "left").select(  # words that no training text has stay away
+        F.col("block").alias("of"), "key", F.lit(None).cast("float").alias("share"), *none)
+    strength, discount = world["strength"], world["discount"]
+
+    def run(texts, looked):
         schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                             ("base_score", pa.float64()), ("score", pa.float64())])
         if not texts.num_rows:
             return schema.empty_table()
-        texts, words = texts.combine_chunks(), words.sort_by("i").combine_chunks()
-        i = words["i"].to_numpy()
+        texts, key = texts.combine_chunks(), looked["key"].to_numpy()
         numbers, lengths = _numbers(texts["tokens"][0].as_py()), texts["lengths"][0].values.to_numpy()
         size = int(numbers.max()) + 1
-        opens, c, parent = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64), np.full(size, unknown)
-        for x in texts["opening"][0].as_py() or []:
-            opens[x["i"]] = openers[x["word"]]
+        c, parent, strengths, back = np.zeros(size, dtype=np.int64), np.full(size, unknown), np.full(size, strength), np.ones(size)
+        words = looked.filter(pa.array(key < 0))
+        i = -1 - words["key"].to_numpy()
         c[i], parent[i] = words["c"].to_numpy(), words["parent"].to_numpy()
+        strengths[i] = strength + words["customers"].fill_null(0).to_numpy()
+        back[i] = (strength + discount * words["opened"].fill_null(0).to_numpy()) / strengths[i]
         base = np.log10((c + 1) / (total + vocabulary + 1))
-        dishes = words["dishes"].to_pylist()
-        sizes = np.fromiter(map(len, dishes), dtype=np.int64, count=len(dishes)) // _DISH.itemsize
-        packed = np.frombuffer(b"".join(dishes), dtype=_DISH)
-        keys, shares = np.repeat(i.astype(np.int64) * width, sizes) + packed["context"], packed["share"]
-        del dishes, words
+        order = np.argsort(key, kind="stable")[len(i):]
+        keys, shares = key[order], looked["share"].to_numpy()[order]
+        del looked, words, key, order
         ends = np.cumsum(lengths)
         known, plain, score = [], [], []
         at = 0
@@ -316,24 +300,24 @@ def _scored(blocks, seated, openers, world, total, vocabulary):
             first = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, first + CHUNK_TOKENS)))
             mine, sizes = numbers[first:ends[to - 1]], lengths[at:to]
-            contexts = _contexts(mine, sizes, opens)
-            asked = mine.astype(np.int64) * width + contexts
+            before = _before(mine)
+            asked = before << 32 | mine
             own = np.zeros(len(mine))
             if len(keys):
                 found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                own = np.where(keys[found] == asked, shares[found], 0.0) / strength[contexts]
+                own = np.where(keys[found] == asked, shares[found], 0.0) / strengths[before]
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             known.append(np.add.reduceat((c[mine] > 0).astype(np.int64), starts))
             plain.append(np.add.reduceat(base[mine], starts))
-            score.append(np.add.reduceat(np.log10(own + back[contexts] * parent[mine]), starts))
+            score.append(np.add.reduceat(np.log10(own + back[before] * parent[mine]), starts))
             at = to
         return pa.table([
             texts["doc_ids"][0].values, pa.array(~texts["train"][0].values.to_numpy(zero_copy_only=False)), pa.array(lengths.astype(np.int64)),
             pa.array(np.concatenate(known)), pa.array(np.concatenate(plain)), pa.array(np.concatenate(score)),
         ], schema=schema)
 
-    left = blocks.select("block", "doc_ids", "train", "lengths", "tokens").join(marks, "block", "left")
-    scored = left.groupBy("block").cogroup(looked.groupBy("of")).applyInArrow(
+    texts = blocks.select("block", "doc_ids", "train", "lengths", "tokens")
+    scored = texts.groupBy("block").cogroup(asked.unionAll(listed).groupBy("of")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(

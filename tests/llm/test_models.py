@@ -82,6 +82,16 @@ def test_language_model_probabilities_sum_to_one(make_docs):
     assert alone["a"] > alone["unknown"]
 
 
+def test_language_model_knows_every_preceding_word(make_docs):
+    """Which of 200 equally frequent words comes before decides which one follows."""
+    taught = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    ask = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows = [(i, f"a{n % 200} b{n % 200}", None, None, None, "", "", "") for n, i in enumerate(taught[:1600])]
+    rows += [(ask[0], "a150 b150", None, None, None, "", "", ""), (ask[1], "a150 b77", None, None, None, "", "", "")]
+    got = {r.doc_id: r.score for r in language_model.score(make_docs(rows)).collect()}
+    assert got[ask[0]] > got[ask[1]] + 2
+
+
 def test_language_model_seats_are_between_one_and_all():
     customers = np.array([0, 1, 2, 5, 40, 5000])
     seeds = np.arange(6, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
