@@ -140,7 +140,8 @@ def seat(customers, weight, discount, seeds, salt):
     """Tables that ``customers`` of one dish take, seated one after another: a new table against weight : customers - discount * tables.
 
     After ``SINGLY`` customers they come in groups of a quarter of those seated, which take their
-    expected number of new tables, rounded at random.
+    expected number of new tables, rounded at random.  That is an approximation; the README has its
+    measured error.
     """
     tables = np.minimum(customers, 1).astype(np.float64)
     active = np.nonzero(customers > 1)[0]
