@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tallychain.llm import decontaminate, html_text, language_model, licenses, mixing, neighbours, packing, quality, simhash, substrings
+from tallychain.llm import (byte_pairs, decontaminate, html_text, language_model, licenses, manifest, mixing, neighbours, packing, quality, simhash,
+                            spelling, substrings)
 
 
 def _table(spark, sf_dir, name):
@@ -66,6 +67,28 @@ def op10_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_manifest(spark, sf_dir):
+    tampering = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
+    tampered = {"n_chars": F.when(tampering, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    found = manifest.documents_manifest(_documents(spark, sf_dir), tampered)
+    proof = F.sha2(F.array_join(F.transform("path", lambda step: step["digest"]), ""), 256)
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(_documents(spark, sf_dir))
+
+
+def op13_byte_pairs(spark, sf_dir):
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = byte_pairs.decode(byte_pairs.encode(_documents(spark, sf_dir), vocabulary), vocabulary)
+    listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                          F.sha2("content", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_language_model": op2_language_model,
@@ -77,4 +100,7 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_neighbours": op9_neighbours,
     "op10_simhash": op10_simhash,
+    "op11_manifest": op11_manifest,
+    "op12_spelling": op12_spelling,
+    "op13_byte_pairs": op13_byte_pairs,
 }
