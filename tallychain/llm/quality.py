@@ -15,6 +15,7 @@ STATISTICS = (
     "words", "word_length", "word_length_spread", "letters", "capitals", "digits", "signs", "symbols", "beyond_ascii", "spaces",
     "lines", "line_length", "distinct_words", "top_word", "distinct_lines", "sign_words", "short_words", "stops", "doubled", "byte_entropy",
 )
+#: Least weight of the pooled covariance; and the weight of the unit matrix.
 SHRINK_POOLED, SHRINK_DIAGONAL = 0.3, 0.05
 
 _LETTER, _CAPITAL, _DIGIT, _SIGN, _SYMBOL, _BEYOND, _SPACE = range(7)
@@ -68,14 +69,14 @@ def statistics(text):
     ])
 
 
-def with_statistics(docs):
-    """``docs`` with the array column ``__stats``."""
+def text_statistics(text):
+    """The statistics of a column of texts."""
 
     @F.pandas_udf("array<double>")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts])
 
-    return docs.withColumn("__stats", of(F.col("text")))
+    return of(text)
 
 
 @dataclass(frozen=True)
@@ -122,8 +123,9 @@ def _moments(labelled):
 def fit(labelled, pooled=SHRINK_POOLED, diagonal=SHRINK_DIAGONAL):
     """The discriminant of rows (__stats, label 0 or 1); None unless both classes occur.
 
-    A class covariance is shrunk towards the pooled one by ``pooled`` and towards the unit matrix
-    of standardised statistics by ``diagonal``, so it has a Cholesky factor whatever the rows.
+    A class covariance is shrunk towards the pooled one, as if that had been seen in as many rows as there
+    are statistics and by ``pooled`` at least, and towards the unit matrix of standardised
+    statistics by ``diagonal``, so it has a Cholesky factor whatever the rows.
     """
     moments = _moments(labelled)
     if set(moments) != {0, 1}:
@@ -140,7 +142,9 @@ def fit(labelled, pooled=SHRINK_POOLED, diagonal=SHRINK_DIAGONAL):
     shared = sum(moments[k][0] * own[k] for k in (0, 1)) / n
     factors, constants = [], []
     for k in (0, 1):
-        factor = np.linalg.cholesky((1 - pooled - diagonal) * own[k] + pooled * shared + diagonal * np.eye(len(centre)))
+        size = len(centre)
+        lent = min(max(pooled, size / (moments[k][0] + size)), 1 - diagonal)
+        factor = np.linalg.cholesky((1 - lent - diagonal) * own[k] + lent * shared + diagonal * np.eye(size))
         factors.append(factor)
         constants.append(float(np.log(moments[k][0] / n) - np.log(np.diag(factor)).sum()))
     return Discriminant(centre, spread, tuple(means), tuple(factors), tuple(constants))
@@ -161,11 +165,7 @@ def classify(docs, labels):
     classes every score is the share of label 1 (1 without any label).  Rows that repeat are
     scored each; empty tables give none.
     """
-    @F.pandas_udf("array<double>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([statistics(t) for t in texts])
-
-    narrow = keyed(docs.select("doc_id", "text")).select("doc_id", *KEYS, of(F.col("text")).alias("__stats"))
+    narrow = keyed(docs.select("doc_id", "text")).select("doc_id", *KEYS, text_statistics(F.col("text")).alias("__stats"))
     known, _ = written(narrow.withColumn("held_out", held_out(F.col("doc_id"))), "quality-statistics")
     agreed = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(
         F.min("quality").alias("label"), F.max("quality").alias("other")

@@ -45,6 +45,25 @@ def test_discriminant_is_the_difference_of_log_densities():
     assert np.allclose(model.score(x), density[1] / (density[0] + density[1]))
 
 
+def test_fit_against_numpy(spark):
+    """Means, shrunken covariances and priors of Spark's moments against those of the whole matrix."""
+    rnd = np.random.default_rng(8)
+    size = len(quality.STATISTICS)
+    x, y = rnd.normal(size=(60, size)) @ rnd.normal(size=(size, size)) + 3, np.array([0] * 9 + [1] * 51)
+    x[y == 0] += 1
+    rows = spark.createDataFrame([(list(map(float, a)), int(b)) for a, b in zip(x, y)], "__stats array<double>, label int").repartition(4)
+    model = quality.fit(rows)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    own = [np.cov(z[y == k].T, bias=True) for k in (0, 1)]
+    pooled = (9 * own[0] + 51 * own[1]) / 60
+    for k, n in ((0, 9), (1, 51)):
+        lent = max(quality.SHRINK_POOLED, size / (n + size))
+        want = (1 - lent - quality.SHRINK_DIAGONAL) * own[k] + lent * pooled + quality.SHRINK_DIAGONAL * np.eye(size)
+        assert np.allclose(model.factors[k] @ model.factors[k].T, want, atol=1e-4)
+        assert np.allclose(model.means[k], z[y == k].mean(axis=0), atol=1e-4)
+        assert math.isclose(model.constants[k], math.log(n / 60) - 0.5 * np.linalg.slogdet(want)[1], abs_tol=1e-3)
+
+
 def brute_base(docs):
     token = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] + [""]
     taught = Counter(w for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2 for w in token(t))
