@@ -8,8 +8,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tallychain.llm.components import connected_components
-from tallychain.llm.texts import words_of
-from tallychain.session import written
+from tallychain.llm.texts import sized_broadcast, words_of
+from tallychain.session import drop_folder, written
 
 BITS, BLOCKS, DISTANCE, SHINGLE = 64, 4, 2, 3
 #: Blocks keys with more fingerprints than this take the neighbour route, which emits no pairs.
@@ -98,18 +98,28 @@ def near_duplicates(docs):
 def keep_one(docs):
     """The rows of ``docs`` that stand for their group: the one with the smallest doc_id; of rows that repeat it, one.
 
-    A row without doc_id is kept only if no row of its group has one.
+    A row without doc_id is kept only if no row of its group has one.  Fingerprints are computed once
+    and survivors chosen among them; texts are only read again, row by row.  Only where a
+    survivor's doc_id is null or occurs several times are the rows that bear it told apart by their fingerprints.
+    An empty table stays empty; nulls, empty texts and other columns are as in ``near_duplicates``.
     """
-    identity = {"__id": F.coalesce("doc_id", F.lit(0)), "__null": F.col("doc_id").isNull()}
-    distinct, _ = written(
-        with_fingerprint(docs.select("doc_id", "text"), "fp").groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash"
-    )
-    named = _components(distinct)
+    spark = docs.sparkSession
+    marked, marked_folder = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "simhash")
+    named = _components(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     best = named.groupBy("component").agg(F.min(F.struct(F.col("first").isNull(), "first", "fp")).alias("best"))
-    kept = best.select(F.col("best.fp").alias("__fp"), F.col("best.first").alias("doc_id")).withColumns(identity).drop("doc_id")
-    keys = ["__fp", *identity]
-    marked = with_fingerprint(docs, "__fp").withColumns(identity)
-    return marked.join(written(kept, "simhash-kept")[0], keys).dropDuplicates(keys).select(*docs.columns)
+    kept = best.select(F.col("best.first").alias("doc_id"), F.col("best.fp").alias("__fp"))
+    counts = marked.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.count("*") == 1).alias("__single"))
+    kept, _ = written(kept.join(counts, "doc_id", "left").withColumn("__single", F.coalesce("__single", F.lit(False))), "simhash-kept")
+    drop_folder(spark, marked_folder)
+    rows = docs.join(sized_broadcast(kept.where("__single").select("doc_id")), "doc_id", "left_semi").select(*docs.columns)
+    several = kept.where("NOT __single").select(F.col("doc_id").alias("__id"), "__fp")
+    if several.isEmpty():
+        return rows
+    ids = several.select("__id").distinct()
+    bearing = docs.join(sized_broadcast(ids), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    chosen = with_fingerprint(bearing, "__print").join(
+        sized_broadcast(several), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")))
+    return rows.unionByName(chosen.dropDuplicates(["__id", "__fp"]).select(*docs.columns))
 
 
 def _components(distinct):
