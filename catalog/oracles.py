@@ -170,6 +170,11 @@ SELECTS = {
     "turnover_after_rewind": _TURNOVER,
     "turnover_m_after_rewind": _MONTHLY_DONE,
     "turnover_rebuild": _TURNOVER,
+    "turnover_from_unspent": _TURNOVER,
+    "unspent_outputs": """SELECT tx_id, output_index, n_block, value, address FROM lo
+        WHERE (tx_id, output_index) NOT IN (SELECT (prev_tx_hash, prev_tx_index) FROM li WHERE is_coinbase = 0)""",
+    "turnover_m_by_differences": """SELECT strftime(date_trunc('month', time), '%Y-%m-%d') AS time_month, address,
+        CAST(sum(sats) AS BIGINT) AS sats, count(*) AS n_rows FROM tv GROUP BY ALL""",
     "stream_load": _TURNOVER + f" WHERE n_block < ({_FIRST_GAP.replace('@START@', '0')})",
     "stream_load_restart": _TURNOVER,
     "stream_load_parts": _TURNOVER,

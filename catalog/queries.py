@@ -12,6 +12,7 @@ from tallychain.ledger import Ledger
 from tallychain.operators import balances, checks, entries, flatten, latest, planning, turnover, views
 from tallychain.plans import load
 from tallychain.plans.integrity import messages
+from tallychain.plans.unspent import build_unspent, unspent
 from tallychain.session import new_work_folder
 from tallychain.sources.sample_ledger import kind_flag, nest, read_ledger
 
@@ -264,6 +265,32 @@ def turnover_m_month_reopened(spark, sf_dir):
     return run.turnover_m()
 
 
+def _unspent_run(spark, sf_dir, name):
+    """Unspent outputs are kept from the first refresh on; then late blocks arrive, and then new ones."""
+    block, late = F.col("n_block"), F.col("n_block").between(P.LATE_FROM, P.LATE_TO)
+    run = _Run(spark, sf_dir, name).deliver((block <= P.CUT_BLOCK) & ~late, update=True)
+    build_unspent(run.store)
+    return run.deliver(late, update=True).deliver(block > P.CUT_BLOCK, update=True)
+
+
+@query
+def turnover_from_unspent(spark, sf_dir):
+    return _unspent_run(spark, sf_dir, "from-unspent").turnover()
+
+
+@query
+def unspent_outputs(spark, sf_dir):
+    return unspent(_unspent_run(spark, sf_dir, "unspent").store).select(
+        S.to_hex(F.col("tx_id")).alias("tx_id"), "output_index", "n_block", "value", "address")
+
+
+@query
+def turnover_m_by_differences(spark, sf_dir):
+    """Every month's sums, open months included, after late blocks; the number of turnover rows behind each is kept as well."""
+    sums = _late(spark, sf_dir, "month-differences").store.month_sums()
+    return sums.select(_month(), "address", "sats", "n_rows")
+
+
 def _with_views(spark, sf_dir, name):
     _Run(spark, sf_dir, name).deliver(F.lit(True), update=True).store.register_views()
 

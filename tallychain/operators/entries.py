@@ -55,8 +55,12 @@ def spent_outputs(spenders: DataFrame, sources: DataFrame) -> DataFrame:
     Coinbase inputs spend nothing; leaving them out keeps their common all-zero hash
     from becoming one huge join key.
     """
-    spending = spenders.where("is_coinbase = 0")
-    return spending.join(spendable(sources), ["prev_tx_hash", "prev_tx_index"]).select(
+    return with_spent(spenders, spendable(sources))
+
+
+def with_spent(spenders: DataFrame, available: DataFrame) -> DataFrame:
+    """Inputs with what they spend of ``available``: (prev_tx_hash, prev_tx_index, value, address), each output once."""
+    return spenders.where("is_coinbase = 0").join(available, ["prev_tx_hash", "prev_tx_index"]).select(
         "n_block", "tx_id", "input_index", "prev_tx_hash", "prev_tx_index", "value", "address")
 
 
@@ -74,13 +78,16 @@ def needed_outputs(ledger: Ledger, spenders: DataFrame) -> Ledger:
     return replace(ledger, tran_out=ledger.tran_out.join(wanted, "tx_id", "left_semi"))
 
 
-def ledger_entries(ledger: Ledger, sources: Ledger = None) -> DataFrame:
+def ledger_entries(ledger: Ledger, sources: Ledger = None, available: DataFrame = None) -> DataFrame:
     """Signed movements (n_block, tx_id, address, sats, is_coinbase): spends negative, receipts positive.
 
-    ``sources`` holds the outputs that may be spent; by default those of the ledger itself.
+    ``sources`` holds the outputs that may be spent, by default those of the ledger itself;
+    ``available`` lists them with value and owner where that is known already.
     """
     received = outputs(ledger)
-    spent = spent_outputs(inputs(ledger), received if sources is None else outputs(sources))
+    if available is None:
+        available = spendable(received if sources is None else outputs(sources))
+    spent = with_spent(inputs(ledger), available)
     return (
         spent.select("n_block", "tx_id", "address", (-F.col("value")).alias("sats"), F.lit(0).alias("is_coinbase"))
         .unionByName(received.select("n_block", "tx_id", "address", F.col("value").alias("sats"), "is_coinbase"))

@@ -13,13 +13,13 @@ def with_time(rows: DataFrame, ledger: Ledger) -> DataFrame:
     return rows.join(block_times(ledger), "n_block")
 
 
-def turnover(ledger: Ledger, sources: Ledger = None) -> DataFrame:
+def turnover(ledger: Ledger, sources: Ledger = None, available: DataFrame = None) -> DataFrame:
     """Signed value per (time, tx_id, address, is_coinbase), without zero sums.
 
     Sums are whole smallest units; the time joins the summed rows, not the single entries.
     """
     summed = (
-        ledger_entries(ledger, sources)
+        ledger_entries(ledger, sources, available)
         .groupBy("n_block", "tx_id", "address", "is_coinbase")
         .agg(F.sum("sats").alias("sats"))
         .where("sats != 0")
@@ -47,6 +47,22 @@ def turnover_m(turnover_rows: DataFrame, first=None, last=None) -> DataFrame:
     return rows.groupBy(S.month_start(F.col("time")).alias("time_month"), "address").agg(F.sum("sats").alias("sats"))
 
 
+def month_sums(turnover_rows: DataFrame) -> DataFrame:
+    """Monthly turnover of all months with the number of rows behind each sum."""
+    month = S.month_start(F.col("time")).alias("time_month")
+    return turnover_rows.groupBy(month, "address").agg(F.sum("sats").alias("sats"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def month_delta(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What monthly sums change by where turnover rows ``old`` give way to ``new``: (time_month, address, sats, n_rows)."""
+    signed = month_sums(new).unionByName(month_sums(old).withColumns({"sats": -F.col("sats"), "n_rows": -F.col("n_rows")}))
+    return added_up(signed).where("sats != 0 OR n_rows != 0")
+
+
+def added_up(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("time_month", "address").agg(F.sum("sats").alias("sats"), F.sum("n_rows").alias("n_rows"))
+
+
 def tx_net(ledger: Ledger, sources: Ledger = None) -> DataFrame:
     """Receipts minus spends per transaction, transactions with net zero left out."""
     net = ledger_entries(ledger, sources).groupBy("n_block", "tx_id").agg(F.sum("sats").alias("sats")).where("sats != 0")

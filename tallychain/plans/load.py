@@ -41,15 +41,17 @@ def not_stored(source: DataFrame, parts: DataFrame) -> DataFrame:
 def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at=None) -> bool:
     """Append blocks with known heights; by default bring turnover up to date afterwards.
 
-    Change points move back first, block rows and the list of stored parts come last, so that an
-    interrupted load leaves no block without its transactions and no late part unprocessed.
+    Change points move back and the blocks are named as changed first, block rows and the list of stored
+    parts come last, so that an interrupted load leaves no block without its transactions and no late part
+    unprocessed.  The blocks are named again when their rows are stored, as a refresh may have come between.
     The records are written once and every table reads its own columns of them.
     """
     at = at or now()
     nested, folder = written(nested, "insert")
     first_block = planning.block_bounds(nested).first()["min_block"]
     if first_block is not None:
-        store.rewind(first_block)
+        store.move_back(first_block)
+        store.note_changes(nested)
         store.append("tran_in", flatten.flatten_inputs(nested, at))
         store.append("tran_out", flatten.flatten_outputs(nested, at))
         # Only transactions with outputs can be spent.
@@ -57,7 +59,9 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
         store.append("tx_block", listed.select(S.hash32(F.col("t.tx_id")).alias("tx_id"), "n_block").distinct())
         store.append("blocks", flatten.flatten_blocks(nested, at).distinct())
         keys = part_keys(nested).select(F.col("block_key").alias("block_hash"), F.col("part_key").alias("part"), "n_block")
+        store.note_changes(nested)
         store.append("parts", keys.distinct())
+        store.merge_index()
     drop_folder(store.spark, folder)
     if update and first_block is not None:
         refresh_all(store)

@@ -1,8 +1,11 @@
 """Incremental refresh of turnover and monthly turnover.
 
-A refresh starts after the change point, computes whole buckets (or months) again from the
-base tables, replaces them and then logs the new change point.  A crash in between repeats
-the same replacement.  Failures are raised.
+A refresh costs what changed.  Loads name the blocks they bring.  Blocks above all that were
+processed before add rows to their buckets.  A late or repeated block has its own bucket and those
+of the blocks that spend its outputs computed again; other buckets keep their files.  The
+difference of old and new rows, summed by month and address, is what monthly turnover changes
+by, so months are never built again.  New partitions are staged, committed by a plan and then put in
+place; what an interrupted refresh has committed the next one finishes.  Failures are raised.
 """
 
 from dataclasses import replace
@@ -11,13 +14,17 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallychain import schemas
 from tallychain.functions import scalars as S
-from tallychain.ledger import BUCKET, Ledger
+from tallychain.ledger import BUCKET, Ledger, block_range
 from tallychain.operators import planning
 from tallychain.operators.entries import block_times, inputs
-from tallychain.operators.turnover import turnover, turnover_m
+from tallychain.operators.turnover import added_up, month_delta, month_sums, turnover
+from tallychain.plans.unspent import available, build_unspent, fold_unspent, is_kept, note_spends
 from tallychain.session import drop_folder, written
-from tallychain.sources.store import TX_PREFIX, LedgerStore, tx_prefix
+from tallychain.sources.store import TX_PREFIX, UNSORTED, LedgerStore, conform, tx_prefix
+
+MANY_FILES = 32  # files of a bucket beyond which it is computed again as a whole instead of getting more
 
 NAMED_FOLDERS = 1000  # bucket folders that a scan names one by one
 
@@ -28,80 +35,151 @@ def _log_point(store: LedgerStore, target: str):
     return point if point >= 0 else None
 
 
-def needed_sources(store: LedgerStore, ledger: Ledger, part: Ledger) -> tuple:
-    """Ledger with the outputs that the blocks in ``part`` spend, found through the transaction index, and the work folder it reads.
+def needed_sources(store: LedgerStore, ledger: Ledger, wanted: DataFrame) -> tuple:
+    """Ledger with the outputs of the ``wanted`` transactions (tx_id), found through the transaction index, and the work folders it reads.
 
     The narrow index, laid out by transaction id, says which buckets hold them, so the scans of
     index and outputs open only those folders.  All blocks of a transaction count, as each output
     is taken from the latest one that has it.
     """
-    wanted, wanted_folder = written(
-        inputs(part).where("is_coinbase = 0").select(F.col("prev_tx_hash").alias("tx_id")).distinct(), "wanted")
+    wanted, wanted_folder = written(wanted, "wanted")
     # First bytes of ids: 256 folder names at most.
     prefixes = [r[0] for r in wanted.select(tx_prefix(F.col("tx_id"))).distinct().collect() if r[0] is not None]
-    index = store.read("tx_block").where(F.col(TX_PREFIX).isin(prefixes) if prefixes else F.lit(False))
+    index = store.read("tx_block").where(F.col(TX_PREFIX).isin([UNSORTED, *prefixes]) if prefixes else F.lit(False))
     found = index.join(wanted, "tx_id", "left_semi").select("tx_id", "n_block", store.bucket_of(F.col("n_block")).alias(BUCKET)).distinct()
     located, folder = written(found, "located")
-    drop_folder(store.spark, wanted_folder)
     chosen = ledger.tran_out
     names = [r[0] for r in located.select(BUCKET).distinct().limit(NAMED_FOLDERS + 1).collect()]
     if len(names) <= NAMED_FOLDERS:  # else the join alone prunes
         chosen = chosen.where(F.col(BUCKET).isin(names) if names else F.lit(False))
-    return replace(ledger, tran_out=chosen.join(located, [BUCKET, "n_block", "tx_id"], "left_semi")), folder
+    return replace(ledger, tran_out=chosen.join(located, [BUCKET, "n_block", "tx_id"], "left_semi")), [wanted_folder, folder]
+
+
+def _spent_ids(part: Ledger) -> DataFrame:
+    return inputs(part).where("is_coinbase = 0").select(F.col("prev_tx_hash").alias("tx_id")).distinct()
+
+
+def spending_blocks(ledger: Ledger, changed: DataFrame, first: int) -> DataFrame:
+    """Blocks from ``first`` on with an input that refers to a transaction of the changed blocks.
+
+    The reverse of the previous-output join: the few ids of the changed blocks meet one column of the inputs.
+    """
+    part = ledger.between(first)
+    ids = part.tran_out.join(changed, "n_block", "left_semi").select(F.col("tx_id").alias("prev_tx_hash")).distinct()
+    return part.tran_in.join(ids, "prev_tx_hash", "left_semi").select("n_block").distinct()
+
+
+def in_buckets(ledger: Ledger, buckets: list) -> Ledger:
+    return ledger.where(F.col(BUCKET).isin(buckets) if buckets else F.lit(False))
+
+
+def _buckets(store: LedgerStore, blocks: DataFrame) -> list:
+    """Buckets of some blocks: folder names, not data."""
+    return sorted(r[0] for r in blocks.select(store.bucket_of(F.col("n_block")).alias(BUCKET)).distinct().collect())
 
 
 def refresh_turnover(store: LedgerStore) -> bool:
     """Bring turnover up to date; False if there was nothing to do."""
+    store.finish_swaps()
     since = store.log_place("turnover")
+    changed, notes = store.changed()
     ledger = store.ledger()
     top = planning.block_bounds(ledger.blocks).first()["max_block"]
     if top is None:
         return False
+    consumed = [f"{store.folder('changed')}/{n}" for n in notes]
     point = _log_point(store, "turnover")
     if point is None:
+        store.log_point("turnover_m", -1, "rewind")  # the months start anew as well
         store.replace_turnover(turnover(ledger))
-    else:
-        first_bucket = (point + 1) // store.bucket_size
-        part = ledger.where(F.col(BUCKET) >= first_bucket)
-        if planning.pending_block_stats(part.blocks, point + 1).first()["n_blocks"] == 0:
-            return False
-        sources, folder = needed_sources(store, ledger, part)
-        store.replace_turnover(turnover(part, sources), first_bucket)
+        store.log_refresh("turnover", top, since, top)
+        for folder in consumed:
+            drop_folder(store.spark, folder)
+        if is_kept(store):
+            build_unspent(store)
+        return True
+    if not notes and point < top:  # not known from loads
+        changed = ledger.between(point + 1).blocks.select("n_block").distinct()
+    changed, changed_folder = written(changed.coalesce(1), "changed")  # block numbers
+    first = changed.agg(F.min("n_block")).first()[0]
+    if first is None:
+        drop_folder(store.spark, changed_folder)
+        return False
+    done = store.logged("turnover", "top")
+    done = point if done is None else done
+
+    late, again = changed.where(F.col("n_block") <= done), []
+    if first <= done:
+        again = _buckets(store, spending_blocks(ledger, late, first).unionByName(late))
+    later = changed.where(F.col("n_block") > done)
+    extended = [b for b in _buckets(store, later) if b not in again]
+    again += [b for b in extended if store.file_count("turnover", f"{BUCKET}={b}") > MANY_FILES]
+    extended = [b for b in extended if b not in again]
+
+    staged, folders, parts = store.stage("turnover"), [changed_folder], []
+    keeps = is_kept(store)
+    if again:
+        part = in_buckets(ledger, again)
+        sources, used = needed_sources(store, ledger, _spent_ids(part))
+        folders += used
+        parts.append(turnover(part, sources))
+    if extended:
+        part = in_buckets(ledger, extended).where(block_range(done + 1, None, store.bucket_size))
+        if keeps:
+            known, used = available(store, part, lambda ids: needed_sources(store, ledger, ids))
+            parts.append(turnover(part, available=known))
+        else:
+            sources, used = needed_sources(store, ledger, _spent_ids(part))
+            parts.append(turnover(part, sources))
+        folders += used
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    store._put("turnover", store.stamped("turnover", rows), staged.folder("rows"))
+
+    new = store.spark.read.schema(schemas.TURNOVER).parquet(staged.folder("rows"))
+    old = store.read("turnover").where(F.col(BUCKET).isin(again) if again else F.lit(False))
+    conform(month_delta(old, new), schemas.MONTH_DELTA).write.parquet(staged.folder("month_delta"))
+    if keeps:
+        part = ledger.between(first).only(changed)
+        note_spends(store, ledger, part, first, late if first <= done else None, staged.folder("unspent"), since + 1)
+    staged.commit([f"{BUCKET}={b}" for b in again], [f"{BUCKET}={b}" for b in extended], consumed, top, since, top)
+    staged.apply()
+    for folder in folders:
         drop_folder(store.spark, folder)
-    store.log_refresh("turnover", top, since)
+    fold_unspent(store)
     return True
 
 
-def touched_months(blocks: DataFrame, point: int, last: date) -> list:
-    """Complete months with a time of any version of any block after the change point."""
-    month = S.month_start(F.col("block_timestamp"))
-    rows = blocks.where(F.col("n_block") > point).select(month.alias("m")).where(F.col("m") <= F.lit(last)).distinct()
-    return sorted(r[0] for r in rows.collect())  # calendar months
-
-
 def refresh_turnover_m(store: LedgerStore) -> bool:
     """Bring the complete months of monthly turnover up to date; False if there was nothing to do.
 
-    Only months touched by blocks after the change point are built again.
+    Sums take in what refreshes of turnover changed them by.  The stored sums include open
+    months, which readers do not see, so a month that completes or opens again moves no rows.
     """
+    store.finish_swaps()
     since = store.log_place("turnover_m")
     ledger = store.ledger()
     done, point = _log_point(store, "turnover"), _log_point(store, "turnover_m")
     last = planning.last_completed_month(ledger).first()[0]
     if last is None or done is None:
         return False
-    reopened = store.drop_months_after(last)
-    rows = store.read("turnover")
+    deltas = [f"{store.folder('month_delta')}/{n}" for n in store._listed("month_delta")]
+    reached = min(covered_block(ledger, last), done)
     if point is None:
-        store.replace_turnover_m(turnover_m(rows, last=last))
-    else:
-        months = touched_months(ledger.blocks, point, last)
-        if not months and not reopened:
-            return False
-        if months:
-            part = rows.where(S.month_start(F.col("time")).isin(months))
-            store.replace_turnover_m(turnover_m(part, first=months[0], last=months[-1]), months)
-    store.log_refresh("turnover_m", min(covered_block(ledger, last), done), since)
+        store.replace_turnover_m(month_sums(store.read("turnover")))
+        store.log_refresh("turnover_m", reached, since, month=last)
+        for folder in deltas:  # of rows that are summed by now
+            drop_folder(store.spark, folder)
+        return True
+    if not deltas and last == store.logged("turnover_m", "month"):
+        return False
+    changes = store.spark.read.schema(schemas.MONTH_DELTA).parquet(*deltas) if deltas else store.spark.createDataFrame([], schemas.MONTH_DELTA)
+    months = sorted(r[0] for r in changes.select("time_month").distinct().collect())  # calendar months
+    staged = store.stage("turnover_m")
+    if months:
+        kept = store.month_sums().where(F.col("time_month").isin(months)).select("time_month", "address", "sats", "n_rows")
+        store._put("turnover_m", store.stamped("turnover_m", added_up(kept.unionByName(changes)).where("n_rows != 0")), staged.folder("rows"))
+    staged.commit([f"time_month={m}" for m in months], consumed=deltas, n_block=reached, since=since, month=last)
+    staged.apply()
     return True
 
 

@@ -48,13 +48,30 @@ TURNOVER = _struct(
 )
 TURNOVER_COLUMNS = ["time", "tx_id", "address", "value", "is_coinbase", "updated_at"]
 
+# ``n_rows`` counts the turnover rows behind a sum: a pair of month and address is there while it has any.
 TURNOVER_M = _struct(
-    time_month=T.DateType(), address=_S, sats=_L, value=T.DecimalType(18, 8), updated_at=_TS,
+    time_month=T.DateType(), address=_S, sats=_L, value=T.DecimalType(18, 8), updated_at=_TS, n_rows=_L,
 )
 TURNOVER_M_COLUMNS = ["time_month", "address", "value", "updated_at"]
 
 # Append-only log of change points, one row per refresh or rewind; ``seq`` orders them, as clocks may differ.
-CHANGE_LOG = _struct(target=_S, n_block=_L, version=_TS, reason=_S, seq=_L)
+# ``top`` is the greatest block a refresh has seen, ``month`` the last month that was complete then.
+CHANGE_LOG = _struct(target=_S, n_block=_L, version=_TS, reason=_S, seq=_L, top=_L, month=T.DateType())
+
+# Blocks whose rows arrived since the last refresh; every load leaves a folder of them.
+CHANGED = _struct(n_block=_L)
+
+# What a refresh is about to put in place: whole partitions, partitions that only get more files, and what it used up.
+SWAP = _struct(
+    target=_S, replaced=T.ArrayType(_S), filled=T.ArrayType(_S), extended=T.ArrayType(_S), consumed=T.ArrayType(_S),
+    n_block=_L, since=_L, top=_L, month=T.DateType(),
+)
+
+# Signed differences of monthly sums that a refresh of turnover leaves for the months.
+MONTH_DELTA = _struct(time_month=T.DateType(), address=_S, sats=_L, n_rows=_L)
+
+# Outputs that appeared (``spent`` 0) and outputs that were spent (1), one folder per refresh; ``seq`` orders the folders.
+UNSPENT = _struct(tx_id=_B, output_index=_L, n_block=_L, value=_L, address=_S, spent=_I, seq=_L)
 
 # Which parts of which blocks are stored; written after their rows.
 PARTS = _struct(block_hash=_B, part=_L, n_block=_L)

@@ -1,11 +1,14 @@
 """The ledger tables as Parquet folders.
 
 Base tables are append-only and partitioned by ``n_block_bucket`` (block number divided
-by the bucket size).  Turnover is replaced bucket by bucket, monthly turnover month by
-month, so replaced parts never depend on what they replace.  Change points go to an
-append-only log that is written after the data they vouch for.
+by the bucket size).  Every load leaves a folder that names its blocks, so a refresh knows what
+changed and not just from where on.  Derived tables change by swaps: new partitions are staged in
+full, a one-row plan commits them, and then folders change places.  An interrupted swap is
+finished by the next refresh.  Change points go to an append-only log, after the data they vouch for.
 """
 
+import uuid
+
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +17,14 @@ from pyspark.sql import types as T
 
 from tallychain import schemas
 from tallychain.functions import scalars as S
-from tallychain.ledger import BUCKET, Ledger
+from tallychain.ledger import BUCKET, Ledger, block_range
 from tallychain.operators.latest import latest_by
 from tallychain.operators.planning import change_point
 from tallychain.session import drop_folder, filesystem, written
 
 TX_PREFIX = "tx_prefix"  # first byte of a transaction id: 256 folders
+UNSORTED = -1            # the folder of index rows that are not dealt to prefixes yet
+UNSORTED_FILES = 64      # files there that make a merge worth while
 
 # table: (schema, partition column, sort order inside a file)
 TABLES = {
@@ -35,6 +40,8 @@ TABLES = {
     "db_version": (schemas.DB_VERSION, None, []),
 }
 
+# Columns that are asked for by value; their files get bloom filters.
+BLOOM = {"tx_block": "tx_id", "turnover": "address", "turnover_m": "address"}
 
 TARGETS = ("turnover", "turnover_m")
 
@@ -80,7 +87,15 @@ class LedgerStore:
         schema, partition, _ = TABLES[table]
         if partition in (BUCKET, TX_PREFIX):
             schema = T.StructType(schema.fields + [T.StructField(partition, T.LongType(), True)])
-        return self.spark.read.schema(schema).parquet(self.folder(table))
+        rows = self.spark.read.schema(schema).parquet(self.folder(table))
+        if table == "turnover_m":  # the stored sums include months that are still open
+            month = self.logged(table, "month")
+            rows = rows.where(F.lit(False) if month is None else F.col("time_month") <= F.lit(month))
+        return rows
+
+    def month_sums(self) -> DataFrame:
+        """Monthly turnover with the months that are still open."""
+        return self.spark.read.schema(schemas.TURNOVER_M).parquet(self.folder("turnover_m"))
 
     def ledger(self) -> Ledger:
         # Blocks are listed first and written last: whoever sees a block sees its transactions.
@@ -118,53 +133,91 @@ class LedgerStore:
     def _laid_out(self, table: str, df: DataFrame) -> DataFrame:
         """Rows gathered per folder; adaptive execution splits a folder that is too large for one task."""
         schema, partition, order = TABLES[table]
-        value = tx_prefix(F.col("tx_id")) if partition == TX_PREFIX else self.bucket_of(F.col("n_block"))
+        value = {TX_PREFIX: F.lit(UNSORTED).cast("long"), "time_month": F.col("time_month")}.get(partition, self.bucket_of(F.col("n_block")))
         rows = conform(df, schema).withColumn(partition, value)
-        return rows.hint("rebalance", partition).sortWithinPartitions(partition, *order)
+        gathered = rows.hint("rebalance", *(["tx_id"] if partition == TX_PREFIX else [partition]))
+        return gathered.sortWithinPartitions(partition, *order)
+
+    def _put(self, table: str, rows: DataFrame, folder: str, mode: str = "append"):
+        out = rows.write.mode(mode).partitionBy(TABLES[table][1])
+        if table in BLOOM:
+            out = out.option(f"parquet.bloom.filter.enabled#{BLOOM[table]}", "true")
+        out.parquet(folder)
 
     def append(self, table: str, df: DataFrame):
-        out = self._laid_out(table, df).write.mode("append").partitionBy(TABLES[table][1])
-        if table == "tx_block":
-            out = out.option("parquet.bloom.filter.enabled#tx_id", "true")
-        out.parquet(self.folder(table))
-
-    def replace_turnover(self, rows: DataFrame, first_bucket: int = None):
-        """Replace the buckets from ``first_bucket`` on, or the whole table."""
-        stamp = now()
-        rows = rows.withColumn("value", S.to_coin(F.col("sats"))).withColumn("updated_at", F.lit(stamp))
-        out = self._laid_out("turnover", rows).write.mode("overwrite").partitionBy(BUCKET)
-        out = out.option("parquet.bloom.filter.enabled#address", "true")
-        out.option("partitionOverwriteMode", "static" if first_bucket is None else "dynamic").parquet(self.folder("turnover"))
-        if first_bucket is not None:
-            replaced = self.read("turnover").where(F.col(BUCKET) >= first_bucket)
-            self._drop_stale("turnover", replaced, BUCKET, stamp)
-
-    def replace_turnover_m(self, rows: DataFrame, months=None):
-        """Replace the given months, or the whole table."""
-        stamp = now()
-        rows = rows.withColumn("value", S.to_coin(F.col("sats"))).withColumn("updated_at", F.lit(stamp))
-        # Not by range: its sampling would run the aggregation twice.
-        rows = conform(rows, schemas.TURNOVER_M).hint("rebalance", "time_month").sortWithinPartitions("time_month", "address")
-        out = rows.write.mode("overwrite").partitionBy("time_month").option("parquet.bloom.filter.enabled#address", "true")
-        out.option("partitionOverwriteMode", "static" if months is None else "dynamic").parquet(self.folder("turnover_m"))
-        if months is not None:
-            replaced = self.read("turnover_m").where(F.col("time_month").isin(months))
-            self._drop_stale("turnover_m", replaced, "time_month", stamp)
-
-    def drop_months_after(self, last) -> bool:
-        """Remove months behind ``last``: they are open (again).  Looks at folder names only."""
-        fs, root = filesystem(self.spark, self.folder("turnover_m"))
-        found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("time_month=")]
-        stale = [p for p in found if p.getName().split("=")[1] > last.isoformat()]
-        for path in stale:
-            fs.delete(path, True)
-        return bool(stale)
-
-    def _drop_stale(self, table: str, replaced: DataFrame, partition: str, stamp: datetime):
-        """Dynamic overwrite keeps partitions that got no new row; remove those with older rows only."""
-        stale = replaced.groupBy(partition).agg(F.max("updated_at").alias("newest")).where(F.col("newest") < F.lit(stamp))
-        for row in stale.select(F.col(partition).cast("string")).collect():  # partition folders, not data
-            drop_folder(self.spark, f"{self.folder(table)}/{partition}={row[0]}")
+        self._put(table, self._laid_out(table, df), self.folder(table))
+
+    def replace_turnover(self, rows: DataFrame):
+        """Replace the whole table."""
+        self._put("turnover", self.stamped("turnover", rows), self.folder("turnover"), "overwrite")
+
+    def replace_turnover_m(self, rows: DataFrame):
+        """Replace the sums of all months."""
+        self._put("turnover_m", self.stamped("turnover_m", rows), self.folder("turnover_m"), "overwrite")
+
+    def stamped(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows of a derived table as they are stored: with coins and the time of writing, in the table's layout."""
+        return self._laid_out(table, rows.withColumn("value", S.to_coin(F.col("sats"))).withColumn("updated_at", F.lit(now())))
+
+    # ---- what changed ---------------------------------------------------------------------
+
+    def _listed(self, folder: str, mark: str = "_SUCCESS") -> list:
+        """Names of the sub-folders that hold ``mark``."""
+        fs, root = filesystem(self.spark, self.folder(folder))
+        if not fs.exists(root):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(root) if fs.exists(filesystem(self.spark, f"{s.getPath()}/{mark}")[1]))
+
+    def note_changes(self, blocks: DataFrame):
+        """Leave a folder that names blocks whose rows arrive or have arrived; the refresh that has processed them removes it."""
+        conform(blocks.select("n_block").distinct(), schemas.CHANGED).write.parquet(f"{self.folder('changed')}/{uuid.uuid4().hex}")
+
+    def changed(self) -> tuple:
+        """(n_block of every changed block, the folders that name them)."""
+        names = self._listed("changed")
+        if not names:
+            return self.spark.createDataFrame([], schemas.CHANGED), names
+        folders = [f"{self.folder('changed')}/{n}" for n in names]
+        return self.spark.read.schema(schemas.CHANGED).parquet(*folders).distinct(), names
+
+    # ---- swaps -----------------------------------------------------------------------------
+
+    def stage(self, target: str) -> "Staged":
+        return Staged(self, target, uuid.uuid4().hex)
+
+    def finish_swaps(self):
+        """Put in place what was committed and not finished; drop what was not committed."""
+        committed = self._listed("swaps", "plan/_SUCCESS")
+        fs, root = filesystem(self.spark, self.folder("swaps"))
+        if fs.exists(root):
+            for status in fs.listStatus(root):
+                if status.getPath().getName() not in committed:
+                    fs.delete(status.getPath(), True)
+        for row in [Staged(self, None, n).plan() for n in committed]:
+            Staged(self, row["target"], row["name"]).apply()
+
+    def move_files(self, source: str, target: str):
+        """The data files of a folder go into another one; repeating this moves what is left."""
+        fs, old = filesystem(self.spark, source)
+        if fs.exists(old):
+            fs.mkdirs(filesystem(self.spark, target)[1])
+            for status in fs.listStatus(old):
+                fs.rename(status.getPath(), filesystem(self.spark, f"{target}/{status.getPath().getName()}")[1])
+            fs.delete(old, True)
+
+    def move_folder(self, source: str, target: str, replace: bool = True):
+        """A folder takes the place of another one; repeating this changes nothing."""
+        fs, old = filesystem(self.spark, source)
+        if fs.exists(old):
+            new = filesystem(self.spark, target)[1]
+            if replace:
+                fs.delete(new, True)
+            fs.mkdirs(new.getParent())
+            fs.rename(old, new)
+
+    def file_count(self, table: str, name: str) -> int:
+        fs, folder = filesystem(self.spark, f"{self.folder(table)}/{name}")
+        return len(fs.listStatus(folder)) if fs.exists(folder) else 0
 
     # ---- change points -------------------------------------------------------------------
 
@@ -188,20 +241,26 @@ class LedgerStore:
         log = self.read("change_log").where(F.col("target") == target).select("n_block", F.col("seq").alias("version"))
         return change_point(log, self.read("blocks")).first()[0]
 
-    def log_point(self, target: str, n_block: int, reason: str, place: int = None):
+    def logged(self, target: str, column: str):
+        """A column of the newest refresh of a derived table; None before the first."""
+        rows = self.read("change_log").where((F.col("target") == target) & (F.col("reason") == "refresh"))
+        return rows.agg(F.max_by(F.col(column), "seq")).first()[0]
+
+    def log_point(self, target: str, n_block: int, reason: str, place: int = None, top: int = None, month=None):
         place = self.log_place(target) if place is None else place
         row = self.spark.range(1).select(
             F.lit(target).alias("target"), F.lit(n_block).cast("long").alias("n_block"),
-            F.lit(now()).alias("version"), F.lit(reason).alias("reason"), F.lit(place + 1).cast("long").alias("seq"))
+            F.lit(now()).alias("version"), F.lit(reason).alias("reason"), F.lit(place + 1).cast("long").alias("seq"),
+            F.lit(top).cast("long").alias("top"), F.lit(month).cast("date").alias("month"))
         conform(row, schemas.CHANGE_LOG).write.mode("append").parquet(self.folder("change_log"))
 
-    def log_refresh(self, target: str, n_block: int, since: int):
+    def log_refresh(self, target: str, n_block: int, since: int, top: int = None, month=None):
         """Log what a refresh has reached that read the log at ``since``; points moved back meanwhile stay back."""
         later = self.read("change_log").where((F.col("target") == target) & (F.col("seq") > since) & (F.col("reason") == "rewind"))
         earliest = later.agg(F.min("n_block")).first()[0]
-        self.log_point(target, n_block if earliest is None else min(n_block, earliest), "refresh")
+        self.log_point(target, n_block if earliest is None else min(n_block, earliest), "refresh", None, top, month)
 
-    def rewind(self, first_block: int):
+    def move_back(self, first_block: int):
         """Before blocks from ``first_block`` on are stored: move later change points back in front of it.
 
         A table without a refresh gets the row as well: one may be under way.
@@ -211,6 +270,11 @@ class LedgerStore:
             if target not in points or first_block - 1 < points[target]:
                 self.log_point(target, first_block - 1, "rewind", places.get(target, -1))
 
+    def rewind(self, first_block: int):
+        """Have all stored blocks from ``first_block`` on processed again."""
+        self.move_back(first_block)
+        self.note_changes(self.read("blocks").where(block_range(first_block, None, self.bucket_size)))
+
     def fold_log(self):
         """Replace the log by what counts of it, in one file: per derived table its newest row and one refresh."""
         rows = self.read("change_log")
@@ -222,6 +286,24 @@ class LedgerStore:
 
     # ---- maintenance ----------------------------------------------------------------------
 
+    def merge_index(self, at_least: int = UNSORTED_FILES) -> bool:
+        """Deal the transaction index rows of many small loads to their prefixes, if ``at_least`` files wait for it.
+
+        Loads add a few sorted files each; look-ups read them next to the prefix folders.  Doing this every so many
+        loads keeps the number of files far below one per prefix and load.  A row that is
+        met twice after an interruption says the same.
+        """
+        fs, folder = filesystem(self.spark, f"{self.folder('tx_block')}/{TX_PREFIX}={UNSORTED}")
+        files = [str(s.getPath()) for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        if len(files) < max(at_least, 1):
+            return False
+        rows = self.spark.read.schema(schemas.TX_BLOCK).parquet(*files).distinct().withColumn(TX_PREFIX, tx_prefix(F.col("tx_id")))
+        staged = self.stage("tx_block")
+        self._put("tx_block", rows.hint("rebalance", TX_PREFIX).sortWithinPartitions(TX_PREFIX, "tx_id"), staged.folder("rows"))
+        staged.commit(extended=staged.partitions(), consumed=files)
+        staged.apply()
+        return True
+
     def compact(self, table: str, keys, version, first_bucket: int, last_bucket: int):
         """Rewrite buckets of a base table with the newest rows only, in few files.
 
@@ -231,3 +313,47 @@ class LedgerStore:
         chosen = self.read(table).where(F.col(BUCKET).between(first_bucket, last_bucket))
         rows = self._laid_out(table, latest_by(chosen, keys, version))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.folder(table))
+
+
+class Staged:
+    """Partitions of one derived table on their way into it, in a folder of their own inside the store."""
+
+    def __init__(self, store: LedgerStore, target: str, name: str):
+        self.store, self.target, self.name = store, target, name
+
+    def folder(self, part: str) -> str:
+        return f"{self.store.folder('swaps')}/{self.name}/{part}"
+
+    def partitions(self) -> list:
+        """Names of the staged partition folders."""
+        fs, root = filesystem(self.store.spark, self.folder("rows"))
+        return [s.getPath().getName() for s in fs.listStatus(root) if "=" in s.getPath().getName()] if fs.exists(root) else []
+
+    def commit(self, replaced=(), extended=(), consumed=(), n_block=None, since=None, top=None, month=None):
+        """From here on the swap will be finished, by this job or by a later one."""
+        filled = [p for p in self.partitions() if p in set(replaced)]
+        row = (self.target, list(replaced), filled, list(extended), list(consumed), n_block, since, top, month)
+        self.store.spark.createDataFrame([row], schemas.SWAP).coalesce(1).write.mode("overwrite").parquet(self.folder("plan"))
+
+    def plan(self) -> dict:
+        row = self.store.spark.read.schema(schemas.SWAP).parquet(self.folder("plan")).first()
+        return {**row.asDict(), "name": self.name}
+
+    def apply(self):
+        """Every step may be repeated: what is in place already is no longer staged."""
+        store, plan = self.store, self.plan()
+        spark, table = store.spark, store.folder(plan["target"])
+        for name in plan["replaced"]:
+            if name in plan["filled"]:
+                store.move_folder(f"{self.folder('rows')}/{name}", f"{table}/{name}")
+            else:
+                drop_folder(spark, f"{table}/{name}")
+        for name in plan["extended"]:
+            store.move_files(f"{self.folder('rows')}/{name}", f"{table}/{name}")
+        for part in ("month_delta", "unspent"):
+            store.move_folder(self.folder(part), f"{store.folder(part)}/{self.name}", replace=False)
+        if plan["since"] is not None:
+            store.log_refresh(plan["target"], plan["n_block"], plan["since"], plan["top"], plan["month"])
+        for used in plan["consumed"]:
+            drop_folder(spark, used)
+        drop_folder(spark, f"{store.folder('swaps')}/{self.name}")

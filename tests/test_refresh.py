@@ -158,9 +158,9 @@ def test_refresh_reads_only_the_needed_partitions(store):
     part = store.ledger().where(F.col("n_block_bucket") >= 2)
     plan = part.tran_in._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(n_block_bucket" in plan
-    from tallychain.plans.refresh import needed_sources
+    from tallychain.plans.refresh import _spent_ids, needed_sources
 
-    sources = needed_sources(store, store.ledger(), part)[0].tran_out
+    sources = needed_sources(store, store.ledger(), _spent_ids(part))[0].tran_out
     plan = sources._jdf.queryExecution().executedPlan().toString()
     assert "n_block_bucket" in plan.split("PartitionFilters")[1] and "LeftSemi" in plan
     assert {r.n_block for r in sources.collect()} == {7, 8, 9, 10}
