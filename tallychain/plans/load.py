@@ -51,7 +51,7 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
     first_block = planning.block_bounds(nested).first()["min_block"]
     if first_block is not None:
         store.move_back(first_block)
-        store.note_changes(nested)
+        noted = store.note_changes(nested)
         store.append("tran_in", flatten.flatten_inputs(nested, at))
         store.append("tran_out", flatten.flatten_outputs(nested, at))
         # Only transactions with outputs can be spent.
@@ -59,7 +59,7 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
         store.append("tx_block", listed.select(S.hash32(F.col("t.tx_id")).alias("tx_id"), "n_block").distinct())
         store.append("blocks", flatten.flatten_blocks(nested, at).distinct())
         keys = part_keys(nested).select(F.col("block_key").alias("block_hash"), F.col("part_key").alias("part"), "n_block")
-        store.note_changes(nested)
+        store.note_changes(nested, noted)
         store.append("parts", keys.distinct())
         store.merge_index()
     drop_folder(store.spark, folder)

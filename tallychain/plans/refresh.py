@@ -10,6 +10,7 @@ place; what an interrupted refresh has committed the next one finishes.  Failure
 
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,38 +22,38 @@ from tallychain.operators import planning
 from tallychain.operators.entries import block_times, inputs
 from tallychain.operators.turnover import added_up, month_delta, month_sums, turnover
 from tallychain.plans.unspent import available, build_unspent, fold_unspent, is_kept, note_spends
-from tallychain.session import drop_folder, written
-from tallychain.sources.store import TX_PREFIX, UNSORTED, LedgerStore, conform, tx_prefix
+from tallychain.session import drop_folder, partition_names, written
+from tallychain.sources.store import LedgerStore, conform
 
 MANY_FILES = 32  # files of a bucket beyond which it is computed again as a whole instead of getting more
 
 NAMED_FOLDERS = 1000  # bucket folders that a scan names one by one
 
 
-def _log_point(store: LedgerStore, target: str):
+def _point(log: dict, target: str):
     """The logged change point if it names a stored state, else None (process everything)."""
-    point = store.logged_points().get(target, -1)
-    return point if point >= 0 else None
+    row = log.get(target)
+    return row["n_block"] if row and row["refresh"] and row["n_block"] >= 0 else None
+
+
+def _place(log: dict, target: str) -> int:
+    return log[target]["seq"] if target in log else -1
 
 
 def needed_sources(store: LedgerStore, ledger: Ledger, wanted: DataFrame) -> tuple:
     """Ledger with the outputs of the ``wanted`` transactions (tx_id), found through the transaction index, and the work folders it reads.
 
-    The narrow index, laid out by transaction id, says which buckets hold them, so the scans of
-    index and outputs open only those folders.  All blocks of a transaction count, as each output
+    The narrow index says which buckets hold them, so the scan of outputs opens only those folders.  All blocks of a transaction count, as each output
     is taken from the latest one that has it.
     """
-    wanted, wanted_folder = written(wanted, "wanted")
-    # First bytes of ids: 256 folder names at most.
-    prefixes = [r[0] for r in wanted.select(tx_prefix(F.col("tx_id"))).distinct().collect() if r[0] is not None]
-    index = store.read("tx_block").where(F.col(TX_PREFIX).isin([UNSORTED, *prefixes]) if prefixes else F.lit(False))
-    found = index.join(wanted, "tx_id", "left_semi").select("tx_id", "n_block", store.bucket_of(F.col("n_block")).alias(BUCKET)).distinct()
+    index = store.read("tx_block").join(wanted, "tx_id", "left_semi")
+    found = index.select("tx_id", "n_block", store.bucket_of(F.col("n_block")).alias(BUCKET)).distinct()
     located, folder = written(found, "located")
     chosen = ledger.tran_out
     names = [r[0] for r in located.select(BUCKET).distinct().limit(NAMED_FOLDERS + 1).collect()]
     if len(names) <= NAMED_FOLDERS:  # else the join alone prunes
         chosen = chosen.where(F.col(BUCKET).isin(names) if names else F.lit(False))
-    return replace(ledger, tran_out=chosen.join(located, [BUCKET, "n_block", "tx_id"], "left_semi")), [wanted_folder, folder]
+    return replace(ledger, tran_out=chosen.join(located, [BUCKET, "n_block", "tx_id"], "left_semi")), [folder]
 
 
 def _spent_ids(part: Ledger) -> DataFrame:
@@ -73,22 +74,17 @@ def in_buckets(ledger: Ledger, buckets: list) -> Ledger:
     return ledger.where(F.col(BUCKET).isin(buckets) if buckets else F.lit(False))
 
 
-def _buckets(store: LedgerStore, blocks: DataFrame) -> list:
-    """Buckets of some blocks: folder names, not data."""
-    return sorted(r[0] for r in blocks.select(store.bucket_of(F.col("n_block")).alias(BUCKET)).distinct().collect())
-
-
 def refresh_turnover(store: LedgerStore) -> bool:
     """Bring turnover up to date; False if there was nothing to do."""
     store.finish_swaps()
-    since = store.log_place("turnover")
+    log = store.log()
+    since, point = _place(log, "turnover"), _point(log, "turnover")
     changed, notes = store.changed()
     ledger = store.ledger()
     top = planning.block_bounds(ledger.blocks).first()["max_block"]
     if top is None:
         return False
     consumed = [f"{store.folder('changed')}/{n}" for n in notes]
-    point = _log_point(store, "turnover")
     if point is None:
         store.log_point("turnover_m", -1, "rewind")  # the months start anew as well
         store.replace_turnover(turnover(ledger))
@@ -100,23 +96,24 @@ def refresh_turnover(store: LedgerStore) -> bool:
         return True
     if not notes and point < top:  # not known from loads
         changed = ledger.between(point + 1).blocks.select("n_block").distinct()
-    changed, changed_folder = written(changed.coalesce(1), "changed")  # block numbers
-    first = changed.agg(F.min("n_block")).first()[0]
-    if first is None:
-        drop_folder(store.spark, changed_folder)
-        return False
-    done = store.logged("turnover", "top")
+    done = log["turnover"]["refresh"]["top"]
     done = point if done is None else done
+    bounds = changed.groupBy(store.bucket_of(F.col("n_block")).alias(BUCKET)).agg(F.min("n_block").alias("low"), F.max("n_block").alias("high"))
+    bounds = {r[BUCKET]: r for r in bounds.collect()}  # one row per bucket
+    if not bounds:
+        return False
+    first = min(r["low"] for r in bounds.values())
 
     late, again = changed.where(F.col("n_block") <= done), []
     if first <= done:
-        again = _buckets(store, spending_blocks(ledger, late, first).unionByName(late))
-    later = changed.where(F.col("n_block") > done)
-    extended = [b for b in _buckets(store, later) if b not in again]
+        touched = spending_blocks(ledger, late, first).select(store.bucket_of(F.col("n_block"))).distinct()
+        again = [r[0] for r in touched.collect()] + [b for b, r in bounds.items() if r["low"] <= done]  # names of folders
+    extended = sorted(b for b, r in bounds.items() if r["high"] > done and b not in again)
     again += [b for b in extended if store.file_count("turnover", f"{BUCKET}={b}") > MANY_FILES]
+    again = sorted(set(again))
     extended = [b for b in extended if b not in again]
 
-    staged, folders, parts = store.stage("turnover"), [changed_folder], []
+    staged, folders, parts = store.stage("turnover"), [], []
     keeps = is_kept(store)
     if again:
         part = in_buckets(ledger, again)
@@ -137,7 +134,8 @@ def refresh_turnover(store: LedgerStore) -> bool:
 
     new = store.spark.read.schema(schemas.TURNOVER).parquet(staged.folder("rows"))
     old = store.read("turnover").where(F.col(BUCKET).isin(again) if again else F.lit(False))
-    conform(month_delta(old, new), schemas.MONTH_DELTA).write.parquet(staged.folder("month_delta"))
+    delta = conform(month_delta(old, new), schemas.MONTH_DELTA).hint("rebalance", "time_month")
+    delta.write.partitionBy("time_month").parquet(staged.folder("month_delta"))
     if keeps:
         part = ledger.between(first).only(changed)
         note_spends(store, ledger, part, first, late if first <= done else None, staged.folder("unspent"), since + 1)
@@ -156,9 +154,9 @@ def refresh_turnover_m(store: LedgerStore) -> bool:
     months, which readers do not see, so a month that completes or opens again moves no rows.
     """
     store.finish_swaps()
-    since = store.log_place("turnover_m")
+    log = store.log()
+    since, done, point = _place(log, "turnover_m"), _point(log, "turnover"), _point(log, "turnover_m")
     ledger = store.ledger()
-    done, point = _log_point(store, "turnover"), _log_point(store, "turnover_m")
     last = planning.last_completed_month(ledger).first()[0]
     if last is None or done is None:
         return False
@@ -170,12 +168,13 @@ def refresh_turnover_m(store: LedgerStore) -> bool:
         for folder in deltas:  # of rows that are summed by now
             drop_folder(store.spark, folder)
         return True
-    if not deltas and last == store.logged("turnover_m", "month"):
+    if not deltas and last == log["turnover_m"]["refresh"]["month"]:
         return False
-    changes = store.spark.read.schema(schemas.MONTH_DELTA).parquet(*deltas) if deltas else store.spark.createDataFrame([], schemas.MONTH_DELTA)
-    months = sorted(r[0] for r in changes.select("time_month").distinct().collect())  # calendar months
+    months = sorted({date.fromisoformat(n.split("=")[1]) for folder in deltas for n in partition_names(store.spark, folder)})
     staged = store.stage("turnover_m")
     if months:
+        read = store.spark.read.schema(schemas.MONTH_DELTA)
+        changes = reduce(DataFrame.unionByName, [read.parquet(folder) for folder in deltas]).select(*schemas.MONTH_DELTA.names)
         kept = store.month_sums().where(F.col("time_month").isin(months)).select("time_month", "address", "sats", "n_rows")
         store._put("turnover_m", store.stamped("turnover_m", added_up(kept.unionByName(changes)).where("n_rows != 0")), staged.folder("rows"))
     staged.commit([f"time_month={m}" for m in months], consumed=deltas, n_block=reached, since=since, month=last)

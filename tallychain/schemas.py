@@ -61,12 +61,6 @@ CHANGE_LOG = _struct(target=_S, n_block=_L, version=_TS, reason=_S, seq=_L, top=
 # Blocks whose rows arrived since the last refresh; every load leaves a folder of them.
 CHANGED = _struct(n_block=_L)
 
-# What a refresh is about to put in place: whole partitions, partitions that only get more files, and what it used up.
-SWAP = _struct(
-    target=_S, replaced=T.ArrayType(_S), filled=T.ArrayType(_S), extended=T.ArrayType(_S), consumed=T.ArrayType(_S),
-    n_block=_L, since=_L, top=_L, month=T.DateType(),
-)
-
 # Signed differences of monthly sums that a refresh of turnover leaves for the months.
 MONTH_DELTA = _struct(time_month=T.DateType(), address=_S, sats=_L, n_rows=_L)
 

@@ -64,6 +64,38 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def write_text(spark: SparkSession, path: str, text: str):
+    """A small text in a file: written aside first, so that whoever sees the file sees all of it."""
+    fs, aside = filesystem(spark, path + ".new")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(aside, filesystem(spark, path)[1])
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = filesystem(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def copy_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """A small folder once more; False if it is not there."""
+    fs, old = filesystem(spark, source)
+    if not fs.exists(old):
+        return False
+    return spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, old, fs, filesystem(spark, target)[1], False, spark._jsc.hadoopConfiguration())
+
+
+def partition_names(spark: SparkSession, path: str) -> list:
+    """Names of the partition folders of a table; none where it has no folder."""
+    fs, root = filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(root) if "=" in s.getPath().getName()] if fs.exists(root) else []
+
+
 def drop_folder(spark: SparkSession, path: str):
     fs, p = filesystem(spark, path)
     fs.delete(p, True)

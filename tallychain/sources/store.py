@@ -7,9 +7,9 @@ full, a one-row plan commits them, and then folders change places.  An interrupt
 finished by the next refresh.  Change points go to an append-only log, after the data they vouch for.
 """
 
+import json
 import uuid
-
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from tallychain.functions import scalars as S
 from tallychain.ledger import BUCKET, Ledger, block_range
 from tallychain.operators.latest import latest_by
 from tallychain.operators.planning import change_point
-from tallychain.session import drop_folder, filesystem, written
+from tallychain.session import copy_folder, drop_folder, filesystem, partition_names, read_text, write_text, written
 
 TX_PREFIX = "tx_prefix"  # first byte of a transaction id: 256 folders
 UNSORTED = -1            # the folder of index rows that are not dealt to prefixes yet
@@ -168,9 +168,15 @@ class LedgerStore:
             return []
         return sorted(s.getPath().getName() for s in fs.listStatus(root) if fs.exists(filesystem(self.spark, f"{s.getPath()}/{mark}")[1]))
 
-    def note_changes(self, blocks: DataFrame):
-        """Leave a folder that names blocks whose rows arrive or have arrived; the refresh that has processed them removes it."""
-        conform(blocks.select("n_block").distinct(), schemas.CHANGED).write.parquet(f"{self.folder('changed')}/{uuid.uuid4().hex}")
+    def note_changes(self, blocks: DataFrame, noted: str = None) -> str:
+        """Leave a folder that names blocks whose rows arrive or have arrived; the refresh that has processed them removes it.
+
+        ``noted`` is an earlier folder of the same blocks, which is copied if it is still there.
+        """
+        name = uuid.uuid4().hex
+        if noted is None or not copy_folder(self.spark, f"{self.folder('changed')}/{noted}", f"{self.folder('changed')}/{name}"):
+            conform(blocks.select("n_block").distinct(), schemas.CHANGED).write.parquet(f"{self.folder('changed')}/{name}")
+        return name
 
     def changed(self) -> tuple:
         """(n_block of every changed block, the folders that name them)."""
@@ -187,14 +193,14 @@ class LedgerStore:
 
     def finish_swaps(self):
         """Put in place what was committed and not finished; drop what was not committed."""
-        committed = self._listed("swaps", "plan/_SUCCESS")
+        committed = self._listed("swaps", "plan.json")
         fs, root = filesystem(self.spark, self.folder("swaps"))
         if fs.exists(root):
             for status in fs.listStatus(root):
                 if status.getPath().getName() not in committed:
                     fs.delete(status.getPath(), True)
-        for row in [Staged(self, None, n).plan() for n in committed]:
-            Staged(self, row["target"], row["name"]).apply()
+        for name in committed:
+            Staged(self, None, name).apply()
 
     def move_files(self, source: str, target: str):
         """The data files of a folder go into another one; repeating this moves what is left."""
@@ -221,30 +227,31 @@ class LedgerStore:
 
     # ---- change points -------------------------------------------------------------------
 
-    def _log(self) -> list:
-        """Per derived table: the point of its newest log row (of rows written at once the smallest), whether it was ever
-        refreshed, and that row's place."""
+    def log(self) -> dict:
+        """Per derived table: the point of its newest log row (of rows written at once the smallest), whether it was ever refreshed,
+        that row's place, and what its newest refresh has seen."""
+        of_refresh = F.when(F.col("reason") == "refresh", F.struct("seq", "top", "month"))
         newest = self.read("change_log").groupBy("target").agg(
-            F.max_by("n_block", F.struct("seq", -F.col("n_block"))).alias("n_block"),
-            F.count_if(F.col("reason") == "refresh").alias("refreshes"), F.max("seq").alias("seq"))
-        return newest.collect()  # one row per derived table
+            F.max_by("n_block", F.struct("seq", -F.col("n_block"))).alias("n_block"), F.max("seq").alias("seq"), F.max(of_refresh).alias("refresh"))
+        return {row["target"]: row for row in newest.collect()}  # one row per derived table
 
     def logged_points(self) -> dict:
         """Newest change point per derived table; a table that was never refreshed has none."""
-        return {row["target"]: row["n_block"] for row in self._log() if row["refreshes"]}
+        return {target: row["n_block"] for target, row in self.log().items() if row["refresh"]}
 
     def log_place(self, target: str) -> int:
         """Place of the newest log row of a derived table, -1 for none."""
-        return next((row["seq"] for row in self._log() if row["target"] == target), -1)
+        row = self.log().get(target)
+        return row["seq"] if row else -1
 
     def change_point(self, target: str) -> int:
         log = self.read("change_log").where(F.col("target") == target).select("n_block", F.col("seq").alias("version"))
         return change_point(log, self.read("blocks")).first()[0]
 
     def logged(self, target: str, column: str):
-        """A column of the newest refresh of a derived table; None before the first."""
-        rows = self.read("change_log").where((F.col("target") == target) & (F.col("reason") == "refresh"))
-        return rows.agg(F.max_by(F.col(column), "seq")).first()[0]
+        """``top`` or ``month`` of the newest refresh of a derived table; None before the first."""
+        row = self.log().get(target)
+        return row["refresh"][column] if row and row["refresh"] else None
 
     def log_point(self, target: str, n_block: int, reason: str, place: int = None, top: int = None, month=None):
         place = self.log_place(target) if place is None else place
@@ -256,19 +263,20 @@ class LedgerStore:
 
     def log_refresh(self, target: str, n_block: int, since: int, top: int = None, month=None):
         """Log what a refresh has reached that read the log at ``since``; points moved back meanwhile stay back."""
-        later = self.read("change_log").where((F.col("target") == target) & (F.col("seq") > since) & (F.col("reason") == "rewind"))
-        earliest = later.agg(F.min("n_block")).first()[0]
-        self.log_point(target, n_block if earliest is None else min(n_block, earliest), "refresh", None, top, month)
+        later = F.when((F.col("seq") > since) & (F.col("reason") == "rewind"), F.col("n_block"))
+        row = self.read("change_log").where(F.col("target") == target).agg(F.min(later).alias("earliest"), F.coalesce(F.max("seq"), F.lit(-1)).alias("place")).first()
+        self.log_point(target, n_block if row["earliest"] is None else min(n_block, row["earliest"]), "refresh", row["place"], top, month)
 
     def move_back(self, first_block: int):
         """Before blocks from ``first_block`` on are stored: move later change points back in front of it.
 
         A table without a refresh gets the row as well: one may be under way.
         """
-        points, places = self.logged_points(), {row["target"]: row["seq"] for row in self._log()}
+        log = self.log()
         for target in TARGETS:
-            if target not in points or first_block - 1 < points[target]:
-                self.log_point(target, first_block - 1, "rewind", places.get(target, -1))
+            row = log.get(target)
+            if row is None or not row["refresh"] or first_block - 1 < row["n_block"]:
+                self.log_point(target, first_block - 1, "rewind", row["seq"] if row else -1)
 
     def rewind(self, first_block: int):
         """Have all stored blocks from ``first_block`` on processed again."""
@@ -326,18 +334,17 @@ class Staged:
 
     def partitions(self) -> list:
         """Names of the staged partition folders."""
-        fs, root = filesystem(self.store.spark, self.folder("rows"))
-        return [s.getPath().getName() for s in fs.listStatus(root) if "=" in s.getPath().getName()] if fs.exists(root) else []
+        return partition_names(self.store.spark, self.folder("rows"))
 
     def commit(self, replaced=(), extended=(), consumed=(), n_block=None, since=None, top=None, month=None):
         """From here on the swap will be finished, by this job or by a later one."""
-        filled = [p for p in self.partitions() if p in set(replaced)]
-        row = (self.target, list(replaced), filled, list(extended), list(consumed), n_block, since, top, month)
-        self.store.spark.createDataFrame([row], schemas.SWAP).coalesce(1).write.mode("overwrite").parquet(self.folder("plan"))
+        staged = set(self.partitions())
+        plan = {"target": self.target, "replaced": list(replaced), "filled": [p for p in replaced if p in staged], "extended": list(extended),
+                "consumed": list(consumed), "n_block": n_block, "since": since, "top": top, "month": month and month.isoformat()}
+        write_text(self.store.spark, self.folder("plan.json"), json.dumps(plan))
 
     def plan(self) -> dict:
-        row = self.store.spark.read.schema(schemas.SWAP).parquet(self.folder("plan")).first()
-        return {**row.asDict(), "name": self.name}
+        return json.loads(read_text(self.store.spark, self.folder("plan.json")))
 
     def apply(self):
         """Every step may be repeated: what is in place already is no longer staged."""
@@ -353,7 +360,8 @@ class Staged:
         for part in ("month_delta", "unspent"):
             store.move_folder(self.folder(part), f"{store.folder(part)}/{self.name}", replace=False)
         if plan["since"] is not None:
-            store.log_refresh(plan["target"], plan["n_block"], plan["since"], plan["top"], plan["month"])
+            month = date.fromisoformat(plan["month"]) if plan["month"] else None
+            store.log_refresh(plan["target"], plan["n_block"], plan["since"], plan["top"], month)
         for used in plan["consumed"]:
             drop_folder(spark, used)
         drop_folder(spark, f"{store.folder('swaps')}/{self.name}")
