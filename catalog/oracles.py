@@ -173,6 +173,10 @@ SELECTS = {
     "turnover_from_unspent": _TURNOVER,
     "unspent_outputs": """SELECT tx_id, output_index, n_block, value, address FROM lo
         WHERE (tx_id, output_index) NOT IN (SELECT (prev_tx_hash, prev_tx_index) FROM li WHERE is_coinbase = 0)""",
+    "top_wallets_kept": """SELECT address, CAST(sum(sats) AS BIGINT) AS sats, count(tx_id) AS n_tx FROM tv GROUP BY address
+        HAVING sum(sats) > @MIN_SATS@ ORDER BY sum(sats) DESC, address LIMIT 10""",
+    "balance_kept": "SELECT CAST(coalesce(sum(sats), 0) AS BIGINT) AS sats FROM tv WHERE address = '@ADDRESS@'",
+    "latest_of_compacted": "SELECT n_block, tx_id, output_index, value, address, is_coinbase FROM lo",
     "turnover_m_by_differences": """SELECT strftime(date_trunc('month', time), '%Y-%m-%d') AS time_month, address,
         CAST(sum(sats) AS BIGINT) AS sats, count(*) AS n_rows FROM tv GROUP BY ALL""",
     "stream_load": _TURNOVER + f" WHERE n_block < ({_FIRST_GAP.replace('@START@', '0')})",

@@ -10,8 +10,9 @@ from tallychain import LedgerStore, check_integrity, refresh_all, start_stream
 from tallychain.functions import scalars as S
 from tallychain.ledger import Ledger
 from tallychain.operators import balances, checks, entries, flatten, latest, planning, turnover, views
-from tallychain.plans import load
+from tallychain.plans import load, totals
 from tallychain.plans.integrity import messages
+from tallychain.plans.totals import build_totals
 from tallychain.plans.unspent import build_unspent, unspent
 from tallychain.session import new_work_folder
 from tallychain.sources.sample_ledger import kind_flag, nest, read_ledger
@@ -284,6 +285,33 @@ def unspent_outputs(spark, sf_dir):
         S.to_hex(F.col("tx_id")).alias("tx_id"), "output_index", "n_block", "value", "address")
 
 
+def _totals_run(spark, sf_dir, name):
+    """Totals are kept from the first refresh on; then late blocks arrive, and then new ones."""
+    block, late = F.col("n_block"), F.col("n_block").between(P.LATE_FROM, P.LATE_TO)
+    run = _Run(spark, sf_dir, name).deliver((block <= P.CUT_BLOCK) & ~late, update=True)
+    build_totals(run.store)
+    return run.deliver(late, update=True).deliver(block > P.CUT_BLOCK, update=True).store
+
+
+@query
+def top_wallets_kept(spark, sf_dir):
+    return totals.top_wallets_kept(_totals_run(spark, sf_dir, "top-kept"), above=P.MIN_SATS)
+
+
+@query
+def balance_kept(spark, sf_dir):
+    return totals.balance_kept(_totals_run(spark, sf_dir, "balance-kept"), P.ADDRESS)
+
+
+@query
+def latest_of_compacted(spark, sf_dir):
+    """Newest outputs of a store whose outputs were delivered twice and compacted: nothing is ranked any more."""
+    store = _Run(spark, sf_dir, "compacted").deliver(F.lit(True)).deliver(F.col("n_block") <= P.CUT_BLOCK).store
+    top = store.ledger().blocks.agg(F.max("n_block")).first()[0]
+    store.compact("tran_out", latest.OUT_KEY, ["created_at"], 0, top // store.bucket_size)
+    return entries.outputs(store.ledger()).select("n_block", S.to_hex(F.col("tx_id")).alias("tx_id"), "output_index", "value", "address", "is_coinbase")
+
+
 @query
 def turnover_m_by_differences(spark, sf_dir):
     """Every month's sums, open months included, after late blocks; the number of turnover rows behind each is kept as well."""

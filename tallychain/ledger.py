@@ -35,6 +35,12 @@ class Ledger:
     out_ties: tuple = ("value", "is_coinbase", "is_op_return", "address_count", "script_type")
     # Blocks per partition folder where the tables are stored ones.
     bucket_size: int = None
+    # Per stored table the buckets that are known to hold one version of every row, and whether those are all.
+    single: tuple = ()
+
+    def known_single(self, table: str) -> tuple:
+        """(buckets of a table with one version of every row, whether all are)."""
+        return dict(self.single).get(table, ((), False))
 
     def between(self, start: int = None, end: int = None) -> "Ledger":
         """The part of all three tables with start <= n_block <= end; stored tables open only the folders that can hold it."""

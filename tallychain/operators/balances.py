@@ -8,13 +8,12 @@ from tallychain.functions.scalars import as_type_of
 
 def top_wallets(turnover_rows: DataFrame, above: int = 0, n: int = 10) -> DataFrame:
     """The n addresses that hold most, with the number of transactions that touched them."""
-    return (
-        turnover_rows.groupBy("address")
-        .agg(F.sum("sats").alias("sats"), F.count("tx_id").alias("n_tx"))
-        .where(F.col("sats") > above)
-        .orderBy(F.desc("sats"), "address")
-        .limit(n)
-    )
+    return top_of(turnover_rows.groupBy("address").agg(F.sum("sats").alias("sats"), F.count("tx_id").alias("n_tx")), above, n)
+
+
+def top_of(held: DataFrame, above: int, n: int) -> DataFrame:
+    """The n rows of (address, sats, n_tx) with most above a bound, ties by address."""
+    return held.where(F.col("sats") > above).orderBy(F.desc("sats"), "address").limit(n)
 
 
 def _total() -> Column:

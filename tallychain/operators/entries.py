@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallychain.functions import scalars as S
 from tallychain.ledger import Ledger
-from tallychain.operators.latest import OUT_KEY, latest_blocks, latest_by, latest_inputs
+from tallychain.operators.latest import OUT_KEY, latest_blocks, latest_inputs, latest_of
 
 
 def block_times(ledger: Ledger) -> DataFrame:
@@ -30,7 +30,7 @@ def outputs(ledger: Ledger) -> DataFrame:
     out = ledger.tran_out.where("n_block is not null and tx_id is not null and output_index is not null")
     owned = out.withColumn("address", S.owner_address(
         F.col("address_count"), F.col("addresses"), F.col("is_op_return"), S.hex_of(out, "tx_id"), F.col("output_index")))
-    return latest_by(owned, OUT_KEY, ledger.row_version, ["value", "address", "is_coinbase"], ledger.out_ties)
+    return latest_of(ledger, "tran_out", owned, OUT_KEY, ledger.row_version, ["value", "address", "is_coinbase"], ledger.out_ties)
 
 
 def tx_block(tran_out: DataFrame) -> DataFrame:

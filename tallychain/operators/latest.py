@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallychain.ledger import Ledger
+from tallychain.ledger import BUCKET, Ledger
 
 BLOCK_KEY = ["n_block"]
 # The hash leads: its first bytes settle nearly every comparison of the sort.
@@ -28,16 +28,34 @@ def latest_by(df: DataFrame, keys, version, columns=None, ties=None) -> DataFram
     return df.select(*kept).withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").select(*result)
 
 
+def latest_of(ledger: Ledger, table: str, rows: DataFrame, keys, version, columns=None, ties=None) -> DataFrame:
+    """Newest versions of the rows of a stored table, of which buckets with one version of everything need no ranking.
+
+    Loads and compaction keep the record of such buckets.  Where it covers the whole table nothing
+    is shuffled and nothing sorted; otherwise only the other buckets are ranked.
+    """
+    buckets, all_of_them = ledger.known_single(table)
+    if not buckets or BUCKET not in rows.columns:
+        return latest_by(rows, keys, version, columns, ties)
+    columns = [c for c in (columns or rows.columns) if c not in keys]
+    as_stored = [c for c in rows.columns if c in keys or c in columns]
+    if all_of_them:
+        return rows.select(*as_stored)
+    known = F.col(BUCKET).isin(list(buckets))
+    ranked = latest_by(rows.where(~known), keys, version, columns, ties)
+    return rows.where(known).select(*as_stored).unionByName(ranked)
+
+
 def latest_blocks(ledger: Ledger, columns=None) -> DataFrame:
-    return latest_by(ledger.blocks, BLOCK_KEY, ledger.block_version, columns, ledger.block_ties)
+    return latest_of(ledger, "blocks", ledger.blocks, BLOCK_KEY, ledger.block_version, columns, ledger.block_ties)
 
 
 def latest_inputs(ledger: Ledger, columns=None) -> DataFrame:
-    return latest_by(ledger.tran_in, IN_KEY, ledger.row_version, columns, ledger.in_ties)
+    return latest_of(ledger, "tran_in", ledger.tran_in, IN_KEY, ledger.row_version, columns, ledger.in_ties)
 
 
 def latest_outputs(ledger: Ledger, columns=None) -> DataFrame:
-    return latest_by(ledger.tran_out, OUT_KEY, ledger.row_version, columns, ledger.out_ties)
+    return latest_of(ledger, "tran_out", ledger.tran_out, OUT_KEY, ledger.row_version, columns, ledger.out_ties)
 
 
 def latest_turnover(turnover: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from tallychain.functions import scalars as S
 from tallychain.operators import flatten, planning
 from tallychain.plans.refresh import refresh_all
 from tallychain.session import drop_folder, written
-from tallychain.sources.store import LedgerStore, now
+from tallychain.sources.store import BASE, LedgerStore, now
 
 BROADCAST_ROWS = 1_000_000  # plain numbers or hashes: some tens of megabytes at most
 
@@ -44,6 +44,8 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
     Change points move back and the blocks are named as changed first, block rows and the list of stored
     parts come last, so that an interrupted load leaves no block without its transactions and no late part
     unprocessed.  The blocks are named again when their rows are stored, as a refresh may have come between.
+    Buckets lose their mark of holding one version of every row while they are written to, and get it back
+    where the records cannot have brought a second one.
     The records are written once and every table reads its own columns of them.
     """
     at = at or now()
@@ -52,6 +54,9 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
     if first_block is not None:
         store.move_back(first_block)
         noted = store.note_changes(nested)
+        touched, single = store.stay_single(nested)
+        for table in BASE:
+            store.mark_single(table, touched, False)
         store.append("tran_in", flatten.flatten_inputs(nested, at))
         store.append("tran_out", flatten.flatten_outputs(nested, at))
         # Only transactions with outputs can be spent.
@@ -59,6 +64,8 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
         store.append("tx_block", listed.select(S.hash32(F.col("t.tx_id")).alias("tx_id"), "n_block").distinct())
         store.append("blocks", flatten.flatten_blocks(nested, at).distinct())
         keys = part_keys(nested).select(F.col("block_key").alias("block_hash"), F.col("part_key").alias("part"), "n_block")
+        for table in BASE:
+            store.mark_single(table, single, True)
         store.note_changes(nested, noted)
         store.append("parts", keys.distinct())
         store.merge_index()

@@ -21,6 +21,7 @@ from tallychain.ledger import BUCKET, Ledger, block_range
 from tallychain.operators import planning
 from tallychain.operators.entries import block_times, inputs
 from tallychain.operators.turnover import added_up, month_delta, month_sums, turnover
+from tallychain.plans.totals import are_kept, build_totals, fold_totals, note_totals
 from tallychain.plans.unspent import available, build_unspent, fold_unspent, is_kept, note_spends
 from tallychain.session import drop_folder, partition_names, written
 from tallychain.sources.store import LedgerStore, conform
@@ -88,11 +89,12 @@ def refresh_turnover(store: LedgerStore) -> bool:
     if point is None:
         store.log_point("turnover_m", -1, "rewind")  # the months start anew as well
         store.replace_turnover(turnover(ledger))
+        for kept, build in ((is_kept, build_unspent), (are_kept, build_totals)):
+            if kept(store):
+                build(store)
         store.log_refresh("turnover", top, since, top)
         for folder in consumed:
             drop_folder(store.spark, folder)
-        if is_kept(store):
-            build_unspent(store)
         return True
     if not notes and point < top:  # not known from loads
         changed = ledger.between(point + 1).blocks.select("n_block").distinct()
@@ -136,6 +138,8 @@ def refresh_turnover(store: LedgerStore) -> bool:
     old = store.read("turnover").where(F.col(BUCKET).isin(again) if again else F.lit(False))
     delta = conform(month_delta(old, new), schemas.MONTH_DELTA).hint("rebalance", "time_month")
     delta.write.partitionBy("time_month").parquet(staged.folder("month_delta"))
+    if are_kept(store):
+        note_totals(store, store.spark.read.schema(schemas.MONTH_DELTA).parquet(staged.folder("month_delta")), staged.folder("totals"))
     if keeps:
         part = ledger.between(first).only(changed)
         note_spends(store, ledger, part, first, late if first <= done else None, staged.folder("unspent"), since + 1)
@@ -144,6 +148,7 @@ def refresh_turnover(store: LedgerStore) -> bool:
     for folder in folders:
         drop_folder(store.spark, folder)
     fold_unspent(store)
+    fold_totals(store)
     return True
 
 

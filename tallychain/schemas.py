@@ -64,6 +64,9 @@ CHANGED = _struct(n_block=_L)
 # Signed differences of monthly sums that a refresh of turnover leaves for the months.
 MONTH_DELTA = _struct(time_month=T.DateType(), address=_S, sats=_L, n_rows=_L)
 
+# Totals of addresses, or what they change by.
+TOTALS = _struct(address=_S, sats=_L, n_rows=_L)
+
 # Outputs that appeared (``spent`` 0) and outputs that were spent (1), one folder per refresh; ``seq`` orders the folders.
 UNSPENT = _struct(tx_id=_B, output_index=_L, n_block=_L, value=_L, address=_S, spent=_I, seq=_L)
 
@@ -102,3 +105,8 @@ NESTED_BLOCK = _struct(
     nonce=_L, bits=_L, size=_L, weight=_L, part=_L, transaction_count=_L,
     transactions=T.ArrayType(NESTED_TRANSACTION),
 )
+
+# Records whose block has no height yet, by what identifies them; kept under the first digit of their parent's hash.
+WAITING = T.StructType([
+    *NESTED_BLOCK.fields, *_struct(block_key=_B, part_key=_L, gen=_S, parent=_S).fields,
+])

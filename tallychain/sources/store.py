@@ -44,6 +44,7 @@ TABLES = {
 BLOOM = {"tx_block": "tx_id", "turnover": "address", "turnover_m": "address"}
 
 TARGETS = ("turnover", "turnover_m")
+BASE = ("blocks", "tran_in", "tran_out")
 
 
 def now() -> datetime:
@@ -99,8 +100,10 @@ class LedgerStore:
 
     def ledger(self) -> Ledger:
         # Blocks are listed first and written last: whoever sees a block sees its transactions.
-        blocks = self.read("blocks")
-        return Ledger(blocks, self.read("tran_in"), self.read("tran_out"), bucket_size=self.bucket_size)
+        tables = {name: self.read(name) for name in BASE}
+        # Marks are read after the files are listed: a load removes them before it adds files.
+        single = tuple((name, self.single_buckets(name)) for name in BASE)
+        return Ledger(*tables.values(), bucket_size=self.bucket_size, single=single)
 
     def turnover(self) -> DataFrame:
         """The public columns; every row is current because refreshes replace whole buckets."""
@@ -186,6 +189,41 @@ class LedgerStore:
         folders = [f"{self.folder('changed')}/{n}" for n in names]
         return self.spark.read.schema(schemas.CHANGED).parquet(*folders).distinct(), names
 
+    # ---- one version per key -------------------------------------------------------------
+
+    def single_buckets(self, table: str) -> tuple:
+        """(buckets of a base table that are marked as holding one version of every row, whether all of its buckets are)."""
+        fs, root = filesystem(self.spark, self.folder(f"single/{table}"))
+        marked = {int(s.getPath().getName()) for s in fs.listStatus(root)} if fs.exists(root) else set()
+        stored = {int(n.split("=")[1]) for n in partition_names(self.spark, self.folder(table))}
+        return tuple(sorted(marked & stored)), stored <= marked
+
+    def mark_single(self, table: str, buckets, is_single: bool):
+        """Record that buckets hold one version of every row, or that they may hold more."""
+        for bucket in buckets:
+            fs, mark = filesystem(self.spark, self.folder(f"single/{table}/{bucket}"))
+            fs.create(mark, True).close() if is_single else fs.delete(mark, False)
+
+    def stay_single(self, nested: DataFrame) -> tuple:
+        """(buckets that records are about to be added to, those that will hold one version of every row afterwards).
+
+        That is so where the bucket holds one version now or nothing, none of the blocks is stored, every block
+        comes as one record, and no transaction occurs twice in it; each is seen from block numbers and ids alone.
+        """
+        ids = F.transform("transactions", lambda t: t["tx_id"])
+        plain = F.col("part").isNull() & (F.size(F.array_distinct(ids)) == F.size(ids))
+        arriving = nested.groupBy("n_block").agg((F.count("*") == 1).alias("once"), F.every(plain).alias("plain"))
+        stored = self.read("blocks").select("n_block").distinct().withColumn("stored", F.lit(True))
+        fresh = arriving.join(stored, "n_block", "left").groupBy(self.bucket_of(F.col("n_block")).alias(BUCKET)).agg(
+            F.every(F.col("once") & F.coalesce(F.col("plain"), F.lit(False)) & F.col("stored").isNull()).alias("fresh"))
+        found = {row[BUCKET]: row["fresh"] for row in fresh.collect()}  # one row per bucket
+        now_single = {name: set(self.single_buckets(name)[0]) for name in BASE}
+
+        def clean(bucket):
+            return all(bucket in now_single[name] or not self.file_count(name, f"{BUCKET}={bucket}") for name in BASE)
+
+        return list(found), [b for b, is_fresh in found.items() if is_fresh and clean(b)]
+
     # ---- swaps -----------------------------------------------------------------------------
 
     def stage(self, target: str) -> "Staged":
@@ -319,8 +357,12 @@ class LedgerStore:
         before it replaces the old one.
         """
         chosen = self.read(table).where(F.col(BUCKET).between(first_bucket, last_bucket))
-        rows = self._laid_out(table, latest_by(chosen, keys, version))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.folder(table))
+        staged = self.stage(table)
+        self._put(table, self._laid_out(table, latest_by(chosen, keys, version)), staged.folder("rows"))
+        names = staged.partitions()
+        staged.commit(names)
+        staged.apply()
+        self.mark_single(table, [int(n.split("=")[1]) for n in names], True)
 
 
 class Staged:
@@ -357,7 +399,7 @@ class Staged:
                 drop_folder(spark, f"{table}/{name}")
         for name in plan["extended"]:
             store.move_files(f"{self.folder('rows')}/{name}", f"{table}/{name}")
-        for part in ("month_delta", "unspent"):
+        for part in ("month_delta", "unspent", "totals"):
             store.move_folder(self.folder(part), f"{store.folder(part)}/{self.name}", replace=False)
         if plan["since"] is not None:
             month = date.fromisoformat(plan["month"]) if plan["month"] else None

@@ -14,7 +14,8 @@ ORACLES = oracle_sql()
 # These write whole stores; test_refresh and test_stream cover the same jobs on small chains.
 STORE_RUNS = {"load_new", "bulk_load", "turnover_incremental", "turnover_m_incremental", "turnover_after_rewind",
               "turnover_m_after_rewind", "turnover_rebuild", "stream_load", "stream_load_restart", "stream_load_parts",
-              "turnover_m_month_reopened", "turnover_from_unspent", "unspent_outputs", "turnover_m_by_differences",
+              "turnover_m_month_reopened", "turnover_from_unspent", "unspent_outputs", "turnover_m_by_differences", "top_wallets_kept", "balance_kept",
+              "latest_of_compacted",
               "stored_top_wallets", "stored_balance", "stored_balance_hybrid"}
 CHECKED = sorted(QUERIES) if os.environ.get("ALL_QUERIES") else sorted(set(QUERIES) - STORE_RUNS) + ["turnover_m_after_rewind"]
 

@@ -4,10 +4,12 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallychain import refresh_all
+from tallychain.operators import balances, latest
 from tallychain.operators.turnover import month_sums, turnover
-from tallychain.plans import load, refresh, unspent
+from tallychain.plans import load, refresh, totals, unspent
 from tallychain.sources.store import Staged
 from tests import micro as m
 from tests.test_refresh import assert_fresh, deliver
@@ -200,3 +202,79 @@ def test_rewind_by_hand_processes_stored_blocks_again(store):
     assert_fresh(store)
     assert_sums(store)
     assert store.change_point("turnover") == 8
+
+
+def test_kept_totals_through_late_repeated_and_new_blocks(store):
+    chain = m.chain(12)
+    deliver(store, chain[:3] + chain[4:6])
+    with pytest.raises(ValueError, match="build_totals"):
+        totals.totals(store)
+    totals.build_totals(store)
+    for part in (chain[6:9], chain[3:4], chain[9:], [m.block(2, chain[2]["transactions"], days=40)]):
+        deliver(store, part)
+        want = turnover(store.ledger()).groupBy("address").agg(F.sum("sats").alias("sats"), F.count("tx_id").alias("n_tx"))
+        assert m.rows(totals.totals(store), "address", "sats", "n_rows") == m.rows(want, "address", "sats", "n_tx")
+    rows = [tuple(r) for r in totals.top_wallets_kept(store, above=0, n=3).collect()]
+    assert rows == [tuple(r) for r in balances.top_wallets(store.read("turnover"), 0, 3).collect()]
+    assert totals.balance_kept(store, "a4").first().sats == 30 and totals.balance_kept(store, "nobody").first().sats == 0
+
+
+def test_folding_totals_counts_nothing_twice(store, monkeypatch):
+    """The folded folder and those that it replaces never count both, also where the fold stops between."""
+    chain = m.chain(9)
+    deliver(store, chain[:4])
+    totals.build_totals(store)
+    deliver(store, chain[4:6])
+    deliver(store, chain[6:])
+    want = m.rows(totals.totals(store), "address", "sats", "n_rows")
+    from tallychain.sources import store as stores
+
+    with monkeypatch.context() as patch:
+        patch.setattr(stores, "drop_folder", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            totals.fold_totals(store, beyond=1)
+    assert len(store._listed("totals")) > 1 and m.rows(totals.totals(store), "address", "sats", "n_rows") == want
+    refresh_all(store)
+    assert len(store._listed("totals")) == 1 and m.rows(totals.totals(store), "address", "sats", "n_rows") == want
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_with_one_version_are_not_ranked(store):
+    chain = m.chain(10)
+    deliver(store, chain[:6], update=False)
+    assert "Window" not in plan_of(latest.latest_outputs(store.ledger())) + plan_of(latest.latest_blocks(store.ledger()))
+    deliver(store, chain[6:8], update=False)      # bucket 1 gets blocks it does not have
+    assert store.single_buckets("tran_in") == ((0, 1), True)
+    deliver(store, [chain[5], chain[8]], update=False)   # block 5 again
+    assert store.single_buckets("tran_in") == ((0, 2), False)
+    mixed = latest.latest_inputs(store.ledger())
+    assert "Window" in plan_of(mixed) and mixed.count() == 9 + 8
+    deliver(store, [chain[9]])
+    assert_fresh(store)
+    for table, key, version in (("blocks", latest.BLOCK_KEY, "processed_at"), ("tran_in", latest.IN_KEY, "created_at"), ("tran_out", latest.OUT_KEY, "created_at")):
+        store.compact(table, key, [version], 0, 2)
+        assert store.single_buckets(table) == ((0, 1, 2), True)
+    assert "Window" not in plan_of(turnover(store.ledger()))
+    assert_fresh(store)
+
+
+def test_parts_and_repeats_leave_no_mark(store):
+    chain = m.chain(4)
+    twice = m.block(3, chain[3]["transactions"] + chain[3]["transactions"][:1])
+    for blocks in ([{**chain[0], "part": 0}], [chain[1], chain[1]], [chain[2]], [twice]):
+        deliver(store, blocks, update=False)
+        assert store.single_buckets("tran_out") == ((), False)
+
+
+def test_an_interrupted_load_leaves_no_mark(store, monkeypatch):
+    chain = m.chain(3)
+    with monkeypatch.context() as patch:
+        patch.setattr(type(store), "append", lambda self, table, df, real=type(store).append: real(self, table, df) if table != "blocks" else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            deliver(store, chain, update=False)
+    deliver(store, chain)
+    assert store.single_buckets("tran_in") == ((), False)
+    assert_fresh(store)
