@@ -252,6 +252,10 @@ SELECTS = {
         ({_FIRST_GAP.replace('@START@', '@WAITING_CUT@')}))""",
     "resume_file": """SELECT max(printf('blocks-%06d', n_block // @FILE_BLOCKS@)) AS source_file FROM blocks
         WHERE n_block <= @CUT_BLOCK@""",
+    "resume_from_summary": """SELECT max(printf('blocks-%06d', n_block // @FILE_BLOCKS@)) AS source_file FROM blocks
+        WHERE n_block <= @CUT_BLOCK@""",
+    "file_summary": """SELECT printf('blocks-%06d', n_block // @FILE_BLOCKS@) AS source_file, min(n_block) AS low, max(n_block) AS high,
+        CAST(count(DISTINCT block_hash) AS INTEGER) AS n_hashes FROM blocks GROUP BY 1""",
     "check_genesis": "SELECT n_block FROM c1",
     "check_genesis_damaged": "SELECT CAST(0 AS BIGINT) AS n_block WHERE NOT EXISTS (SELECT 1 FROM damaged WHERE n_block = 0)",
     "check_block_sequence": "SELECT n_block FROM c2",

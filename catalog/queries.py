@@ -605,6 +605,20 @@ def resume_file(led: Ledger):
     return planning.resume_file(files, planning.blocks_in_range(led.blocks, 0, P.CUT_BLOCK))
 
 
+@on_ledger
+def resume_from_summary(led: Ledger):
+    label = F.format_string("blocks-%06d", F.floor(F.col("n_block") / P.FILE_BLOCKS))
+    summary = planning.file_summary(led.blocks.select(label.alias("source_file"), "n_block", "block_hash"))
+    return planning.resume_from_summary(summary, planning.blocks_in_range(led.blocks, 0, P.CUT_BLOCK))
+
+
+@on_ledger
+def file_summary(led: Ledger):
+    label = F.format_string("blocks-%06d", F.floor(F.col("n_block") / P.FILE_BLOCKS))
+    summary = planning.file_summary(led.blocks.select(label.alias("source_file"), "n_block", "block_hash"))
+    return summary.select("source_file", "low", "high", F.size("hashes").alias("n_hashes"))
+
+
 # ---- checks -----------------------------------------------------------------------------------------
 
 def _damaged(led: Ledger) -> Ledger:

@@ -236,3 +236,19 @@ def resume_file(files: DataFrame, blocks: DataFrame) -> DataFrame:
     ``files`` has (source_file, block_hash), for example from input_file_name().
     """
     return files.join(blocks, "block_hash", "left_semi").agg(F.max("source_file").alias("source_file"))
+
+
+def file_summary(files: DataFrame) -> DataFrame:
+    """(source_file, low, high, hashes) per file, from (source_file, n_block, block_hash as bytes).
+
+    A file holds a bounded number of blocks, so its set of digests is one row.
+    """
+    return files.groupBy("source_file").agg(F.min("n_block").alias("low"), F.max("n_block").alias("high"),
+                                            F.sort_array(F.collect_set(F.xxhash64("block_hash"))).alias("hashes"))
+
+
+def resume_from_summary(summary: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The same as ``resume_file``, from the summaries of the files alone: no file is opened."""
+    held = summary.select("source_file", F.explode("hashes").alias("digest"))
+    stored = blocks.select(F.xxhash64("block_hash").alias("digest"))
+    return held.join(stored, "digest", "left_semi").agg(F.max("source_file").alias("source_file"))

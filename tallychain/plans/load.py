@@ -1,5 +1,8 @@
 """Loading nested block records into the store, in one Spark job per table."""
 
+import json
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,9 +10,10 @@ from tallychain import schemas
 from tallychain.functions import scalars as S
 from tallychain.operators import flatten, planning
 from tallychain.plans.refresh import refresh_all
-from tallychain.session import drop_folder, written
+from tallychain.session import drop_folder, exists, new_work_folder, read_text, write_text
 from tallychain.sources.store import BASE, LedgerStore, now
 
+RANGE_BLOCKS = 100_000  # blocks of a bulk load between two commits
 BROADCAST_ROWS = 1_000_000  # plain numbers or hashes: some tens of megabytes at most
 
 
@@ -18,8 +22,8 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def read_nested(spark, path: str) -> DataFrame:
-    return spark.read.schema(schemas.NESTED_BLOCK).parquet(path)
+def read_nested(spark, *paths: str) -> DataFrame:
+    return spark.read.schema(schemas.NESTED_BLOCK).parquet(*paths)
 
 
 def part_keys(nested: DataFrame) -> DataFrame:
@@ -38,7 +42,29 @@ def not_stored(source: DataFrame, parts: DataFrame) -> DataFrame:
     return part_keys(source).join(known, ["block_key", "part_key"], "left_anti").drop("block_key", "part_key")
 
 
-def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at=None) -> bool:
+class Progress:
+    """What a load has done, as small files in a folder: records staged, then one mark for each table that has them."""
+
+    def __init__(self, store: LedgerStore, folder: str):
+        self.spark, self.folder = store.spark, folder
+
+    def done(self, step: str) -> bool:
+        return exists(self.spark, f"{self.folder}/{step}")
+
+    def mark(self, step: str):
+        write_text(self.spark, f"{self.folder}/{step}", "")
+
+    def records(self, nested: DataFrame) -> DataFrame:
+        """The records as a table; staged before, they are not read from their source again."""
+        if not exists(self.spark, f"{self.folder}/records/_SUCCESS"):
+            nested.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.folder}/records")
+        return self.spark.read.schema(nested.schema).parquet(f"{self.folder}/records")
+
+    def drop(self):
+        drop_folder(self.spark, self.folder)
+
+
+def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at=None, progress: Progress = None) -> bool:
     """Append blocks with known heights; by default bring turnover up to date afterwards.
 
     Change points move back and the blocks are named as changed first, block rows and the list of stored
@@ -46,10 +72,12 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
     unprocessed.  The blocks are named again when their rows are stored, as a refresh may have come between.
     Buckets lose their mark of holding one version of every row while they are written to, and get it back
     where the records cannot have brought a second one.
-    The records are written once and every table reads its own columns of them.
+    The records are written once and every table reads its own columns of them.  With the ``progress`` of an interrupted
+    load, tables that have the records are left out.
     """
     at = at or now()
-    nested, folder = written(nested, "insert")
+    steps = progress or Progress(store, new_work_folder(store.spark, "insert"))
+    nested = steps.records(nested)
     first_block = planning.block_bounds(nested).first()["min_block"]
     if first_block is not None:
         store.move_back(first_block)
@@ -57,19 +85,27 @@ def insert_blocks(store: LedgerStore, nested: DataFrame, update: bool = True, at
         touched, single = store.stay_single(nested)
         for table in BASE:
             store.mark_single(table, touched, False)
-        store.append("tran_in", flatten.flatten_inputs(nested, at))
-        store.append("tran_out", flatten.flatten_outputs(nested, at))
         # Only transactions with outputs can be spent.
         listed = nested.select("n_block", F.explode("transactions").alias("t")).where(F.exists("t.outputs", lambda o: o.isNotNull()))
-        store.append("tx_block", listed.select(S.hash32(F.col("t.tx_id")).alias("tx_id"), "n_block").distinct())
-        store.append("blocks", flatten.flatten_blocks(nested, at).distinct())
-        keys = part_keys(nested).select(F.col("block_key").alias("block_hash"), F.col("part_key").alias("part"), "n_block")
+        rows = {
+            "tran_in": flatten.flatten_inputs(nested, at),
+            "tran_out": flatten.flatten_outputs(nested, at),
+            "tx_block": listed.select(S.hash32(F.col("t.tx_id")).alias("tx_id"), "n_block").distinct(),
+            "blocks": flatten.flatten_blocks(nested, at).distinct(),
+        }
+        for table, df in rows.items():
+            if not steps.done(table):
+                store.append(table, df)
+                steps.mark(table)
         for table in BASE:
             store.mark_single(table, single, True)
         store.note_changes(nested, noted)
-        store.append("parts", keys.distinct())
+        keys = part_keys(nested).select(F.col("block_key").alias("block_hash"), F.col("part_key").alias("part"), "n_block")
+        if not steps.done("parts"):
+            store.append("parts", keys.distinct())
+            steps.mark("parts")
         store.merge_index()
-    drop_folder(store.spark, folder)
+    steps.drop()
     if update and first_block is not None:
         refresh_all(store)
     return first_block is not None
@@ -87,7 +123,28 @@ def load_new(store: LedgerStore, source: DataFrame, update: bool = True, at=None
     return insert_blocks(store, behind, update, at)
 
 
-def bulk_load(store: LedgerStore, source: DataFrame, end_height: int = None, at=None) -> bool:
-    """Load all blocks up to ``end_height``, and parts of them, that are not stored; turnover is refreshed separately."""
+def bulk_load(store: LedgerStore, source: DataFrame, end_height: int = None, at=None, range_blocks: int = RANGE_BLOCKS) -> bool:
+    """Load all blocks up to ``end_height``, and parts of them, that are not stored; turnover is refreshed separately.
+
+    The load goes range by range and keeps a record of its progress in the store.  Called again after an interruption it
+    goes on: finished ranges are not read again, and of the open one only what is missing is written.  Then it
+    looks for what else the source has by now.
+    """
+    spark, folder = store.spark, store.folder("loads/bulk")
     chosen = source if end_height is None else source.where(F.col("n_block") <= end_height)
-    return insert_blocks(store, not_stored(chosen, store.read("parts")), update=False, at=at)
+    goes_on = exists(spark, f"{folder}/plan.json")
+    if not goes_on:
+        number = F.floor(F.col("n_block") / range_blocks).cast("long")
+        ranges = [r[0] for r in chosen.where("n_block IS NOT NULL").select(number.alias("r")).distinct().orderBy("r").collect()]  # one per range
+        write_text(spark, f"{folder}/plan.json", json.dumps({"ranges": ranges, "blocks": range_blocks, "at": (at or now()).isoformat()}))
+    plan = json.loads(read_text(spark, f"{folder}/plan.json"))
+    size, done, found = plan["blocks"], Progress(store, f"{folder}/done"), False
+    for number in plan["ranges"]:
+        if not done.done(str(number)):
+            part = planning.blocks_in_range(chosen, number * size, (number + 1) * size - 1)
+            new = not_stored(part, store.read("parts"))
+            progress = Progress(store, f"{folder}/range-{number}")
+            found = insert_blocks(store, new, update=False, at=datetime.fromisoformat(plan["at"]), progress=progress) or found
+            done.mark(str(number))
+    drop_folder(spark, folder)
+    return bulk_load(store, source, end_height, at, range_blocks) or found if goes_on else found

@@ -64,6 +64,9 @@ CHANGED = _struct(n_block=_L)
 # Signed differences of monthly sums that a refresh of turnover leaves for the months.
 MONTH_DELTA = _struct(time_month=T.DateType(), address=_S, sats=_L, n_rows=_L)
 
+# Source files: their smallest and largest height and a 64-bit digest of each block hash in them.
+SOURCE_FILES = _struct(source_file=_S, low=_L, high=_L, hashes=T.ArrayType(_L))
+
 # Totals of addresses, or what they change by.
 TOTALS = _struct(address=_S, sats=_L, n_rows=_L)
 

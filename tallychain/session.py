@@ -64,6 +64,11 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = filesystem(spark, path)
+    return fs.exists(p)
+
+
 def write_text(spark: SparkSession, path: str, text: str):
     """A small text in a file: written aside first, so that whoever sees the file sees all of it."""
     fs, aside = filesystem(spark, path + ".new")

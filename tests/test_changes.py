@@ -11,6 +11,7 @@ from tallychain.operators import balances, latest
 from tallychain.operators.turnover import month_sums, turnover
 from tallychain.plans import load, refresh, totals, unspent
 from tallychain.sources.store import Staged
+from tallychain.streaming.loader import fold_waiting, load_batch, load_files, summarise_files, waiting_blocks
 from tests import micro as m
 from tests.test_refresh import assert_fresh, deliver
 
@@ -278,3 +279,97 @@ def test_an_interrupted_load_leaves_no_mark(store, monkeypatch):
     deliver(store, chain)
     assert store.single_buckets("tran_in") == ((), False)
     assert_fresh(store)
+
+
+@pytest.mark.parametrize("table", ["tran_in", "tran_out", "blocks", "parts"])
+def test_interrupted_bulk_load_goes_on(spark, store, monkeypatch, table):
+    """It stops between two tables of the second range; then the first range is not read again, nor is a finished table written."""
+    chain = m.chain(12)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(version):
+        read.add(1)
+        return version
+
+    source = m.nested(spark, chain).repartition(4, "n_block").withColumn("version", counted("version"))
+    real, written_to = type(store).append, []
+
+    def stops(self, name, df):
+        if written_to.count(name) == 1 and name == table:
+            raise RuntimeError("lost")
+        written_to.append(name)
+        real(self, name, df)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(store), "append", stops)
+        with pytest.raises(RuntimeError):
+            load.bulk_load(store, source, range_blocks=6)
+    first, before = read.value, list(written_to)
+    assert first == 12
+    monkeypatch.setattr(type(store), "append", lambda self, name, df: (written_to.append(name), real(self, name, df)))
+    load.bulk_load(store, source, range_blocks=6)
+    assert read.value == first  # the records were staged; a last look at the source needs hashes only
+    assert [t for t in written_to[len(before):] if t in before[5:]] == []
+    refresh_all(store)
+    assert store.read("tran_out").count() == sum(len(t["outputs"]) for b in chain for t in b["transactions"])
+    assert_fresh(store)
+    assert not os.path.exists(store.folder("loads/bulk"))
+
+
+def test_waiting_records_stay_until_their_parent_comes(spark, store):
+    """Only what is new is written; a batch that brings no parent leaves the pool as it is."""
+    chain = m.chain(8, height=False)
+    load_batch(store, m.nested(spark, chain[4:6]))
+    first = files(store, "waiting")
+    load_batch(store, m.nested(spark, chain[6:]))
+    assert set(first) < set(files(store, "waiting"))
+    now = files(store, "waiting")
+    load_batch(store, m.nested(spark, chain[4:]))     # all of them wait already
+    load_batch(store, m.nested(spark, []))
+    assert files(store, "waiting") == now and store.read("blocks").isEmpty()
+    load_batch(store, m.nested(spark, chain[:3]))
+    assert files(store, "waiting") == now and waiting_blocks(store).count() == 4
+    load_batch(store, m.nested(spark, chain[3:4]))    # the whole chain follows
+    assert not files(store, "waiting") and sorted(r.n_block for r in store.read("blocks").collect()) == list(range(8))
+    assert_fresh(store)
+
+
+def test_waiting_records_are_folded(spark, store):
+    chain = m.chain(7, height=False)
+    for b in chain[3:]:
+        load_batch(store, m.nested(spark, [b]), update=False)
+    assert fold_waiting(store, beyond=2) and len(store._listed("waiting")) == 1
+    assert waiting_blocks(store).count() == 4
+    load_batch(store, m.nested(spark, chain[:3]))
+    assert_fresh(store)
+
+
+def test_resuming_opens_no_older_file(spark, store, tmp_path):
+    chain = m.chain(9, height=False)
+    folder = tmp_path / "files"
+    for number in range(3):
+        m.nested(spark, chain[3 * number:3 * number + 3]).coalesce(1).write.parquet(str(folder / f"part={number}"))
+    load_files(store, str(folder / "*"), resume=True)
+    summary = summarise_files(store, str(folder / "*"))
+    assert summary.count() == 3 and sorted(len(r.hashes) for r in summary.collect()) == [3, 3, 3]
+    before = files(store, "source_files")
+    for name in os.listdir(folder / "part=0"):   # what is left of the oldest file is its name
+        if name.endswith(".parquet"):
+            open(folder / "part=0" / name, "wb").write(b"gone")
+        elif name.endswith(".crc"):
+            os.remove(folder / "part=0" / name)
+    m.nested(spark, m.chain(11, height=False)[9:]).coalesce(1).write.parquet(str(folder / "part=3"))
+    load_files(store, str(folder / "*"), resume=True)
+    assert sorted(r.n_block for r in store.read("blocks").collect()) == list(range(11))
+    assert len(files(store, "source_files")["."]) == len(before["."]) + 1
+
+
+def test_many_small_loads_leave_few_files(store):
+    chain = m.chain(12)
+    for k in range(12):
+        load.insert_blocks(store, m.nested(store.spark, [chain[k]]), update=False)
+        store.merge_index(8)
+    refresh_all(store)
+    assert sum(map(len, files(store, "tx_block").values())) <= 40
+    assert_fresh(store)
