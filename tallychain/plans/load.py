@@ -127,24 +127,21 @@ def bulk_load(store: LedgerStore, source: DataFrame, end_height: int = None, at=
     """Load all blocks up to ``end_height``, and parts of them, that are not stored; turnover is refreshed separately.
 
     The load goes range by range and keeps a record of its progress in the store.  Called again after an interruption it
-    goes on: finished ranges are not read again, and of the open one only what is missing is written.  Then it
-    looks for what else the source has by now.
+    goes on: finished ranges are not read again but for their block numbers, and of the open one only what is missing
+    is written.  Records that came into finished ranges meanwhile are loaded by the next call.
     """
     spark, folder = store.spark, store.folder("loads/bulk")
     chosen = source if end_height is None else source.where(F.col("n_block") <= end_height)
-    goes_on = exists(spark, f"{folder}/plan.json")
-    if not goes_on:
-        number = F.floor(F.col("n_block") / range_blocks).cast("long")
-        ranges = [r[0] for r in chosen.where("n_block IS NOT NULL").select(number.alias("r")).distinct().orderBy("r").collect()]  # one per range
-        write_text(spark, f"{folder}/plan.json", json.dumps({"ranges": ranges, "blocks": range_blocks, "at": (at or now()).isoformat()}))
+    if not exists(spark, f"{folder}/plan.json"):
+        write_text(spark, f"{folder}/plan.json", json.dumps({"blocks": range_blocks, "at": (at or now()).isoformat()}))
     plan = json.loads(read_text(spark, f"{folder}/plan.json"))
     size, done, found = plan["blocks"], Progress(store, f"{folder}/done"), False
-    for number in plan["ranges"]:
+    ranges = chosen.where("n_block IS NOT NULL").select(F.floor(F.col("n_block") / size).cast("long").alias("r")).distinct().orderBy("r")
+    for number in [row["r"] for row in ranges.collect()]:  # one per range
         if not done.done(str(number)):
-            part = planning.blocks_in_range(chosen, number * size, (number + 1) * size - 1)
-            new = not_stored(part, store.read("parts"))
+            new = not_stored(planning.blocks_in_range(chosen, number * size, (number + 1) * size - 1), store.read("parts"))
             progress = Progress(store, f"{folder}/range-{number}")
             found = insert_blocks(store, new, update=False, at=datetime.fromisoformat(plan["at"]), progress=progress) or found
             done.mark(str(number))
     drop_folder(spark, folder)
-    return bulk_load(store, source, end_height, at, range_blocks) or found if goes_on else found
+    return found
