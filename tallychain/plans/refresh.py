@@ -82,11 +82,11 @@ def refresh_turnover(store: LedgerStore) -> bool:
     since, point = _place(log, "turnover"), _point(log, "turnover")
     changed, notes = store.changed()
     ledger = store.ledger()
-    top = planning.block_bounds(ledger.blocks).first()["max_block"]
-    if top is None:
-        return False
     consumed = [f"{store.folder('changed')}/{n}" for n in notes]
+    top = None if notes and point is not None else planning.block_bounds(ledger.blocks).first()["max_block"]
     if point is None:
+        if top is None:
+            return False
         store.log_point("turnover_m", -1, "rewind")  # the months start anew as well
         store.replace_turnover(turnover(ledger))
         for kept, build in ((is_kept, build_unspent), (are_kept, build_totals)):
@@ -96,7 +96,10 @@ def refresh_turnover(store: LedgerStore) -> bool:
         for folder in consumed:
             drop_folder(store.spark, folder)
         return True
-    if not notes and point < top:  # not known from loads
+    if not notes:
+        if top is None or point >= top:
+            return False
+        # Not known from loads: everything behind the change point.
         changed = ledger.between(point + 1).blocks.select("n_block").distinct()
     done = log["turnover"]["refresh"]["top"]
     done = point if done is None else done
@@ -105,6 +108,7 @@ def refresh_turnover(store: LedgerStore) -> bool:
     if not bounds:
         return False
     first = min(r["low"] for r in bounds.values())
+    top = max(done, *[r["high"] for r in bounds.values()])
 
     late, again = changed.where(F.col("n_block") <= done), []
     if first <= done:
@@ -162,11 +166,12 @@ def refresh_turnover_m(store: LedgerStore) -> bool:
     log = store.log()
     since, done, point = _place(log, "turnover_m"), _point(log, "turnover"), _point(log, "turnover_m")
     ledger = store.ledger()
-    last = planning.last_completed_month(ledger).first()[0]
-    if last is None or done is None:
+    months = {r["month"]: r for r in month_bounds(ledger).collect()}  # one row per calendar month
+    if not months or done is None:
         return False
+    last = previous_month(max(months))
     deltas = [f"{store.folder('month_delta')}/{n}" for n in store._listed("month_delta")]
-    reached = min(covered_block(ledger, last), done)
+    reached = min(covered(months, last), done)
     if point is None:
         store.replace_turnover_m(month_sums(store.read("turnover")))
         store.log_refresh("turnover_m", reached, since, month=last)
@@ -187,17 +192,28 @@ def refresh_turnover_m(store: LedgerStore) -> bool:
     return True
 
 
-def covered_block(ledger: Ledger, last: date) -> int:
-    """Greatest block such that it and all blocks below it lie in complete months.
+def month_bounds(ledger: Ledger) -> DataFrame:
+    """(month, low, high): smallest and greatest block with a time in each month."""
+    times = block_times(ledger)
+    return times.groupBy(S.month_start(F.col("time")).alias("month")).agg(F.min("n_block").alias("low"), F.max("n_block").alias("high"))
+
+
+def previous_month(month: date) -> date:
+    return date(month.year - (month.month == 1), (month.month - 2) % 12 + 1, 1)
+
+
+def covered(months: dict, last: date) -> int:
+    """Greatest block such that it and all blocks below it lie in months up to ``last``.
 
     Block times are not monotone, so this is the block before the first one of the open
     month, not the newest block of the complete months.
     """
-    times = block_times(ledger)
-    end = S.as_type_of(times, "time", S.next_month(F.lit(last)))
-    row = times.agg(F.min(F.when(F.col("time") >= end, F.col("n_block"))).alias("first_open"),
-                    F.max("n_block").alias("top")).first()
-    return row["top"] if row["first_open"] is None else row["first_open"] - 1
+    first_open = [r["low"] for month, r in months.items() if month > last]
+    return min(first_open) - 1 if first_open else max(r["high"] for r in months.values())
+
+
+def covered_block(ledger: Ledger, last: date) -> int:
+    return covered({r["month"]: r for r in month_bounds(ledger).collect()}, last)
 
 
 def refresh_all(store: LedgerStore) -> None:
