@@ -189,14 +189,15 @@ def test_late_block_during_a_refresh_is_processed(store, monkeypatch):
     chain = m.chain(10)
     deliver(store, chain[:3] + chain[4:])
     deliver(store, [chain[9]])
-    replace_turnover = LedgerStore.replace_turnover
+    log_refresh = LedgerStore.log_refresh
 
     def slow(self, *args):
-        monkeypatch.setattr(LedgerStore, "replace_turnover", replace_turnover)
-        replace_turnover(self, *args)
+        """The rows are in place, the log is not written yet."""
+        monkeypatch.setattr(LedgerStore, "log_refresh", log_refresh)
         load.insert_blocks(self, m.nested(self.spark, [chain[3]]), update=False)
+        log_refresh(self, *args)
 
-    monkeypatch.setattr(LedgerStore, "replace_turnover", slow)
+    monkeypatch.setattr(LedgerStore, "log_refresh", slow)
     store.rewind(5)
     refresh.refresh_turnover(store)
     assert store.logged_points()["turnover"] == 2
