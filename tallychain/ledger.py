@@ -63,3 +63,11 @@ class Ledger:
             tran_in=self.tran_in.join(block_ids, "n_block", "left_semi"),
             tran_out=self.tran_out.join(block_ids, "n_block", "left_semi"),
         )
+
+    def of_transactions(self, ids: DataFrame) -> "Ledger":
+        """All blocks, and the inputs and outputs of the given transactions (column tx_id)."""
+        return replace(
+            self,
+            tran_in=self.tran_in.join(ids, "tx_id", "left_semi"),
+            tran_out=self.tran_out.join(ids, "tx_id", "left_semi"),
+        )

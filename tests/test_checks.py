@@ -85,3 +85,17 @@ def test_messages_are_limited_but_counts_are_not(spark):
     report = spark.range(250).select(F.lit(6).alias("check"), F.col("id").cast("string").alias("key"), F.lit("lost").alias("detail"))
     lines = messages(report, limit=100)
     assert lines[0] == "check 6: 250 violations" and len(lines) == 101
+
+
+def test_only_absent_transactions_are_looked_at(spark):
+    """A complete table leaves no candidate but those whose movements cancel out; a lost row makes just its own one."""
+    led, rows = good(spark)
+    whole = {r.tx_id for r in checks.absent_transactions(led, rows).collect()}
+    assert whole == {r.tx_id for r in led.tran_out.collect()} - {r.tx_id for r in rows.collect()}
+    lost = turnover.tx_net(led).where("n_block = 3").first().tx_id
+    cut = rows.where(F.col("tx_id") != F.lit(lost))
+    assert {r.tx_id for r in checks.absent_transactions(led, cut).collect()} == whole | {lost}
+    assert m.rows(checks.turnover_complete(led, cut), "n_block", "n_outputs") == [
+        (3, led.tran_out.where(F.col("tx_id") == F.lit(lost)).select("tx_id", "output_index").distinct().count())]
+    assert checks.turnover_complete(led, rows).isEmpty()
+    assert checks.turnover_complete(led, rows, 1, 3).isEmpty()
