@@ -34,7 +34,38 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
      "not distributed with this file, You can obtain one at"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) "
+     "any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+     "option) any later version."),
+    ("LGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+     "option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+     "option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+     "which is available at"),
+    ("CC0-1.0-notice", "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and "
+     "related or neighboring rights to this work."),
+    ("BSD-notice", "Released under the BSD License."),
+    ("GPL-2.0-notice", "This work is licensed under the GNU General Public License, version 2."),
+    ("CC-BY-4.0-line", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0-line", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0-line", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0-line", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0-line", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-ND-4.0-notice", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-4.0-long", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-SA-4.0-notice",
+     "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0-notice",
+     "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
 )
+# Words that tell one license from its relatives.
+DECISIVE = "affero agpl apache bsd cc cc0 eclipse epl gpl isc lesser lgpl mit mozilla mpl nc nd noderivatives noderivs noncommercial sa sharealike unlicense"
 COVERAGE = 0.8
 
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -45,6 +76,21 @@ def license_words(text):
     return _WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
 
 
+_DECISIVE = frozenset(license_words(DECISIVE))
+
+
+def says_the_same(template, words, pairs):
+    """Whether an aligned stretch of words names the license of the template and no other one.
+
+    All decisive words and version numbers of the template must be aligned (a 0 ends a version without changing
+    it), and every decisive word from the first to the last aligned word of the stretch.
+    """
+    of_template, of_words = {i for i, _ in pairs}, {j for _, j in pairs}
+    if any(i not in of_template and (w in _DECISIVE or w.isdigit() and w != b"0") for i, w in enumerate(template)):
+        return False
+    return not any(words[j] in _DECISIVE and j not in of_words for j in range(pairs[0][1], pairs[-1][1] + 1))
+
+
 def increasing(pairs):
     """A longest run of pairs, given by ascending first place, whose second places ascend as well."""
     tails, at, back = [], [], []
@@ -109,11 +155,11 @@ class Scanner:
             self.member[t, [self.known[w] for w in ws]] = True
 
     def scan(self, text):
-        """(license, coverage, first word, end word) of every notice in a text, in order.
+        """(license, coverage, first word, end word, aligned share of its words) of every notice in a text, in order.
 
         A notice is a stretch of words that begins and ends with aligned words, is no longer than
-        the template divided by the coverage, and in which at least that share of the template's
-        words is aligned.  Such a stretch holds as many words of the template's vocabulary, so
+        the template divided by the coverage, in which at least that share of the template's
+        words is aligned, and which names the same license (``says_the_same``).  Such a stretch holds as many words of the template's vocabulary, so
         only places from which enough of them follow are aligned at all; none is missed by that.
         """
         words = license_words(text)
@@ -137,14 +183,14 @@ class Scanner:
             for start in enough.tolist():
                 if start < past:
                     continue
-                pairs = patience(template, words[start:start + reach])
-                if len(pairs) >= need:
+                window = words[start:start + reach]
+                pairs = patience(template, window)
+                if len(pairs) >= need and says_the_same(template, window, pairs):
                     start, pairs = self._whole(template, words, start, pairs, enough, reach)
                     first, past = start + pairs[0][1], start + pairs[-1][1] + 1
-                    found.append((name, len(pairs) / len(template), first, past))
+                    found.append((name, len(pairs) / len(template), first, past, len(pairs) / (past - first)))
         return sorted(found, key=lambda x: (x[2], x[0]))
 
-
     def _whole(self, template, words, start, pairs, starts, reach):
         """The start and alignment of a found notice with most words aligned, on ties in the shortest stretch.
 
@@ -156,8 +202,9 @@ class Scanner:
         for other in starts[np.searchsorted(starts, start, "right"):np.searchsorted(starts, end)].tolist():
             if best[0] == len(template) == 1 - best[1]:
                 break
-            tried = patience(template, words[other:other + reach])
-            if 2 * sum(other + j < end for _, j in tried) >= len(tried) > 0:
+            window = words[other:other + reach]
+            tried = patience(template, window)
+            if 2 * sum(other + j < end for _, j in tried) >= len(tried) > 0 and says_the_same(template, window, tried):
                 best = max(best, (len(tried), tried[0][1] - tried[-1][1], other, tried), key=lambda x: x[:2])
         return best[2:]
 
@@ -165,8 +212,9 @@ class Scanner:
 def scan(docs, templates=TEMPLATES, coverage=COVERAGE):
     """(doc_id, licenses, best_license, best_coverage, notices) of every row.
 
-    ``notices`` lists (license, coverage, begin, end) with places in words; ``licenses`` the distinct
-    names by name.  The best one has the most coverage, on ties the earlier place, then the name.
+    ``notices`` lists (license, coverage, begin, end, share) with places in words; coverage is the aligned
+    share of the template, share that of the words from begin to end.  ``licenses`` are the distinct names by
+    name.  The best one covers most, on ties with the larger share, then the earlier place, then the name.
     Null and empty texts have none.  Repeated rows have a row each, an empty table none.
     """
     def run(batches):
@@ -175,15 +223,15 @@ def scan(docs, templates=TEMPLATES, coverage=COVERAGE):
             out = []
             for text in pdf["text"]:
                 found = scanner.scan(text)
-                best = min(found, key=lambda x: (-x[1], x[2], x[0]), default=(None, None))
-                out.append((sorted({f[0] for f in found}), best[0], best[1], [dict(zip(("license", "coverage", "begin", "end"), f)) for f in found]))
+                best = min(found, key=lambda x: (-x[1], -x[4], x[2], x[0]), default=(None, None))
+                out.append((sorted({f[0] for f in found}), best[0], best[1], [dict(zip(("license", "coverage", "begin", "end", "share"), f)) for f in found]))
             yield pd.DataFrame(out, columns=["licenses", "best_license", "best_coverage", "notices"]).assign(
                 no_id=pdf["no_id"].to_numpy(), doc_id=pdf["doc_id"].to_numpy()
             )
 
     rows = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), "text")
     schema = ("doc_id long, no_id boolean, licenses array<string>, best_license string, best_coverage double, "
-              "notices array<struct<license:string,coverage:double,begin:int,end:int>>")
+              "notices array<struct<license:string,coverage:double,begin:int,end:int,share:double>>")
     return rows.mapInPandas(run, schema).select(
         F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "licenses", "best_license", "best_coverage", "notices"
     )

@@ -72,6 +72,42 @@ def test_a_long_notice_after_prose_is_aligned_whole(name):
     assert [f[0] for f in twice].count(name) == 2
 
 
+HEADER = ("This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free "
+          "Software Foundation, either version {version} of the License, or (at your option) any later version.")
+
+
+@pytest.mark.parametrize("text, names", [
+    (HEADER.format(what="program", kind="Affero General Public License", version="3"), ["AGPL-3.0-or-later"]),
+    (HEADER.format(what="program", kind="General Public License", version="2"), ["GPL-2.0-or-later"]),
+    (HEADER.format(what="program", kind="General Public License", version="3"), ["GPL-3.0-or-later"]),
+    (HEADER.format(what="library", kind="Lesser General Public License", version="2.1"), ["LGPL-2.1-or-later"]),
+    (HEADER.format(what="library", kind="Lesser General Public License", version="3"), ["LGPL-3.0-or-later"]),
+    (HEADER.format(what="library", kind="Lesser General Public License", version="7"), []),
+    ("Licensed under CC BY 4.0.", ["CC-BY-4.0-line"]),
+    ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0-notice"]),
+    ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0-line"]),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0-notice"]),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", ["CC-BY-ND-4.0-notice"]),
+    ("Released under the BSD License.", ["BSD-notice"]),
+    ("Released under the Zope License.", []),
+    ("Licensed under the Apache License, Version 1.1", []),
+    ("Licensed under the Apache License, Version 2", ["Apache-2.0-notice"]),
+    ("Released under the MIT License. Released under the BSD License.", ["BSD-notice", "MIT-notice"]),
+])
+def test_relatives_of_a_license_are_told_apart(text, names):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    for around in ("{}", "we like the software of this work {} and any other license of the public"):
+        assert sorted({f[0] for f in scanner.scan(around.format(text))}) == names
+
+
+def test_every_template_is_found_in_itself_whole_and_best(make_docs):
+    got = {r.doc_id: r for r in licenses.scan(make_docs(rows_of([text for _, text in licenses.TEMPLATES]))).collect()}
+    for n, (name, text) in enumerate(licenses.TEMPLATES):
+        (whole,) = [x for x in got[n].notices if x.license == name]
+        assert (whole.coverage, whole.share, whole.begin, whole.end) == (1, 1, 0, len(licenses.license_words(text)))
+        assert got[n].best_coverage == 1
+
+
 def test_license_query_equals_a_search_for_the_notices(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = {r.doc_id: set(r.licenses) for r in QUERIES["op6_licenses"](spark, sf_dir).collect()}
