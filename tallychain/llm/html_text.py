@@ -33,11 +33,13 @@ CONTAINERS = frozenset("html body main article section div table tbody tr td cen
 OUTSIDE = frozenset("head script style noscript template button select textarea iframe svg object canvas title".split())
 DOUBTFUL = frozenset("nav footer aside form menu dialog".split())
 NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation navigator menu menubar "
-    "topbar breadcrumb breadcrumbs sidebar aside rail footer foot masthead contentinfo complementary comment comments commentlist "
-    "disqus replies reply respond discussion cookie cookies consent gdpr notice notices alert toolbar newsletter subscribe subscription signup login "
-    "search share sharing social related recommended recommendations widget popup modal overlay pagination pager skip".split()
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo banner nav navbar navigation navigator menu menubar "
+    "topbar breadcrumb breadcrumbs sidebar aside footer masthead contentinfo complementary comment comments commentlist "
+    "disqus replies respond cookie cookies consent gdpr notice notices alert toolbar newsletter subscribe signup login "
+    "share sharing pagination pager popup modal".split()
 )
+# Names that parts of articles have as well: with links for most of their text only.
+VAGUE = frozenset("promotion rail foot reply discussion subscription search social related recommended recommendations widget overlay skip".split())
 HEADER_NAMES = frozenset("header head pageheader siteheader".split())
 
 _TOKEN = re.compile(
@@ -46,14 +48,15 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
+_NUMBER, _LONG_NUMBER = re.compile("[0-9]+"), re.compile("[0-9]{3,}")
 
 
 class Node:
-    __slots__ = ("tag", "path", "outside", "doubtful", "parent", "link", "mass", "light")
+    __slots__ = ("tag", "path", "outside", "doubtful", "parent", "link", "mass", "length", "light")
 
     def __init__(self, tag, path, outside, doubtful, parent, link):
         self.tag, self.path, self.outside, self.doubtful, self.parent, self.link = tag, path, outside, doubtful, parent, link
-        self.mass, self.light = 0, False
+        self.mass, self.length, self.light = 0, 0, False
 
 
 def _above(node):
@@ -75,14 +78,28 @@ def _outside(tag, attributes):
 
 
 def _doubtful(tag, attributes, parent):
-    """Whether an element's tag or names are those of what often is no part of an article."""
+    """Whether an element's tag or names are those of what often is no part of an article; None: it is if links fill most of it."""
     if tag in DOUBTFUL:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
     words = set(_SPLIT.split(" ".join(attributes.get(k) or "" for k in ("class", "id", "role")).lower()))
     header = tag == "header" or bool(words & HEADER_NAMES)
-    return bool(words & NAMES) or header and not any(n.tag in ("article", "main") for n in _above(parent))
+    if words & NAMES or header and not any(n.tag in ("article", "main") for n in _above(parent)):
+        return True
+    return None if words & VAGUE else False
+
+
+def _mark(tag, attributes):
+    """What names an element in a path: tag, classes and id, without what may stand for one page.
+
+    Numbers in an id and numbers of three digits or more in a class become 0; an id of more than three
+    words, such as a title, is left out.
+    """
+    classes = sorted({_LONG_NUMBER.sub("0", w) for w in (attributes.get("class") or "").split()})
+    name = attributes.get("id") or ""
+    name = "" if len(_SPLIT.split(name.lower().strip("-_"))) > 3 else _NUMBER.sub("0", name)
+    return "".join([tag, *("." + w for w in classes), "#" + name if name else ""])
 
 
 def parse(html):
@@ -169,8 +186,7 @@ def parse(html):
             continue
         attributes = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(m[3])} if m[3].strip(" /\n\t\r") else {}
         parent = stack[-1]
-        mark = tag + "".join("." + w for w in sorted((attributes.get("class") or "").split())) + ("#" + attributes["id"] if attributes.get("id") else "")
-        node = Node(tag, f"{parent.path}>{mark}", parent.outside or _outside(tag, attributes), _doubtful(tag, attributes, parent), parent, parent.link or tag == "a")
+        node = Node(tag, f"{parent.path}>{_mark(tag, attributes)}", parent.outside or _outside(tag, attributes), _doubtful(tag, attributes, parent), parent, parent.link or tag == "a")
         if not node.outside:
             nodes.append(node)
         if tag in RAW:
@@ -185,9 +201,11 @@ def parse(html):
     for text, holder, linked in blocks:
         for node in _above(holder):
             node.mass += len(text) - linked
+            node.length += len(text)
     total = sum(len(text) - linked for text, _, linked in blocks)
     for node in nodes:
-        node.light = node.doubtful and 2 * node.mass < total
+        doubtful = 2 * node.mass < node.length if node.doubtful is None else node.doubtful
+        node.light = doubtful and 2 * node.mass < total
     return nodes, blocks
 
 
@@ -250,8 +268,8 @@ def extract(page, template):
     that have it once, mass over all articles, class); None lets the page be its own template.
     Tokens with equal occurrences over all articles are one class.  What occurs once in an article
     is the frame, and each element of it a slot.  From the outermost element the way goes down to
-    the slot that holds most of the host's text which is neither link nor template; where none
-    does, an article or main element decides, if no other slot beside it holds more.  An element
+    the slot that holds most of the text, neither link nor template, of those of the host's articles
+    that have it, so a host may have several layouts; where none does, an article or main element decides, if no other slot beside it holds more.  An element
     in the slot that holds nothing but records, which are repeated elements of a class with two or
     more parts, is a slot of its own.  Paths are nested, so a class is nested by the paths of its
     members; their order among siblings does not matter to what an element holds.
@@ -262,7 +280,7 @@ def extract(page, template):
     paths = {node.path: node for node in nodes}
     known = {path: template[t] for path in paths if (t := token(path)) in template}
     fixed, mass = set(), Counter({path: k[2] for path, k in known.items()})
-    total = template[ROOT][2] if ROOT in template else 0
+    among, _, total, _ = template.get(ROOT, (1, 0, 0, None))
     for path, text, holder in {(h.path, t): (h.path, t, h) for t, h, _ in blocks}.values():
         at = template.get(token(path, text))
         if at and at[0] >= SHARED and at[0] >= SHARE * known.get(path, at)[0]:
@@ -276,7 +294,7 @@ def extract(page, template):
     while total > 0:
         if chosen and paths[chosen].tag in ("article", "main"):
             break
-        below = [p for p in frame if p != chosen and (chosen is None or p.startswith(chosen + ">")) and mass[p] >= 0.6 * total]
+        below = [p for p in frame if p != chosen and (chosen is None or p.startswith(chosen + ">")) and mass[p] * among >= 0.6 * total * known[p][0]]
         if not below:
             marked = [p for p in frame if paths[p].tag in ("article", "main") and (chosen is None or p.startswith(chosen + ">"))]
             best = max(marked, key=lambda p: (mass[p], p), default=None)
@@ -285,7 +303,7 @@ def extract(page, template):
                 chosen = best
             break
         chosen = min(below, key=lambda p: (p.count(">"), paths[p].tag not in ("article", "main"), -mass[p], p))
-        total = mass[chosen]
+        total, among = mass[chosen], known[chosen][0]
     sets = _record_sets(paths, known, mass, chosen)
 
     def inside(holder):

@@ -219,3 +219,30 @@ def test_pages_of_the_table(spark, sf_dir):
     got = {r.page_id: r for r in QUERIES["op7_html"](spark, sf_dir).collect()}
     assert set(got) == set(pages) and all(r.n_chars == len(r.text) for r in got.values())
     assert all("<" not in r.text.replace("<", "", 0) or "&lt;" in pages[i] for i, r in got.items())
+
+
+@pytest.mark.parametrize("name", ['id="post-{0}"', 'id="a-long-way-from-page-{1}"', 'id="entry"'])
+def test_ids_of_single_pages_hide_no_slot(spark, name):
+    page = "<body><div class='story' " + name + "><p>{2}</p><p>{3}</p></div><div class='below'><p>Reader {0} says {1}</p></div></body>"
+    pages = [page.format(n, f"w{n}x", prose(n), prose(n + 50)) for n in range(12)]
+    assert main_text_of(spark, pages) == [f"{prose(n)}\n{prose(n + 50)}" for n in range(12)]
+
+
+def test_a_host_may_have_two_layouts(spark):
+    one = "<body><div class='story'><p>{0}</p><p>{1}</p></div><div class='below'><p>Reader {2} says so</p></div></body>"
+    two = "<body><div class='wide'><div class='text'><p>{0}</p><p>{1}</p></div><div class='talk'><p>{2} was first</p></div></div></body>"
+    pages = [(one, two)[n % 2].format(prose(n), prose(n + 50), n) for n in range(12)]
+    assert main_text_of(spark, pages) == [f"{prose(n)}\n{prose(n + 50)}" for n in range(12)]
+
+
+@pytest.mark.parametrize("name", ["discussion", "related-work", "skip-list", "box7"])
+def test_parts_of_an_article_stay_whatever_their_names(spark, name):
+    page = "<body><div class='story'><p>{1}</p><section class='" + name + "'><h2>More of {0}</h2><p>{2}</p></section></div><div class='below'><p>Reader {0}</p></div></body>"
+    pages = [page.format(n, prose(n), prose(n + 50, 12)) for n in range(12)]
+    assert main_text_of(spark, pages) == [f"{prose(n)}\nMore of {n}\n{prose(n + 50, 12)}" for n in range(12)]
+
+
+def test_vague_names_count_where_links_fill_them(spark):
+    page = "<body><div class='story'><p>{1}</p><p>{2}</p><div class='related'><p><a href='/x'>other text {0}</a></p></div></div></body>"
+    pages = [page.format(n, prose(n), prose(n + 50)) for n in range(12)]
+    assert main_text_of(spark, pages) == [f"{prose(n)}\n{prose(n + 50)}" for n in range(12)]
