@@ -6,11 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallychain.llm.texts import sized_broadcast, word_count
-from tallychain.session import written
+from tallychain.session import drop_folder, written
 
 WEIGHTS, EPOCHS = (1, 2, 3), 3
-#: Documents of one source that share a prefix sum; larger sources are cut into so many key ranges.
-RANGE_ROWS = 20_000
+#: Documents of a key range, up to so many ranges; there are no fewer than the session's shuffle partitions.
+RANGE_ROWS, RANGES = 20_000, 20_000
 ORDER = ("__key", "doc_id", "__size")
 
 
@@ -66,6 +66,18 @@ def source_targets(sizes, weights=WEIGHTS, epochs=EPOCHS):
     return table.select("source", "source_size", "docs", F.least(limit.cast("double"), F.col("weight") * (level or 0.0)).alias("target"))
 
 
+def by_key(slim):
+    """``slim`` as a written table in ranges of (source, key), numbered in ``range``.
+
+    Spark cuts the ranges at measured quantiles, so they are about equal whatever the weights and
+    however large a source is.
+    """
+    spark = slim.sparkSession
+    wanted = min(RANGES, -(-slim.count() // RANGE_ROWS))
+    dealt = slim.repartitionByRange(max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))), "source", *ORDER)
+    return written(dealt.withColumn("range", F.spark_partition_id()), "mix-keys")[0]
+
+
 def mix(docs, size=None, quality=None, seed=7, weights=WEIGHTS, epochs=EPOCHS):
     """``docs`` with __size, __source_size, __target and __copies: how often the mix takes the row.
 
@@ -74,8 +86,8 @@ def mix(docs, size=None, quality=None, seed=7, weights=WEIGHTS, epochs=EPOCHS):
     being a hash of doc_id, source and size.  The document on the boundary is taken if that brings
     the sum nearer to the target, so a source misses its target by half a document at most.
 
-    Keys are sorted within source in ranges of about ``RANGE_ROWS`` documents, whose sums are
-    prefix-summed first, so that no task holds a whole source.  Null texts and texts without words
+    Keys are sorted within source in ranges of equal size, whose sums are prefix-summed first, so
+    that no task holds a whole source.  Null texts and texts without words
     have size 0.  Null is a source of its own.  Rows equal in doc_id, source, size and quality are
     taken alike.  An empty table gives an empty table.
     """
@@ -83,21 +95,18 @@ def mix(docs, size=None, quality=None, seed=7, weights=WEIGHTS, epochs=EPOCHS):
     quality = quality_weight(F.col("text")) if quality is None else quality
     keyed = docs.withColumn("__size", size).withColumn("__quality", quality)
     keyed = keyed.withColumn("__key", -F.log(uniform(seed, "doc_id", "source", "__size")) / F.col("__quality"))
-    slim, _ = written(keyed.select("doc_id", "source", "__size", "__key", "__quality"), "mix-keys")
-    sizes = slim.groupBy("source").agg(F.sum("__size").alias("source_size"), F.count("*").alias("docs"), F.avg("__quality").alias("quality"))
-    sizes, _ = written(sizes, "mix-totals")
-    targets = source_targets(sizes.select("source", "source_size", "docs"), weights, epochs)
+    slim, folder = written(keyed.select("doc_id", "source", "__size", "__key"), "mix-slim")
+    dealt = by_key(slim)
+    drop_folder(docs.sparkSession, folder)
+    sizes, _ = written(dealt.groupBy("source").agg(F.sum("__size").alias("source_size"), F.count("*").alias("docs")), "mix-totals")
     plan, _ = written(
-        targets.join(sizes.select(F.col("source").alias("__source"), "quality"), F.col("source").eqNullSafe(F.col("__source"))).select(
-            "__source", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
+        source_targets(sizes, weights, epochs).select(
+            F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
             F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("__epochs"),
-            "quality", F.ceil(F.col("docs") / RANGE_ROWS).alias("ranges"),
         ), "mix-plan",
     )
     mine = F.col("source").eqNullSafe(F.col("__source"))
-    # Keys are about exponential: equal steps of that distribution hold about as many each.
-    step = F.floor((1 - F.exp(-F.col("__key") * F.col("quality"))) * F.col("ranges"))
-    placed = slim.join(sized_broadcast(plan), mine).withColumn("range", F.least(step, F.col("ranges") - 1))
+    placed = dealt.join(sized_broadcast(plan), mine)
     sums = placed.groupBy("__source", "range").agg(F.sum("__size").alias("n"))
     earlier = Window.partitionBy("__source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("__source").alias("s"), F.col("range").alias("r"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

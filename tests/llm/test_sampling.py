@@ -4,6 +4,8 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tallychain.llm import mixing, neighbours
 from tests.llm.conftest import rows_of
@@ -51,6 +53,15 @@ def test_mix_meets_its_targets(make_docs, monkeypatch, ranges):
     assert times.count() == sum(r["__copies"] for r in got) and times.columns == make_docs(rows).columns
 
 
+def test_key_ranges_are_even_for_any_weights(spark, monkeypatch):
+    """Half of one large source at the least weight, half at the greatest: no range is much larger than meant."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 500)
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "IF(id % 50 = 0, 'b', 'a') AS source", "1 + id % 9 AS __size").withColumn(
+        "__key", -F.log(mixing.uniform(7, "doc_id")) / F.when(F.col("doc_id") % 2 == 0, 0.05).otherwise(1.0))
+    sizes = [r["count"] for r in mixing.by_key(rows).groupBy("range").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 3 * mixing.RANGE_ROWS
+
+
 def test_mix_of_nothing(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     assert [r["__copies"] for r in mixing.mix(make_docs([(1, "", None, None, None, "", "", "")])).collect()][0] in (0, 1, 2, 3)
