@@ -1,26 +1,33 @@
-"""Hierarchical Pitman-Yor language model: a restaurant for every preceding word over one shared parent, seated by Gibbs sampling."""
+"""Hierarchical Pitman-Yor language model: a restaurant for every preceding word over one shared parent, seated by Gibbs sampling.
+
+The counts of neighbouring words form a matrix (word before, word) that is cut into square cells.
+A cell meets only the figures of its own words, so no task holds all contexts of a frequent word.
+"""
+
+import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyspark
 import zstandard
 from pyspark.sql import functions as F
 
-from tallychain.llm.texts import settled, sized_broadcast
+from tallychain.llm.ranks import numbered
+from tallychain.llm.texts import settled
 
 #: Tokens of a block: the unit in which texts are kept as word numbers.
 BLOCK_TOKENS = 2_000_000
-#: Tokens that are scored at once.
-CHUNK_TOKENS = 300_000
-#: Rounds over the corpus, sweeps of each, and how many of the last sweeps are averaged.
-ROUNDS, SWEEPS, KEPT = 3, 6, 4
+#: Tokens of the corpus for each cell of the matrix; a cell has at most ``SIDE`` words a side.
+CELL_TOKENS, SIDE = 1_000_000, 1 << 16
+#: Gibbs sweeps over the corpus, and over how many of the last ones probabilities are averaged.
+SWEEPS, KEPT = 6, 3
 STRENGTH = 1.0
 #: Customers that are seated one by one; later ones sit down in steps of a quarter of those before.
 SINGLY = 32
 
 _END = b""
-_BLOCKS = ("block long, doc_ids array<bigint>, train array<boolean>, lengths array<int>, tokens binary, words array<string>")
+_BLOCK = "block long, size long, doc_ids array<bigint>, train array<boolean>, lengths array<int>, tokens binary"
+_SUMS = "side int, segment long, a binary, b binary, one long, two long, total_a double, total_b double"
 
 
 def held_out(doc_id, folds=7, fold=2):
@@ -28,6 +35,24 @@ def held_out(doc_id, folds=7, fold=2):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def _packed(values):
+    """Bytes of an array, those of equal weight side by side, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes(), 1)
+
+
+def _opened(data, kind):
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _packed_keys(keys):
+    return _packed(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def _opened_keys(data):
+    return np.cumsum(_opened(data, "<u4"), dtype=np.uint32)
+
+
 def _blocks(docs):
     """Texts as word numbers, by block: a block has its own list of words, in which the empty one is the end of a text."""
 
@@ -41,10 +66,10 @@ def _blocks(docs):
             lengths = np.array([len(t) for t in state["tokens"]], dtype=np.int32)
             words = pa.array(list(state["known"]), type=pa.binary()).cast(pa.string())
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + made]), pa.array([state["ids"]], type=pa.list_(pa.int64())), pa.array([state["train"]]),
-                 pa.array([lengths]), pa.array([zstandard.compress(numbers.astype("<i4").tobytes(), 1)], type=pa.binary()),
+                [pa.array([(part << 32) + made]), pa.array([len(numbers)]), pa.array([state["ids"]], type=pa.list_(pa.int64())), pa.array([state["train"]]),
+                 pa.array([lengths]), pa.array([_packed(numbers)], type=pa.binary()),
                  pa.ListArray.from_arrays(pa.array([0, len(words)], type=pa.int32()), words)],
-                names=["block", "doc_ids", "train", "lengths", "tokens", "words"],
+                names=["block", "size", "doc_ids", "train", "lengths", "tokens", "words"],
             )
 
         for batch in batches:
@@ -65,7 +90,7 @@ def _blocks(docs):
             yield close()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out(F.col("doc_id"))).alias("train"), "text")
-    return rows.mapInArrow(run, _BLOCKS)
+    return rows.mapInArrow(run, f"{_BLOCK}, words array<string>")
 
 
 class _Numbers(dict):
@@ -76,53 +101,106 @@ class _Numbers(dict):
         return n
 
 
-def _numbers(row_tokens):
-    return np.frombuffer(zstandard.decompress(row_tokens), dtype="<i4")
+def _teaching(train, lengths):
+    """Which tokens of a block are in texts that teach."""
+    return np.repeat(train.values.to_numpy(zero_copy_only=False), lengths.values.to_numpy())
 
 
-def _keys(words):
-    """64 bits that stand for each word of a list."""
-    return pd.util.hash_array(np.array(words, dtype=object), categorize=False).view(np.int64)
+def _listed(blocks):
+    """(block, key, word, n): the words of each block, their number in it, and how often its training texts have them."""
 
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch.column("words")[i].values
+                tokens = _opened(batch.column("tokens")[i].as_py(), "<i4")
+                n = np.bincount(tokens[_teaching(batch.column("train")[i], batch.column("lengths")[i])], minlength=len(words))
+                for at in range(0, len(words), 50_000):
+                    some = words.slice(at, 50_000)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), batch.column("block")[i].as_py())), pa.array(np.arange(at, at + len(some))), some, pa.array(n[at:at + len(some)])],
+                        names=["block", "key", "word", "n"],
+                    )
 
-def _before(numbers):
-    """The word before each token, the end before the first one of a text: every text ends with it, the last one too."""
-    return np.roll(numbers, 1).astype(np.int64)
+    return blocks.select("block", "train", "lengths", "tokens", "words").mapInArrow(run, "block long, key long, word string, n long")
 
 
-def _pairs(blocks, training):
-    """(block, a, b, u, w, n) of the words a and b that follow each other in a block, and their keys; those of training texts only, or of all."""
+def _with_numbers(blocks, listed):
+    """Blocks whose words have the numbers and the counts of the whole corpus in place of their spelling."""
+    schema = pa.schema([("block", pa.int64()), ("size", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
+                        ("lengths", pa.list_(pa.int32())), ("tokens", pa.binary()), ("numbers", pa.binary()), ("counts", pa.binary())])
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys = _keys(batch.column("words")[i].values.to_pylist())
-                numbers = _numbers(batch.column("tokens")[i].as_py())
-                found = _before(numbers) << 32 | numbers
-                if training:
-                    found = found[np.repeat(batch.column("train")[i].values.to_numpy(zero_copy_only=False), batch.column("lengths")[i].values.to_numpy())]
-                pairs, n = np.unique(found, return_counts=True)
-                for at in range(0, len(pairs), 100_000):
-                    part = pairs[at:at + 100_000]
-                    columns = {"u": keys[part >> 32], "w": keys[part & 0xFFFFFFFF]}
-                    columns |= {"n": n[at:at + 100_000]} if training else {"block": np.full(len(part), batch.column("block")[i].as_py()), "key": part}
-                    yield pa.RecordBatch.from_pydict({k: pa.array(v.astype(np.int64)) for k, v in columns.items()})
+    def run(block, words):
+        order = np.argsort(words["key"].to_numpy())
+        for name, column in (("numbers", "place"), ("counts", "c")):
+            block = block.append_column(name, pa.array([_packed(words[column].to_numpy()[order].astype(np.int64))], type=pa.binary()))
+        return block.cast(schema)
 
-    return blocks.select("block", "train", "lengths", "tokens", "words").mapInArrow(run, "u long, w long, n long" if training else "u long, w long, block long, key long")
+    return blocks.drop("words").groupBy("block").cogroup(listed.groupBy("block")).applyInArrow(run, f"{_BLOCK}, numbers binary, counts binary")
 
 
-def _listed(blocks):
-    """(block, key, w) of the words of each block; the key is -1 - their number."""
+class _Grid:
+    """Cells of the matrix: ``across`` segments a side with ``side`` words each."""
+
+    def __init__(self, tokens, words):
+        self.across = max(1, math.ceil(math.sqrt(tokens / CELL_TOKENS)), math.ceil(words / SIDE))
+        self.side = max(1, math.ceil(words / self.across))
+
+    def codes(self, tokens, numbers):
+        """Of each token: its cell in the upper 32 bits; in the lower ones the places in it of the word before and of the token.
+
+        The end stands before the first token of a text: every text ends with it, the last one of the block too.
+        """
+        segment, place = np.divmod(numbers, self.side)
+        before, after = (segment * self.across << 32) + (place << 16), (segment << 32) + place
+        return before[np.roll(tokens, 1)] + after[tokens]
+
+
+def _pieces(codes):
+    """(cell, first, end) of sorted codes."""
+    cells = codes >> 32
+    starts = np.nonzero(np.diff(cells, prepend=-1))[0]
+    return zip(cells[starts], starts, np.append(starts[1:], len(codes)))
+
+
+def _asked(blocks, grid):
+    """(cell, block, keys, n): the pairs of each block by cell, in order, and how often its training texts have them."""
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                keys = _keys(batch.column("words")[i].values.to_pylist())
-                for at in range(0, len(keys), 100_000):
-                    part = keys[at:at + 100_000]
-                    yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(part), batch.column("block")[i].as_py())), "key": pa.array(-1 - np.arange(at, at + len(part))), "w": pa.array(part)})
-
-    return blocks.select("block", "words").mapInArrow(run, "block long, key long, w long")
+                codes = grid.codes(_opened(batch.column("tokens")[i].as_py(), "<i4"), _opened(batch.column("numbers")[i].as_py(), "<i8"))
+                found, place = np.unique(codes, return_inverse=True)
+                n = np.bincount(place[_teaching(batch.column("train")[i], batch.column("lengths")[i])], minlength=len(found))
+                del codes, place
+                rows = [(cell, _packed_keys(found[a:b].astype(np.uint32)), _packed(n[a:b].astype("<i4"))) for cell, a, b in _pieces(found)]
+                for at in range(0, len(rows), 1000):
+                    cell, keys, counts = zip(*rows[at:at + 1000])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.array(cell, dtype=np.int64)), pa.array(np.full(len(cell), batch.column("block")[i].as_py())),
+                         pa.array(keys, type=pa.binary()), pa.array(counts, type=pa.binary())],
+                        names=["cell", "block", "keys", "n"],
+                    )
+
+    return blocks.select("block", "train", "lengths", "tokens", "numbers").mapInArrow(run, "cell long, block long, keys binary, n binary")
+
+
+def _cells(asked, grid):
+    """(cell, i, j, keys, n): the pairs of training texts by cell; cells that only other texts ask for are there without any."""
+    across = grid.across
+
+    def run(rows):
+        keys = np.concatenate([_opened_keys(k.as_py()) for k in rows["keys"]])
+        found, place = np.unique(keys, return_inverse=True)
+        n = np.zeros(len(found), dtype=np.int64)
+        np.add.at(n, place, np.concatenate([_opened(k.as_py(), "<i4") for k in rows["n"]]))
+        cell = rows["cell"][0].as_py()
+        return pa.table({
+            "cell": [cell], "i": [cell // across], "j": [cell % across],
+            "keys": pa.array([_packed_keys(found[n > 0])], type=pa.binary()), "n": pa.array([_packed(n[n > 0])], type=pa.binary()),
+        })
+
+    return asked.groupBy("cell").applyInArrow(run, "cell long, i long, j long, keys binary, n binary")
 
 
 def _uniform(seeds, salt):
@@ -136,6 +214,11 @@ def _uniform(seeds, salt):
     return ((z >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
+def _seeds(before, word=0):
+    with np.errstate(over="ignore"):
+        return before.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) + np.asarray(word).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def seat(customers, weight, discount, seeds, salt):
     """Tables that ``customers`` of one dish take, seated one after another: a new table against weight : customers - discount * tables.
 
@@ -157,60 +240,96 @@ def seat(customers, weight, discount, seeds, salt):
     return tables
 
 
-def _sweeps(table, world, round_number):
-    """One round over words with the contexts that they follow more than once: (w, c, sent, contexts, n, tables, root_tables), averaged over the last sweeps.
+class _World:
+    """What all restaurants share: discounts, and customers and tables of the parent in one state."""
 
-    ``sent`` are a word's tables in all contexts; a pair that occurs once has one table.
+    def __init__(self, discount, root_discount, words, customers, tables):
+        self.discount, self.root_discount, self.words, self.customers, self.tables = discount, root_discount, words, customers, tables
 
-    Given how many tables each restaurant has in all, words do not depend on each other, so each is
-    sampled on its own: in turn the tables of its dish in every context given its probability in the
-    parent, then its tables in the parent given the customers that those tables send there.
-    """
-    total = world
+    @property
+    def fresh(self):
+        """Weight of one symbol's share in a new table of the parent."""
+        return (STRENGTH + self.root_discount * self.tables) / (self.words + 1)
 
-    def run(batches):
-        for batch in batches:
-            contexts, n = batch.column("contexts"), batch.column("n")
-            offsets = contexts.offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            k, customers = contexts.flatten().to_numpy(), n.flatten().to_numpy()
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            ones = batch.column("ones").to_numpy().astype(np.float64)
-            seeds = batch.column("seed").to_numpy().view(np.uint64)
-            with np.errstate(over="ignore"):
-                pair_seeds = seeds[owner] * np.uint64(0x2545F4914F6CDD1D) + k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            tables = np.ones(len(k))
-            root = np.ones(batch.num_rows)
-            mean, root_mean = np.zeros(len(k)), np.zeros(batch.num_rows)
-            fresh = total["strength"] + total["root_discount"] * total["root_tables"]
-            known = np.full(batch.num_rows, fresh * total["base"])
-            opened = total["strength"] + total["discount"] * batch.column("opened").flatten().to_numpy()
-
-            def sent_by(tables):
-                return ones + np.bincount(owner, weights=tables, minlength=batch.num_rows)
-
-            for sweep in range(SWEEPS):
-                salt = (round_number * SWEEPS + sweep) * 2
-                parent = (sent_by(tables) - total["root_discount"] * root + known) / (total["strength"] + total["root_customers"])
-                tables = seat(customers, opened * parent[owner], total["discount"], pair_seeds, salt)
-                root = seat(sent_by(tables).astype(np.int64), known, total["root_discount"], seeds, salt + 1)
-                if sweep >= SWEEPS - KEPT:
-                    mean, root_mean = mean + tables / KEPT, root_mean + root / KEPT
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("w"), batch.column("c"), pa.array(sent_by(mean)), contexts, n,
-                 pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(mean.astype(np.float32))), pa.array(root_mean)],
-                names=["w", "c", "sent", "contexts", "n", "tables", "root_tables"],
-            )
+    def parent(self, sent, tables):
+        return (sent - self.root_discount * tables + self.fresh) / (STRENGTH + self.customers)
 
-    return table.select("w", "c", "ones", "contexts", "n", "opened", F.xxhash64("w").alias("seed")).mapInArrow(
-        run, "w long, c long, sent double, contexts array<long>, n array<long>, tables array<float>, root_tables double"
-    )
+    def tables_of(self, grid, i, j, keys, n, opened, parent, salt):
+        """Tables of each pair of a cell, drawn anew; the same state and salt give the same draw."""
+        before, word = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
+        weight = (STRENGTH + self.discount * opened[before]) * parent[word]
+        return seat(n, weight, self.discount, _seeds(before + i * grid.side, word + j * grid.side), salt)
+
+
+def _summed(cells, grid, draw, root):
+    """Sums by segment: of a word as context its customers and tables (side 0), of a word as dish its tables everywhere and in the parent (side 1)."""
+    side = grid.side
+
+    def parts(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, n = _opened_keys(row["keys"]), _opened(row["n"], "<i8")
+                tables = draw(row, keys, n)
+                before, word = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
+                sums = [np.bincount(x, weights=y, minlength=side) for x, y in ((before, n), (before, tables), (word, tables))]
+                yield pa.RecordBatch.from_pydict({
+                    "side": pa.array([0, 1], type=pa.int32()), "segment": [row["i"], row["j"]],
+                    "a": pa.array([_packed(sums[0]), _packed(sums[2])], type=pa.binary()), "b": pa.array([_packed(sums[1]), b""], type=pa.binary()),
+                    "one": [int((n == 1).sum()), 0], "two": [int((n == 2).sum()), 0],
+                })
+
+    def gather(rows):
+        kind, segment = rows["side"][0].as_py(), rows["segment"][0].as_py()
+        a, b = np.zeros(side), np.zeros(side)
+        for x, y in zip(rows["a"], rows["b"]):  # one piece is unpacked at a time
+            a += _opened(x.as_py(), "<f8")
+            if kind == 0:
+                b += _opened(y.as_py(), "<f8")
+        one, two = sum(rows["one"].to_pylist()), sum(rows["two"].to_pylist())
+        if kind == 1:
+            b, one, two = root(a, segment), int((a == 1).sum()), int((a == 2).sum())
+        return pa.table({
+            "side": pa.array([kind], type=pa.int32()), "segment": [segment], "a": pa.array([_packed(a)], type=pa.binary()), "b": pa.array([_packed(b)], type=pa.binary()),
+            "one": [one], "two": [two], "total_a": [float(a.sum())], "total_b": [float(b.sum())],
+        })
+
+    some = cells.mapInArrow(parts, "side int, segment long, a binary, b binary, one long, two long")
+    return some.groupBy("side", "segment").applyInArrow(gather, _SUMS)
+
+
+def _beside(cells, state):
+    """Cells with the sums of their own words: ``ua`` and ``ub`` of the words before, ``wa`` and ``wb`` of the words; lists are taken over as they are."""
+    before, word = (state.where(F.col("side") == k).select(F.col("segment").alias(s), F.col("a").alias(f"{p}a"), F.col("b").alias(f"{p}b")) for k, s, p in ((0, "i", "u"), (1, "j", "w")))
+    return cells.join(before, "i").join(word, "j")
 
 
 def _discount(once, twice):
     return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
 
+def _totals(state):
+    """Per side: the sums over all segments."""
+    rows = state.groupBy("side").agg(*(F.sum(k).alias(k) for k in ("one", "two", "total_a", "total_b"))).collect()  # two rows
+    none = {"one": 0, "two": 0, "total_a": 0.0, "total_b": 0.0}
+    return [next((r.asDict() for r in rows if r.side == k), none) for k in (0, 1)]
+
+
+def _draw(grid, world, salt):
+    def draw(row, keys, n):
+        parent = world.parent(_opened(row["wa"], "<f8"), _opened(row["wb"], "<f8"))
+        return world.tables_of(grid, row["i"], row["j"], keys, n, _opened(row["ub"], "<f8"), parent, salt)
+
+    return draw
+
+
+def _draw_root(grid, world, salt):
+    def root(sent, segment):
+        seeds = _seeds(np.arange(grid.side) + segment * grid.side)
+        return seat(sent.astype(np.int64), np.full(grid.side, world.fresh), world.root_discount, seeds, salt)
+
+    return root
+
+
 def score(docs):
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row.
 
@@ -220,105 +339,98 @@ def score(docs):
     a token is drawn in the restaurant of the word before it, of which every word that occurs
     before another in a training text has one; all contexts share one parent restaurant, whose own
     draws are all symbols alike.  So a text of unknown words is as unlikely as each of them is.
-    Discounts follow from how many counts are one and two; tables are sampled by Gibbs sweeps and
-    table counts averaged over the last of them.
+    Discounts follow from how many counts are one and two.  Each Gibbs sweep draws the tables of
+    every dish in every context anew, given the tables of each restaurant after the sweep before,
+    and then those of the parent; a token's predictive probability is averaged over the last
+    ``KEPT`` sweeps, in double precision.
 
     Null and empty texts are one end.  Rows without doc_id teach and are scored with a null id;
     rows that repeat count as often.  Without training tokens every probability is 1.  An empty
     table gives no rows.
     """
-    blocks, _ = settled(_blocks(docs), "lm-blocks")
-    pairs, _ = settled(_pairs(blocks, True).groupBy("u", "w").agg(F.sum("n").alias("n")), "lm-pairs")
-    ones = F.count_if(F.col("n") == 1).alias("ones")
-    words, _ = settled(pairs.groupBy("w").agg(F.sum("n").alias("c"), F.count("*").alias("pairs"), ones), "lm-words")
-    contexts, _ = settled(pairs.groupBy("u").agg(F.sum("n").alias("customers"), F.count("*").cast("double").alias("opened"), ones), "lm-contexts")
-    row = words.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("words"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"),
-        F.count_if(F.col("pairs") == 1).alias("one"), F.count_if(F.col("pairs") == 2).alias("two"), F.coalesce(F.sum("ones"), F.lit(0)).alias("ones"),
-    ).first()
-    world = {
-        "strength": STRENGTH, "discount": _discount(row["ones"], pairs.where("n = 2").count()), "root_discount": _discount(row["one"], row["two"]),
-        "base": 1 / (row["words"] + 1), "root_customers": float(row["pairs"]), "root_tables": float(row["words"]),
-    }
-    old = []
-    for n in range(ROUNDS):
-        # A pair that occurs once has one table in every draw, so only the others are seated anew.
-        x = F.array_sort(F.collect_list(F.struct("u", "n", "opened"))).alias("x")
-        many = pairs.where("n > 1").join(sized_broadcast(contexts.select("u", "opened")), "u").groupBy("w").agg(x)
-        table = words.join(many, "w", "left").select("w", "c", "ones", *(
-            F.coalesce(F.col(f"x.{k}"), F.array().cast(f"array<{kind}>")).alias(name) for k, kind, name in (("u", "long", "contexts"), ("n", "long", "n"), ("opened", "double", "opened"))
-        ))
-        seated, folder = settled(_sweeps(table, world, n), "lm-seating")
-        taken = seated.select(F.explode(F.arrays_zip("contexts", "tables")).alias("x")).groupBy(F.col("x.contexts").alias("u")).agg(F.sum(F.col("x.tables").cast("double")).alias("taken"))
-        contexts, next_folder = settled(
-            contexts.join(taken, "u", "left").select("u", "customers", "ones", (F.col("ones") + F.coalesce("taken", F.lit(0.0))).alias("opened")), "lm-contexts", *old
-        )
-        sums = seated.agg(F.sum("sent").alias("sent"), F.sum("root_tables").alias("root")).first()
-        world |= {"root_customers": float(sums["sent"] or 0), "root_tables": float(sums["root"] or 0)}
-        old = [folder, next_folder]
-    return _scored(blocks, pairs, contexts, seated, world, int(row["total"]), int(row["words"]))
-
-
-def _scored(blocks, pairs, contexts, seated, world, total, vocabulary):
-    root = world["strength"] + world["root_customers"]
-    fresh = world["strength"] + world["root_discount"] * world["root_tables"]
-    drawn = F.col("sent") - F.col("root_tables") * world["root_discount"] + fresh * world["base"]
-    unknown = fresh * world["base"] / root
-    dish = seated.select("w", F.explode(F.arrays_zip("contexts", "n", "tables")).alias("x")).select(
-        F.col("x.contexts").alias("u"), "w", (F.col("x.n") - F.col("x.tables") * world["discount"]).cast("float").alias("share"))
-    once = pairs.where("n = 1").select("u", "w", F.lit(1 - world["discount"]).cast("float").alias("share"))
-    none = {"c": "long", "parent": "float", "customers": "long", "opened": "double"}
-    asked = _pairs(blocks, False).join(dish.unionAll(once), ["u", "w"]).select(
-        F.col("block").alias("of"), "key", "share", *(F.lit(None).cast(kind).alias(k) for k, kind in none.items()))
-    model = sized_broadcast(seated.select("w", "c", (drawn / root).cast("float").alias("parent")))
-    opens = sized_broadcast(contexts.select(F.col("u").alias("w"), "customers", "opened"))
-    listed = _listed(blocks).join(model, "w").join(opens, "w", "left").select(  # words that no training text has stay away
-        F.col("block").alias("of"), "key", F.lit(None).cast("float").alias("share"), *none)
-    strength, discount = world["strength"], world["discount"]
-
-    def run(texts, looked):
-        schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                            ("base_score", pa.float64()), ("score", pa.float64())])
-        if not texts.num_rows:
+    spelled, spelled_folder = settled(_blocks(docs), "lm-blocks")
+    listed, listed_folder = settled(_listed(spelled), "lm-listed")
+    words, words_folder = numbered(listed.groupBy("word").agg(F.sum("n").alias("c")), [F.xxhash64("word"), F.col("word")], "place")
+    size = words.agg(F.count("*").alias("all"), F.count_if(F.col("c") > 0).alias("known"), F.coalesce(F.sum("c"), F.lit(0)).alias("total")).first()
+    numbers = listed.join(words.select("word", "place", "c"), "word").select("block", "key", "place", "c")
+    blocks, _ = settled(_with_numbers(spelled, numbers), "lm-texts", spelled_folder, listed_folder, words_folder)
+    grid = _Grid(blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], size["all"])
+    cells, _ = settled(_cells(_asked(blocks, grid), grid), "lm-cells")
+    # The first state has one table for every pair and, in the parent, for every word.
+    state, _ = settled(_summed(cells, grid, lambda row, keys, n: np.ones(len(keys)), lambda sent, segment: np.minimum(sent, 1)), "lm-sums")
+    pairs, dishes = _totals(state)
+    discounts = _discount(pairs["one"], pairs["two"]), _discount(dishes["one"], dishes["two"])
+    worlds, states = [_World(*discounts, size["known"], dishes["total_a"], dishes["total_b"])], [state]
+    for sweep in range(SWEEPS):
+        # Only sums are kept: the same state and salt draw the same tables again when texts are scored.
+        draws = _draw(grid, worlds[-1], 2 * sweep), _draw_root(grid, worlds[-1], 2 * sweep + 1)
+        state, _ = settled(_summed(_beside(cells, states[-1]), grid, *draws), "lm-sums")
+        dishes = _totals(state)[1]
+        worlds, states = worlds + [_World(*discounts, size["known"], dishes["total_a"], dishes["total_b"])], states + [state]
+    first = len(states) - KEPT - 1
+    last = None
+    for k, state in enumerate(states[first:]):
+        some = state.select("side", "segment", F.struct(F.lit(k).alias("k"), "a", "b").alias("x"))
+        last = some if last is None else last.unionAll(some)
+    x = F.array_sort(F.collect_list("x")).alias("x")  # KEPT + 1 of them
+    last = last.groupBy("side", "segment").agg(x).select("side", "segment", F.col("x.a").alias("a"), F.col("x.b").alias("b"))
+    answers, _ = settled(_answers(_asked(blocks, grid).drop("n"), _beside(cells, last), grid, worlds[first:], first), "lm-answers")
+    return _scored(blocks, answers, grid, int(size["total"]), int(size["known"]))
+
+
+def _answers(asked, model, grid, worlds, first):
+    """(block, cell, p): the log10 probability of each pair that a block asks for, in the order of its keys.
+
+    ``worlds`` are the states before and after the kept sweeps, of which ``first`` is the number of the first one.
+    """
+    schema = pa.schema([("block", pa.int64()), ("cell", pa.int64()), ("p", pa.binary())])
+
+    def run(asks, cell):
+        if not asks.num_rows:
+            return schema.empty_table()
+        row = cell.to_pylist()[0]
+        wanted = [_opened_keys(k.as_py()) for k in asks["keys"]]
+        ends = np.cumsum([len(k) for k in wanted])[:-1]
+        distinct, place = np.unique(np.concatenate(wanted), return_inverse=True)
+        del wanted
+        keys, n = _opened_keys(row["keys"]), _opened(row["n"], "<i8")
+        taught = np.zeros(len(distinct), dtype=bool)
+        taught[np.searchsorted(distinct, keys)] = True  # every pair of a training text is asked for by its block
+        before, word = (distinct >> 16).astype(np.int64), (distinct & 0xFFFF).astype(np.int64)
+        opened = [_opened(x, "<f8") for x in row["ub"]]
+        parents = [w.parent(_opened(a, "<f8"), _opened(b, "<f8")) for w, a, b in zip(worlds, row["wa"], row["wb"])]
+        p = np.zeros(len(distinct))
+        for k in range(1, len(worlds)):
+            tables = worlds[k - 1].tables_of(grid, row["i"], row["j"], keys, n, opened[k - 1], parents[k - 1], 2 * (first + k - 1))
+            p[taught] += n - worlds[k].discount * tables
+            p += (STRENGTH + worlds[k].discount * opened[k][before]) * parents[k][word]
+        p = np.log10(p / (len(worlds) - 1) / (STRENGTH + _opened(row["ua"][0], "<f8")[before]))
+        return pa.table([asks["block"], asks["cell"], pa.array([_packed(x) for x in np.split(p[place], ends)], type=pa.binary())], schema=schema)
+
+    return asked.groupBy("cell").cogroup(model.groupBy("cell")).applyInArrow(run, "block long, cell long, p binary")
+
+
+def _scored(blocks, answers, grid, total, vocabulary):
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                        ("base_score", pa.float64()), ("score", pa.float64())])
+
+    def run(block, looked):
+        if not block.num_rows:
             return schema.empty_table()
-        texts, key = texts.combine_chunks(), looked["key"].to_numpy()
-        numbers, lengths = _numbers(texts["tokens"][0].as_py()), texts["lengths"][0].values.to_numpy()
-        size = int(numbers.max()) + 1
-        c, parent, strengths, back = np.zeros(size, dtype=np.int64), np.full(size, unknown), np.full(size, strength), np.ones(size)
-        words = looked.filter(pa.array(key < 0))
-        i = -1 - words["key"].to_numpy()
-        c[i], parent[i] = words["c"].to_numpy(), words["parent"].to_numpy()
-        strengths[i] = strength + words["customers"].fill_null(0).to_numpy()
-        back[i] = (strength + discount * words["opened"].fill_null(0).to_numpy()) / strengths[i]
+        tokens, lengths = _opened(block["tokens"][0].as_py(), "<i4"), block["lengths"][0].values.to_numpy()
+        c, numbers = (_opened(block[k][0].as_py(), "<i8") for k in ("counts", "numbers"))
+        found, place = np.unique(grid.codes(tokens, numbers), return_inverse=True)
+        by_cell = dict(zip(looked["cell"].to_pylist(), looked["p"]))
+        p = np.concatenate([_opened(by_cell[int(cell)].as_py(), "<f8") for cell, _, _ in _pieces(found)])
+        starts = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)[:-1]))
         base = np.log10((c + 1) / (total + vocabulary + 1))
-        order = np.argsort(key, kind="stable")[len(i):]
-        keys, shares = key[order], looked["share"].to_numpy()[order]
-        del looked, words, key, order
-        ends = np.cumsum(lengths)
-        known, plain, score = [], [], []
-        at = 0
-        while at < len(lengths):  # some documents at a time, so that arrays stay small beside the block
-            first = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, first + CHUNK_TOKENS)))
-            mine, sizes = numbers[first:ends[to - 1]], lengths[at:to]
-            before = _before(mine)
-            asked = before << 32 | mine
-            own = np.zeros(len(mine))
-            if len(keys):
-                found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                own = np.where(keys[found] == asked, shares[found], 0.0) / strengths[before]
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            known.append(np.add.reduceat((c[mine] > 0).astype(np.int64), starts))
-            plain.append(np.add.reduceat(base[mine], starts))
-            score.append(np.add.reduceat(np.log10(own + back[before] * parent[mine]), starts))
-            at = to
         return pa.table([
-            texts["doc_ids"][0].values, pa.array(~texts["train"][0].values.to_numpy(zero_copy_only=False)), pa.array(lengths.astype(np.int64)),
-            pa.array(np.concatenate(known)), pa.array(np.concatenate(plain)), pa.array(np.concatenate(score)),
+            block["doc_ids"][0].values, pa.array(~block["train"][0].values.to_numpy(zero_copy_only=False)), pa.array(lengths.astype(np.int64)),
+            pa.array(np.add.reduceat((c > 0).astype(np.int64)[tokens], starts)), pa.array(np.add.reduceat(base[tokens], starts)),
+            pa.array(np.add.reduceat(p[place], starts)),
         ], schema=schema)
 
-    texts = blocks.select("block", "doc_ids", "train", "lengths", "tokens")
-    scored = texts.groupBy("block").cogroup(asked.unionAll(listed).groupBy("of")).applyInArrow(
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(

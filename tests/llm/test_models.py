@@ -101,6 +101,57 @@ def test_language_model_probabilities_sum_to_one(make_docs):
     assert alone["a"] > alone["unknown"]
 
 
+def dense_model(texts, numbers):
+    """Probabilities of every word (and an unknown one, the last column) after every word, from whole matrices of counts and tables."""
+    size, lm = len(numbers), language_model
+    counts = np.zeros((size, size), dtype=np.int64)
+    for text in texts:
+        words = [""] + text + [""]
+        for a, b in zip(words, words[1:]):
+            counts[numbers[a], numbers[b]] += 1
+    before, word = np.nonzero(counts)
+    n = counts[before, word]
+    known = counts.sum(axis=0) > 0
+    discount = lm._discount((n == 1).sum(), (n == 2).sum())
+    tables, root = np.minimum(counts, 1).astype(float), np.minimum(counts.sum(axis=0), 1).astype(float)
+    kinds = np.bincount(word, minlength=size)
+    root_discount = lm._discount((kinds == 1).sum(), (kinds == 2).sum())
+    found = []
+    for sweep in range(lm.SWEEPS):
+        fresh = (lm.STRENGTH + root_discount * root.sum()) / (known.sum() + 1)
+        parent = (tables.sum(axis=0) - root_discount * root + fresh) / (lm.STRENGTH + tables.sum())
+        weight = ((lm.STRENGTH + discount * tables.sum(axis=1))[:, None] * parent)[before, word]
+        tables = np.zeros(counts.shape)
+        tables[before, word] = lm.seat(n, weight, discount, lm._seeds(before, word), 2 * sweep)
+        root = lm.seat(tables.sum(axis=0).astype(np.int64), np.full(size, fresh), root_discount, lm._seeds(np.arange(size)), 2 * sweep + 1)
+        fresh = (lm.STRENGTH + root_discount * root.sum()) / (known.sum() + 1)
+        parent = np.append(tables.sum(axis=0) - root_discount * root + fresh, fresh) / (lm.STRENGTH + tables.sum())
+        own = np.append(counts - discount * tables * (counts > 0), np.zeros((size, 1)), axis=1)
+        found.append((own + (lm.STRENGTH + discount * tables.sum(axis=1))[:, None] * parent) / (lm.STRENGTH + counts.sum(axis=1))[:, None])
+    p = np.mean(found[-lm.KEPT:], axis=0)
+    columns = np.append(known, True)
+    return p, columns
+
+
+@pytest.mark.parametrize("block, cell", [(2_000_000, 1_000_000), (40, 60)])
+def test_language_model_against_whole_matrices(spark, make_docs, monkeypatch, block, cell):
+    """Scores of a small corpus, in one cell and in many, and rows of probabilities that sum to 1."""
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(language_model, "CELL_TOKENS", cell)
+    rnd = np.random.default_rng(5)
+    texts = [[f"w{int(x)}" for x in rnd.zipf(1.4, size=int(rnd.integers(0, 30))) if x < 60] for _ in range(120)]
+    docs = [(i, " ".join(t), None, None, None, "", "", "") for i, t in enumerate(texts)]
+    words = sorted({w for t in texts for w in t} | {""})
+    hashes = {r.word: r.h for r in spark.createDataFrame([(w,) for w in words], "word string").selectExpr("word", "xxhash64(word) AS h").collect()}
+    numbers = {w: k for k, w in enumerate(sorted(words, key=lambda w: (hashes[w], w)))}
+    p, columns = dense_model([t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2], numbers)
+    assert np.allclose(p[:, columns].sum(axis=1), 1, rtol=0, atol=1e-9)
+    for r in language_model.score(make_docs(docs)).collect():
+        walk = [""] + texts[r.doc_id] + [""]
+        want = sum(math.log10(p[numbers[a], numbers[b]]) for a, b in zip(walk, walk[1:]))
+        assert math.isclose(r.score, want, rel_tol=1e-9)
+
+
 def test_language_model_knows_every_preceding_word(make_docs):
     """Which of 200 equally frequent words comes before decides which one follows."""
     taught = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 7 != 2]
