@@ -17,8 +17,8 @@ from tallychain.llm.texts import settled
 
 #: Tokens of a block: the unit in which texts are kept as word numbers.
 BLOCK_TOKENS = 2_000_000
-#: Tokens of the corpus for each cell of the matrix; a cell has at most ``SIDE`` words a side.
-CELL_TOKENS, SIDE = 1_000_000, 1 << 16
+#: Tokens of the corpus for each cell of the matrix; a cell has at most 1 << ``SIDE_BITS`` words a side.
+CELL_TOKENS, SIDE_BITS = 2_000_000, 20
 #: Gibbs sweeps over the corpus, and over how many of the last ones probabilities are averaged.
 SWEEPS, KEPT = 6, 3
 STRENGTH = 1.0
@@ -46,11 +46,11 @@ def _opened(data, kind):
 
 
 def _packed_keys(keys):
-    return _packed(np.diff(keys, prepend=keys.dtype.type(0)))
+    return _packed(np.diff(keys, prepend=0))
 
 
 def _opened_keys(data):
-    return np.cumsum(_opened(data, "<u4"), dtype=np.uint32)
+    return np.cumsum(_opened(data, "<i8"))
 
 
 def _blocks(docs):
@@ -143,22 +143,32 @@ class _Grid:
     """Cells of the matrix: ``across`` segments a side with ``side`` words each."""
 
     def __init__(self, tokens, words):
-        self.across = max(1, math.ceil(math.sqrt(tokens / CELL_TOKENS)), math.ceil(words / SIDE))
+        most = int(math.sqrt(1 << 63 - 2 * SIDE_BITS)) - 1  # so that a code has 63 bits
+        self.across = max(1, min(most, math.ceil(math.sqrt(tokens / CELL_TOKENS))), math.ceil(words / (1 << SIDE_BITS)))
         self.side = max(1, math.ceil(words / self.across))
 
     def codes(self, tokens, numbers):
-        """Of each token: its cell in the upper 32 bits; in the lower ones the places in it of the word before and of the token.
+        """Of each token: its cell, and in the lower bits the places in it of the word before and of the token.
 
         The end stands before the first token of a text: every text ends with it, the last one of the block too.
         """
         segment, place = np.divmod(numbers, self.side)
-        before, after = (segment * self.across << 32) + (place << 16), (segment << 32) + place
+        before, after = (segment * self.across << 2 * SIDE_BITS) + (place << SIDE_BITS), (segment << 2 * SIDE_BITS) + place
         return before[np.roll(tokens, 1)] + after[tokens]
 
 
+def _local(codes):
+    return codes & (1 << 2 * SIDE_BITS) - 1
+
+
+def _places(keys):
+    """Places in the cell of the words before and of the words."""
+    return keys >> SIDE_BITS, keys & (1 << SIDE_BITS) - 1
+
+
 def _pieces(codes):
     """(cell, first, end) of sorted codes."""
-    cells = codes >> 32
+    cells = codes >> 2 * SIDE_BITS
     starts = np.nonzero(np.diff(cells, prepend=-1))[0]
     return zip(cells[starts], starts, np.append(starts[1:], len(codes)))
 
@@ -173,7 +183,7 @@ def _asked(blocks, grid):
                 found, place = np.unique(codes, return_inverse=True)
                 n = np.bincount(place[_teaching(batch.column("train")[i], batch.column("lengths")[i])], minlength=len(found))
                 del codes, place
-                rows = [(cell, _packed_keys(found[a:b].astype(np.uint32)), _packed(n[a:b].astype("<i4"))) for cell, a, b in _pieces(found)]
+                rows = [(cell, _packed_keys(_local(found[a:b])), _packed(n[a:b].astype("<i4"))) for cell, a, b in _pieces(found)]
                 for at in range(0, len(rows), 1000):
                     cell, keys, counts = zip(*rows[at:at + 1000])
                     yield pa.RecordBatch.from_arrays(
@@ -256,7 +266,7 @@ class _World:
 
     def tables_of(self, grid, i, j, keys, n, opened, parent, salt):
         """Tables of each pair of a cell, drawn anew; the same state and salt give the same draw."""
-        before, word = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
+        before, word = _places(keys)
         weight = (STRENGTH + self.discount * opened[before]) * parent[word]
         return seat(n, weight, self.discount, _seeds(before + i * grid.side, word + j * grid.side), salt)
 
@@ -270,7 +280,7 @@ def _summed(cells, grid, draw, root):
             for row in batch.to_pylist():
                 keys, n = _opened_keys(row["keys"]), _opened(row["n"], "<i8")
                 tables = draw(row, keys, n)
-                before, word = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
+                before, word = _places(keys)
                 sums = [np.bincount(x, weights=y, minlength=side) for x, y in ((before, n), (before, tables), (word, tables))]
                 yield pa.RecordBatch.from_pydict({
                     "side": pa.array([0, 1], type=pa.int32()), "segment": [row["i"], row["j"]],
@@ -297,10 +307,17 @@ def _summed(cells, grid, draw, root):
     return some.groupBy("side", "segment").applyInArrow(gather, _SUMS)
 
 
-def _beside(cells, state):
-    """Cells with the sums of their own words: ``ua`` and ``ub`` of the words before, ``wa`` and ``wb`` of the words; lists are taken over as they are."""
-    before, word = (state.where(F.col("side") == k).select(F.col("segment").alias(s), F.col("a").alias(f"{p}a"), F.col("b").alias(f"{p}b")) for k, s, p in ((0, "i", "u"), (1, "j", "w")))
-    return cells.join(before, "i").join(word, "j")
+def _beside(cells, state, grid):
+    """Cells with the sums of their own words: ``ua`` and ``ub`` of the words before, ``wa`` and ``wb`` of the words; lists are taken over as they are.
+
+    Every segment goes to each cell of its row or column, so that all cells are dealt, not rows of cells.
+    """
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid.across - 1).cast("long"))).alias("other")
+    dealt = state.select("side", "segment", "a", "b", other)
+    across = F.lit(grid.across)
+    before = dealt.where("side = 0").select((F.col("segment") * across + F.col("other")).alias("cell"), F.col("a").alias("ua"), F.col("b").alias("ub"))
+    word = dealt.where("side = 1").select((F.col("other") * across + F.col("segment")).alias("cell"), F.col("a").alias("wa"), F.col("b").alias("wb"))
+    return cells.join(before, "cell").join(word, "cell")
 
 
 def _discount(once, twice):
@@ -364,7 +381,7 @@ def score(docs):
     for sweep in range(SWEEPS):
         # Only sums are kept: the same state and salt draw the same tables again when texts are scored.
         draws = _draw(grid, worlds[-1], 2 * sweep), _draw_root(grid, worlds[-1], 2 * sweep + 1)
-        state, _ = settled(_summed(_beside(cells, states[-1]), grid, *draws), "lm-sums")
+        state, _ = settled(_summed(_beside(cells, states[-1], grid), grid, *draws), "lm-sums")
         dishes = _totals(state)[1]
         worlds, states = worlds + [_World(*discounts, size["known"], dishes["total_a"], dishes["total_b"])], states + [state]
     first = len(states) - KEPT - 1
@@ -374,7 +391,7 @@ def score(docs):
         last = some if last is None else last.unionAll(some)
     x = F.array_sort(F.collect_list("x")).alias("x")  # KEPT + 1 of them
     last = last.groupBy("side", "segment").agg(x).select("side", "segment", F.col("x.a").alias("a"), F.col("x.b").alias("b"))
-    answers, _ = settled(_answers(_asked(blocks, grid).drop("n"), _beside(cells, last), grid, worlds[first:], first), "lm-answers")
+    answers, _ = settled(_answers(_asked(blocks, grid).drop("n"), _beside(cells, last, grid), grid, worlds[first:], first), "lm-answers")
     return _scored(blocks, answers, grid, int(size["total"]), int(size["known"]))
 
 
@@ -396,7 +413,7 @@ def _answers(asked, model, grid, worlds, first):
         keys, n = _opened_keys(row["keys"]), _opened(row["n"], "<i8")
         taught = np.zeros(len(distinct), dtype=bool)
         taught[np.searchsorted(distinct, keys)] = True  # every pair of a training text is asked for by its block
-        before, word = (distinct >> 16).astype(np.int64), (distinct & 0xFFFF).astype(np.int64)
+        before, word = _places(distinct)
         opened = [_opened(x, "<f8") for x in row["ub"]]
         parents = [w.parent(_opened(a, "<f8"), _opened(b, "<f8")) for w, a, b in zip(worlds, row["wa"], row["wb"])]
         p = np.zeros(len(distinct))
