@@ -26,6 +26,7 @@ STRENGTH = 1.0
 SINGLY = 32
 
 _END = b""
+_STEPS = float(1 << 32)
 _BLOCK = "block long, size long, doc_ids array<bigint>, train array<boolean>, lengths array<int>, tokens binary"
 _SUMS = "side int, segment long, a binary, b binary, one long, two long, total_a double, total_b double"
 
@@ -53,6 +54,15 @@ def _opened_keys(data):
     return np.cumsum(_opened(data, "<i8"))
 
 
+def _packed_logs(logs):
+    """Logarithms in steps of 2 ** -32, which is closer than 2e-10, in fewer bytes than doubles take."""
+    return _packed(np.rint(logs * -_STEPS).astype("<i8"))
+
+
+def _opened_logs(data):
+    return _opened(data, "<i8") / -_STEPS
+
+
 def _blocks(docs):
     """Texts as word numbers, by block: a block has its own list of words, in which the empty one is the end of a text."""
 
@@ -359,7 +369,7 @@ def score(docs):
     Discounts follow from how many counts are one and two.  Each Gibbs sweep draws the tables of
     every dish in every context anew, given the tables of each restaurant after the sweep before,
     and then those of the parent; a token's predictive probability is averaged over the last
-    ``KEPT`` sweeps, in double precision.
+    ``KEPT`` sweeps, and its logarithm is kept to 2e-10.
 
     Null and empty texts are one end.  Rows without doc_id teach and are scored with a null id;
     rows that repeat count as often.  Without training tokens every probability is 1.  An empty
@@ -372,18 +382,18 @@ def score(docs):
     numbers = listed.join(words.select("word", "place", "c"), "word").select("block", "key", "place", "c")
     blocks, _ = settled(_with_numbers(spelled, numbers), "lm-texts", spelled_folder, listed_folder, words_folder)
     grid = _Grid(blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], size["all"])
-    cells, _ = settled(_cells(_asked(blocks, grid), grid), "lm-cells")
+    cells, cells_folder = settled(_cells(_asked(blocks, grid), grid), "lm-cells")
     # The first state has one table for every pair and, in the parent, for every word.
-    state, _ = settled(_summed(cells, grid, lambda row, keys, n: np.ones(len(keys)), lambda sent, segment: np.minimum(sent, 1)), "lm-sums")
+    state, folder = settled(_summed(cells, grid, lambda row, keys, n: np.ones(len(keys)), lambda sent, segment: np.minimum(sent, 1)), "lm-sums")
     pairs, dishes = _totals(state)
     discounts = _discount(pairs["one"], pairs["two"]), _discount(dishes["one"], dishes["two"])
-    worlds, states = [_World(*discounts, size["known"], dishes["total_a"], dishes["total_b"])], [state]
+    worlds, states, folders = [_World(*discounts, size["known"], dishes["total_a"], dishes["total_b"])], [state], [cells_folder, folder]
     for sweep in range(SWEEPS):
         # Only sums are kept: the same state and salt draw the same tables again when texts are scored.
         draws = _draw(grid, worlds[-1], 2 * sweep), _draw_root(grid, worlds[-1], 2 * sweep + 1)
-        state, _ = settled(_summed(_beside(cells, states[-1], grid), grid, *draws), "lm-sums")
+        state, folder = settled(_summed(_beside(cells, states[-1], grid), grid, *draws), "lm-sums")
         dishes = _totals(state)[1]
-        worlds, states = worlds + [_World(*discounts, size["known"], dishes["total_a"], dishes["total_b"])], states + [state]
+        worlds, states, folders = worlds + [_World(*discounts, size["known"], dishes["total_a"], dishes["total_b"])], states + [state], folders + [folder]
     first = len(states) - KEPT - 1
     last = None
     for k, state in enumerate(states[first:]):
@@ -391,7 +401,7 @@ def score(docs):
         last = some if last is None else last.unionAll(some)
     x = F.array_sort(F.collect_list("x")).alias("x")  # KEPT + 1 of them
     last = last.groupBy("side", "segment").agg(x).select("side", "segment", F.col("x.a").alias("a"), F.col("x.b").alias("b"))
-    answers, _ = settled(_answers(_asked(blocks, grid).drop("n"), _beside(cells, last, grid), grid, worlds[first:], first), "lm-answers")
+    answers, _ = settled(_answers(_asked(blocks, grid).drop("n"), _beside(cells, last, grid), grid, worlds[first:], first), "lm-answers", *folders)
     return _scored(blocks, answers, grid, int(size["total"]), int(size["known"]))
 
 
@@ -409,6 +419,7 @@ def _answers(asked, model, grid, worlds, first):
         wanted = [_opened_keys(k.as_py()) for k in asks["keys"]]
         ends = np.cumsum([len(k) for k in wanted])[:-1]
         distinct, place = np.unique(np.concatenate(wanted), return_inverse=True)
+        place = place.astype(np.int32)
         del wanted
         keys, n = _opened_keys(row["keys"]), _opened(row["n"], "<i8")
         taught = np.zeros(len(distinct), dtype=bool)
@@ -422,7 +433,7 @@ def _answers(asked, model, grid, worlds, first):
             p[taught] += n - worlds[k].discount * tables
             p += (STRENGTH + worlds[k].discount * opened[k][before]) * parents[k][word]
         p = np.log10(p / (len(worlds) - 1) / (STRENGTH + _opened(row["ua"][0], "<f8")[before]))
-        return pa.table([asks["block"], asks["cell"], pa.array([_packed(x) for x in np.split(p[place], ends)], type=pa.binary())], schema=schema)
+        return pa.table([asks["block"], asks["cell"], pa.array([_packed_logs(x) for x in np.split(p[place], ends)], type=pa.binary())], schema=schema)
 
     return asked.groupBy("cell").cogroup(model.groupBy("cell")).applyInArrow(run, "block long, cell long, p binary")
 
@@ -438,7 +449,7 @@ def _scored(blocks, answers, grid, total, vocabulary):
         c, numbers = (_opened(block[k][0].as_py(), "<i8") for k in ("counts", "numbers"))
         found, place = np.unique(grid.codes(tokens, numbers), return_inverse=True)
         by_cell = dict(zip(looked["cell"].to_pylist(), looked["p"]))
-        p = np.concatenate([_opened(by_cell[int(cell)].as_py(), "<f8") for cell, _, _ in _pieces(found)])
+        p = np.concatenate([_opened_logs(by_cell[int(cell)].as_py()) for cell, _, _ in _pieces(found)])
         starts = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)[:-1]))
         base = np.log10((c + 1) / (total + vocabulary + 1))
         return pa.table([
