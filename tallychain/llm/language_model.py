@@ -135,18 +135,15 @@ def _listed(blocks):
     return blocks.select("block", "train", "lengths", "tokens", "words").mapInArrow(run, "block long, key long, word string, n long")
 
 
-def _with_numbers(blocks, listed):
-    """Blocks whose words have the numbers and the counts of the whole corpus in place of their spelling."""
-    schema = pa.schema([("block", pa.int64()), ("size", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
-                        ("lengths", pa.list_(pa.int32())), ("tokens", pa.binary()), ("numbers", pa.binary()), ("counts", pa.binary())])
+def _numbers_of(listed):
+    """(block, numbers, counts): for the words of each block, in the order of their numbers in it, those of the whole corpus and their counts there."""
 
-    def run(block, words):
+    def run(words):
         order = np.argsort(words["key"].to_numpy())
-        for name, column in (("numbers", "place"), ("counts", "c")):
-            block = block.append_column(name, pa.array([_packed(words[column].to_numpy()[order].astype(np.int64))], type=pa.binary()))
-        return block.cast(schema)
+        packed = {name: pa.array([_packed(words[column].to_numpy()[order].astype(np.int64))], type=pa.binary()) for name, column in (("numbers", "place"), ("counts", "c"))}
+        return pa.table({"block": pa.array([words["block"][0].as_py()]), **packed})
 
-    return blocks.drop("words").groupBy("block").cogroup(listed.groupBy("block")).applyInArrow(run, f"{_BLOCK}, numbers binary, counts binary")
+    return listed.groupBy("block").applyInArrow(run, "block long, numbers binary, counts binary")
 
 
 class _Grid:
@@ -380,7 +377,9 @@ def score(docs):
     words, words_folder = numbered(listed.groupBy("word").agg(F.sum("n").alias("c")), [F.xxhash64("word"), F.col("word")], "place")
     size = words.agg(F.count("*").alias("all"), F.count_if(F.col("c") > 0).alias("known"), F.coalesce(F.sum("c"), F.lit(0)).alias("total")).first()
     numbers = listed.join(words.select("word", "place", "c"), "word").select("block", "key", "place", "c")
-    blocks, _ = settled(_with_numbers(spelled, numbers), "lm-texts", spelled_folder, listed_folder, words_folder)
+    # The lists are packed, and gone from the disk, before the texts are shuffled to meet them.
+    packed, packed_folder = settled(_numbers_of(numbers), "lm-numbers", listed_folder, words_folder)
+    blocks, _ = settled(spelled.drop("words").join(packed, "block"), "lm-texts", spelled_folder, packed_folder)
     grid = _Grid(blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], size["all"])
     cells, cells_folder = settled(_cells(_asked(blocks, grid), grid), "lm-cells")
     # The first state has one table for every pair and, in the parent, for every word.

@@ -179,3 +179,17 @@ def test_language_model_edges(make_docs, texts):
     only = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     alone = language_model.score(make_docs([(only, "x y", None, None, None, "", "", "")])).first()
     assert (alone.n_tokens, alone.n_known, alone.train_tokens, alone.base_score, alone.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_language_model_lists_of_words_are_gone_before_texts_are_shuffled(make_docs, texts, monkeypatch):
+    """The step that gives blocks their numbers has nothing to shuffle but the blocks and one row of numbers for each."""
+    steps, settled = {}, language_model.settled
+
+    def noted(df, name, *folders):
+        steps[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return settled(df, name, *folders)
+
+    monkeypatch.setattr(language_model, "settled", noted)
+    assert language_model.score(make_docs(rows_of(texts))).count() == len(texts)
+    assert "word" not in re.sub(r"Relation \[[^]]*\]", "", steps["lm-texts"]).replace("words#", "") and steps["lm-texts"].count("Join") == 1
+    assert "lm-numbers" in steps
