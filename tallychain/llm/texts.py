@@ -1,11 +1,8 @@
 """Word rules shared by the operators."""
 
-import gc
-import time
-
 from pyspark.sql import functions as F
 
-from tallychain.session import drop_folder, written
+from tallychain.session import drop_folder, release_shuffles, written
 
 #: White space of the word rule: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,16 +41,12 @@ def settled(df, name, *folders):
     """``df`` as a written table; what only it needed is given up: ``folders``, and the shuffle files of steps that have ended.
 
     Spark's cleaner removes shuffle files once the driver has collected the step's objects, so a
-    chain of such steps needs the disk of its largest one rather than of all.  Spark's listeners hold the last step
-    until another one ends, so an empty one follows; otherwise the files would stay through the next step.
+    chain of such steps needs the disk of its largest one rather than of all.
     """
     spark = df.sparkSession
     table, folder = written(df, name)
     del df
     for old in folders:
         drop_folder(spark, old)
-    spark.range(1).collect()
-    time.sleep(0.2)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release_shuffles(spark)
     return table, folder
