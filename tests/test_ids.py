@@ -36,6 +36,11 @@ def test_nesting_shuffles_the_rows_of_both_tables_once(spark, sf_dir):
     assert not [line for line in lines if "Exchange" in line and "piece" in line]
 
 
+def test_line_items_are_dealt_once_for_what_they_bring_forth_and_what_spends_them(spark, sf_dir):
+    lines = _plan(QUERIES["flatten_outputs"](spark, sf_dir)).splitlines()
+    assert sum("FileScan" in line and "l_suppkey" in line for line in lines) == 1
+
+
 def test_check_6_reads_the_tables_once_for_both_directions(sample):
     found = check_integrity(sample, None, checks=[6])
     both = m.rows(checks.tx_in_not_out(sample), "tx_hash") + m.rows(checks.tx_out_not_in(sample), "tx_hash")
