@@ -270,6 +270,45 @@ def test_parts_and_repeats_leave_no_mark(store):
         assert store.single_buckets("tran_out") == ((), False)
 
 
+def test_a_block_in_parts_without_repeats_is_not_ranked(store):
+    """Parts that carry the count of the block's transactions, none of which comes twice; a later part costs the mark."""
+    chain = m.chain(3)
+
+    def parts(n, *of):
+        return [{**chain[n], "part": i, "transaction_count": 2, "transactions": [t]} for i, t in enumerate(chain[n]["transactions"]) if i in of]
+
+    deliver(store, chain[:1] + parts(1, 0, 1), update=False)
+    assert store.single_buckets("tran_out") == store.single_buckets("blocks") == ((0,), True)
+    assert "Window" not in plan_of(turnover(store.ledger()))
+    deliver(store, parts(2, 0), update=False)
+    assert store.single_buckets("tran_in") == ((0,), True)
+    deliver(store, parts(2, 1))
+    assert store.single_buckets("tran_in") == ((), False)
+    assert_fresh(store)
+
+
+def test_a_refresh_goes_in_steps_and_leaves_no_work_folder(store, monkeypatch):
+    """Spends and sums are put down before the next shuffle, so their shuffle files need not stay."""
+    made = []
+    monkeypatch.setattr(refresh, "written", lambda df, name, real=refresh.written: made.append((name, real(df, name))) or made[-1][1])
+    chain = m.chain(6)
+    deliver(store, chain[:3])
+    deliver(store, chain[3:])
+    assert [name for name, _ in made if name in ("spent", "movements")] == ["spent", "movements"] * 2
+    assert not [folder for _, (_, folder) in made if os.path.exists(folder.removeprefix("file:"))]
+    assert_fresh(store)
+
+
+def test_parts_of_one_transaction_or_unlike_headers_leave_no_mark(store):
+    chain = m.chain(3)
+    first, second = ({**chain[1], "part": i, "transaction_count": 2} for i in (0, 1))
+    loud = [{**t, "tx_id": t["tx_id"].upper()} for t in chain[1]["transactions"]]
+    for blocks in ([first, {**second, "transactions": loud}], [{**chain[2], "part": 0, "transaction_count": 2, "transactions": chain[2]["transactions"][:1]},
+                                                              {**chain[2], "part": 1, "transaction_count": 2, "nonce": 99, "transactions": chain[2]["transactions"][1:]}]):
+        deliver(store, blocks, update=False)
+        assert store.single_buckets("tran_out") == ((), False)
+
+
 def test_an_interrupted_load_leaves_no_mark(store, monkeypatch):
     chain = m.chain(3)
     with monkeypatch.context() as patch:
