@@ -14,20 +14,23 @@ ANCHOR = WINDOW - PERIOD + 1
 
 def _spans(text):
     """The words of a text joined by one space as bytes, and where each begins and ends in them."""
-    words = (text or "").encode("utf-8", "surrogatepass").split()
-    ends = np.cumsum(np.fromiter((len(w) + 1 for w in words), dtype=np.int64, count=len(words)))
-    return b" ".join(words), np.concatenate(([0], ends))[:-1], ends - 1
+    joined = b" ".join((text or "").encode("utf-8", "surrogatepass").split())
+    # No word holds a space, so every space ends one.
+    spaces = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
+    if not joined:
+        return joined, spaces, spaces
+    return joined, np.concatenate(([0], spaces + 1)), np.append(spaces, len(joined))
 
 
 def _cover_starts(n):
     """Places of a text of n words at which an anchor begins, ascending."""
-    starts = np.arange(max(0, n - ANCHOR + 1))
-    return starts[np.isin(starts % PERIOD, COVER)] if n >= WINDOW else starts[:0]
+    places = (np.arange(0, n, PERIOD)[:, None] + COVER).ravel()
+    return places[places <= n - ANCHOR] if n >= WINDOW else places[:0]
 
 
 def _hashes(joined, begins, ends):
     digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(joined[a:b]) for a, b in zip(begins.tolist(), ends.tolist())], dtype=np.uint64).view(np.int64)
+    return np.fromiter((digest(joined[a:b]) for a, b in zip(begins.tolist(), ends.tolist())), dtype=np.uint64, count=len(begins)).view(np.int64)
 
 
 _KEY = ["order_id", "text_hash"]

@@ -88,6 +88,15 @@ def test_substrings_equal_brute_force(make_docs, texts):
     assert got == brute_substrings([(r[0], r[1]) for r in rows])
 
 
+@pytest.mark.parametrize("text", [None, "", " \t\r\n", "a", " a ", "a\x0bb\x0c c\r\nd", "\u00e9\x00 \x1c \u2003b", "\ud800 x", " ".join(f"w{i}" for i in range(30))])
+def test_spans_are_those_of_the_words(text):
+    words = (text or "").encode("utf-8", "surrogatepass").split()
+    joined, begins, ends = substrings._spans(text)
+    assert [joined[a:b] for a, b in zip(begins, ends)] == words
+    starts = [i for i in range(len(words) - substrings.ANCHOR + 1) if i % substrings.PERIOD in substrings.COVER]
+    assert substrings._cover_starts(len(words)).tolist() == (starts if len(words) >= substrings.WINDOW else [])
+
+
 def test_cover_brings_any_two_places_together():
     for i in range(substrings.PERIOD):
         for j in range(substrings.PERIOD):
