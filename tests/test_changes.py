@@ -412,3 +412,35 @@ def test_many_small_loads_leave_few_files(store):
     refresh_all(store)
     assert sum(map(len, files(store, "tx_block").values())) <= 40
     assert_fresh(store)
+
+
+def work_folders(spark):
+    from tallychain.session import shared_folder
+
+    return {n.rsplit("-", 1)[0] for n in os.listdir(shared_folder(spark).removeprefix("file:")) if n.startswith("tallychain-")}
+
+
+@pytest.mark.parametrize("blocks", [12, 8])
+def test_rows_are_laid_out_when_what_they_were_made_of_is_gone(store, monkeypatch, blocks):
+    """Both for a first refresh and for one of new blocks only the finished rows lie beside the table that is written."""
+    chain = m.chain(12)
+    before = work_folders(store.spark)
+    if blocks < 12:
+        deliver(store, chain[:blocks])
+    seen, put = [], type(store)._put
+    monkeypatch.setattr(type(store), "_put", lambda self, table, *a: (seen.append((table, work_folders(store.spark) - before)), put(self, table, *a)))
+    deliver(store, chain if blocks == 12 else chain[blocks:])
+    assert [names for table, names in seen if table == "turnover"] == [{"tallychain-movements"}]
+    assert work_folders(store.spark) <= before
+    assert_fresh(store)
+
+
+def test_stamps_are_added_after_rows_are_dealt(store):
+    """Coins and the time of writing follow from the other columns, so they are not shuffled."""
+    deliver(store, m.chain(3))
+    for table, rows in (("turnover", turnover(store.ledger())), ("turnover_m", store.month_sums())):
+        stamped = store.stamped(table, rows)
+        above, below = stamped._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+        dealt = below.splitlines()[1]
+        assert "AS updated_at" in above and "AS value" in above and "updated_at" not in dealt and "AS value" not in dealt
+        assert set(store.read(table).columns) <= set(stamped.columns)
