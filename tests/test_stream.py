@@ -1,7 +1,10 @@
 """Continuous load: order of delivery, repeated files and waiting blocks."""
 
+import os
 import random
 
+import pytest
+
 from tallychain import LedgerStore, start_stream
 from tallychain.plans import load
 from tallychain.streaming.loader import load_batch, load_files, waiting_blocks
@@ -151,3 +154,22 @@ def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+@pytest.mark.parametrize("name", ["stream_load", "stream_load_restart"])
+def test_last_stream_has_its_feed_only(spark, sf_dir, monkeypatch, name):
+    """The source of the feeds has given up its room when the last stream starts, and so has the feed of a stream that ended."""
+    from catalog import queries
+    from tallychain.session import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before, seen = set(os.listdir(folder)), []
+
+    def start(*args, **options):
+        seen.append(sorted(n.split("-")[-2] for n in set(os.listdir(folder)) - before))
+        return real(*args, **options)
+
+    real = queries.start_stream
+    monkeypatch.setattr(queries, "start_stream", start)
+    queries.QUERIES[name](spark, sf_dir)
+    assert "source" in seen[0] and "source" not in seen[-1] and seen[-1].count("feed") == 1
