@@ -82,9 +82,12 @@ def ledger_entries(ledger: Ledger, sources: Ledger = None, available: DataFrame
     """Signed movements (n_block, tx_id, address, sats, is_coinbase): spends negative, receipts positive.
 
     ``sources`` holds the outputs that may be spent, by default those of the ledger itself;
-    ``available`` lists them with value and owner where that is known already.  ``settle`` may put the spends into a table.
+    ``available`` lists them with value and owner where that is known already.  ``settle`` may put the spends into a table,
+    and the receipts where they have to be ranked.
     """
     received = outputs(ledger)
+    if settle and not ledger.known_single("tran_out")[1]:
+        received = settle(received.select("n_block", "tx_id", "output_index", "value", "address", "is_coinbase"), "received")
     if available is None:
         available = spendable(received if sources is None else outputs(sources))
     spent = with_spent(inputs(ledger), available).select("n_block", "tx_id", "address", (-F.col("value")).alias("sats"), F.lit(0).alias("is_coinbase"))

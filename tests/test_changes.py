@@ -444,3 +444,15 @@ def test_stamps_are_added_after_rows_are_dealt(store):
         dealt = below.splitlines()[1]
         assert "AS updated_at" in above and "AS value" in above and "updated_at" not in dealt and "AS value" not in dealt
         assert set(store.read(table).columns) <= set(stamped.columns)
+
+
+def test_parts_in_several_batches_rank_outputs_once(store):
+    """Outputs that have to be ranked go into a table that both spends and receipts are made of."""
+    chain = m.chain(6)
+    deliver(store, chain, update=False)
+    store.mark_single("tran_out", [0, 1], False)
+    names = []
+    settle = lambda rows, name: (names.append((name, "Window" in rows._jdf.queryExecution().optimizedPlan().toString())), rows.localCheckpoint())[1]
+    made = turnover(store.ledger(), settle=settle)
+    assert names == [("received", True), ("spent", False)]
+    assert m.rows(made, "n_block", "tx_id", "address", "sats") == m.rows(turnover(store.ledger()), "n_block", "tx_id", "address", "sats")
