@@ -11,6 +11,8 @@ from tallychain.session import written
 
 #: Rows of a candidate block and of a query block; a tile is one of each.
 CANDIDATES, QUERIES = 2048, 512
+#: Candidate blocks of a group, about one megabyte each, that a join holds at once.
+GROUP_BLOCKS = 64
 #: A task that has seen more queries hands over the heaps it holds and begins anew.
 HEAPS = 20_000
 _PACKED = "part long, dim int, ids binary, vectors binary"
@@ -110,11 +112,13 @@ def nearest(queries, candidates, k=20):
     spark = candidates.sparkSession
     right, _ = written(_packed(candidates, CANDIDATES), "ann-candidates")
     left, _ = written(_packed(queries, QUERIES), "ann-queries")
-    groups = max(1, min(right.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    blocks = right.count()
+    groups = max(1, min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-blocks // GROUP_BLOCKS))
     right = right.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
     left = left.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    # By the size of its files Spark would take the query blocks for few and broadcast their copies for all groups through the driver.
     tiles = left.select("group", "dim", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")).join(
-        right.select("group", "dim", "ids", "vectors"), ["group", "dim"]
+        right.select("group", "dim", "ids", "vectors").hint("merge"), ["group", "dim"]
     )
 
     def merge(batches):

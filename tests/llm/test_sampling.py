@@ -116,6 +116,18 @@ def test_nearest_equal_brute_force(spark, monkeypatch, blocks):
     assert neighbours.nearest(none, none, k=20).count() == 0
 
 
+def test_nearest_broadcasts_no_copies(spark, monkeypatch):
+    """Query blocks go to every group: their copies never pass through the driver, and a group holds few candidate blocks."""
+    monkeypatch.setattr(neighbours, "CANDIDATES", 4)
+    monkeypatch.setattr(neighbours, "GROUP_BLOCKS", 1)
+    rows = [(i, [float(i), 1.0]) for i in range(200)]
+    vectors = neighbours.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1))
+    found = neighbours.nearest(vectors.where("vec_id % 20 = 0"), vectors, k=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {r["vec_id"] for r in found.where("query_id = 40").collect()} == {199, 198, 197}
+
+
 def test_pipeline_stages(spark, make_docs, texts, tmp_path, sf_dir):
     """The stages one after another over the small table, each held against its own rule."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
