@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallychain.ledger import Ledger
 from tallychain.operators import balances, entries, flatten, latest, planning, turnover, views
+from tallychain.plans import load
 from tallychain.sources.sample_ledger import nest
 from tests import micro as m
 
@@ -191,3 +192,35 @@ def test_nested_form_flattens_to_the_same_ledger(sample):
     led = Ledger(flatten.flatten_blocks(nested), flatten.flatten_inputs(nested), flatten.flatten_outputs(nested))
     again, direct = turnover.turnover(led), turnover.turnover(sample)
     assert m.rows(again, "n_block", "address", "sats") == m.rows(direct, "n_block", "address", "sats")
+
+
+def test_every_pass_over_nested_records_reads_its_own_columns(spark, tmp_path):
+    """Inputs are not read for outputs, nor transactions for the rows of blocks and the keys of records."""
+    m.nested(spark, m.chain(3)).write.parquet(str(tmp_path / "nested"))
+    records = load.read_nested(spark, str(tmp_path / "nested"))
+
+    def read(rows):
+        leaves = rows._jdf.queryExecution().sparkPlan().collectLeaves()
+        return [leaves.apply(i).requiredSchema().catalogString() for i in range(leaves.size())]
+
+    assert "outputs" not in read(flatten.flatten_inputs(records))[0]
+    assert "inputs" not in read(flatten.flatten_outputs(records))[0]
+    assert "puts" not in read(flatten.flatten_blocks(records))[0]
+    numbered, others = read(load.record_keys(records, "n_block"))
+    assert "transactions" not in numbered and "transactions" in others
+    part = F.when(F.col("n_block") > 0, F.col("n_block"))
+    mixed = records.withColumn("part", part)
+    keys = [sorted(map(tuple, df.select("block_key", "part_key", "n_block").collect())) for df in (load.record_keys(mixed, "n_block"), load.part_keys(mixed))]
+    assert keys[0] == keys[1] and len(keys[0]) == 3
+
+
+def test_records_in_a_table_are_not_written_once_more(spark, store, tmp_path, monkeypatch):
+    m.nested(spark, m.chain(3)).write.parquet(str(tmp_path / "nested"))
+    staged = []
+    records = load.Progress.records
+    monkeypatch.setattr(load.Progress, "records", lambda self, nested: staged.append(1) or records(self, nested))
+    source = load.read_nested(spark, str(tmp_path / "nested"))
+    load.insert_blocks(store, source.where("n_block < 2"), update=False, in_table=True)
+    assert not staged
+    load.insert_blocks(store, source.where("n_block = 2"), update=False)
+    assert staged and store.read("blocks").count() == 3 and store.read("parts").count() == 3
