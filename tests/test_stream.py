@@ -7,6 +7,7 @@ import pytest
 
 from tallychain import LedgerStore, start_stream
 from tallychain.plans import load
+from tallychain.streaming import loader
 from tallychain.streaming.loader import load_batch, load_files, waiting_blocks
 from tests import micro as m
 
@@ -173,3 +174,20 @@ def test_last_stream_has_its_feed_only(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(queries, "start_stream", start)
     queries.QUERIES[name](spark, sf_dir)
     assert "source" in seen[0] and "source" not in seen[-1] and seen[-1].count("feed") == 1
+
+
+def test_whole_records_are_not_shuffled_to_find_repeated_ones(spark, store):
+    """Keys settle what a batch brings anew; its records meet only the keys of those that are left out or repeated."""
+    chain = m.chain(6)
+    load.insert_blocks(store, m.nested(spark, chain[:2]), update=False)
+
+    def brought(blocks):
+        batch = load.part_keys(m.nested(spark, blocks))
+        keys = batch.select("block_hash", "prev_block_hash", *loader.RECORD)
+        whole = loader._whole(batch, keys, loader._fresh(store, keys, keys.limit(0)).localCheckpoint())
+        plan = whole._jdf.queryExecution().optimizedPlan().toString()
+        return sorted(r["n_block"] for r in whole.collect()), "Join" in plan, "first(transactions" in plan
+
+    assert brought(chain[2:]) == ([2, 3, 4, 5], False, False)
+    assert brought(chain) == ([2, 3, 4, 5], True, False)
+    assert brought(chain + chain[3:]) == ([2, 3, 4, 5], True, True)
