@@ -99,3 +99,15 @@ def test_only_absent_transactions_are_looked_at(spark):
         (3, led.tran_out.where(F.col("tx_id") == F.lit(lost)).select("tx_id", "output_index").distinct().count())]
     assert checks.turnover_complete(led, rows).isEmpty()
     assert checks.turnover_complete(led, rows, 1, 3).isEmpty()
+
+
+def test_second_group_goes_in_steps_that_give_up_their_shuffle_files(spark, sf_dir, monkeypatch):
+    from catalog import queries
+    from tallychain.operators import checks
+
+    steps = []
+    for module in (queries, checks):
+        name, release = module.__name__, module.release_shuffles
+        monkeypatch.setattr(module, "release_shuffles", lambda spark, name=name, release=release: steps.append(name) or release(spark))
+    queries.QUERIES["integrity_report_second_group"](spark, sf_dir)
+    assert steps == ["catalog.queries"] * 3 + ["tallychain.operators.checks"]
